@@ -63,12 +63,14 @@ def eia(
     bronze_path: str,
     watermark_path: str,
     as_of: Moment,
+    page_per_line: bool = False,
 ) -> int:
     """Load ``demand`` or ``generation``; each feed keeps its own mark.
 
     Returns the number of rows landed.
     """
-    rows = validate(payloads.read_eia(spark, payload_path, feed), _EIA_CONTRACTS[feed])
+    pages = payloads.read_eia(spark, payload_path, feed, page_per_line)
+    rows = validate(pages, _EIA_CONTRACTS[feed])
     name = f"eia_{feed}"
     fresh = _incremental(
         spark, rows, watermarks.EIA, name, parse_hour, "period", watermark_path, as_of
@@ -82,8 +84,10 @@ def carbon(
     bronze_path: str,
     watermark_path: str,
     as_of: Moment,
+    page_per_line: bool = False,
 ) -> int:
-    rows = validate(payloads.read_carbon(spark, payload_path), contracts.CARBON)
+    pages = payloads.read_carbon(spark, payload_path, page_per_line=page_per_line)
+    rows = validate(pages, contracts.CARBON)
     name = watermarks.CARBON.name
     fresh = _incremental(
         spark, rows, watermarks.CARBON, name, parse_minute_z, "from", watermark_path, as_of
@@ -108,11 +112,12 @@ def weather(
     watermark_path: str,
     as_of: Moment,
     zero_fill: bool = True,
+    page_per_line: bool = False,
 ) -> int:
     """The mark never passes ``as_of``, so forecast hours are read again later."""
     both = combine_weather(
-        payloads.read_weather(spark, archive_path, zero_fill),
-        payloads.read_weather(spark, forecast_path, zero_fill),
+        payloads.read_weather(spark, archive_path, zero_fill, page_per_line),
+        payloads.read_weather(spark, forecast_path, zero_fill, page_per_line),
     )
     rows = validate(both, contracts.WEATHER)
     feed = watermarks.WEATHER

@@ -26,6 +26,7 @@ class Paths:
 
     payloads: str
     lake: str
+    page_per_line: bool = False
 
     def payload(self, name: str) -> str:
         return f"{self.payloads}/{name}"
@@ -40,15 +41,26 @@ class Paths:
 
 def ingest(spark: SparkSession, paths: Paths, as_of: Moment) -> dict[str, int]:
     """Land every feed; returns the rows landed per feed."""
-    marks = paths.watermarks
+    marks, lines = paths.watermarks, paths.page_per_line
     landed = {
         feed: bronze.eia(
-            spark, paths.payload(feed), feed, paths.table("bronze", feed), marks, as_of
+            spark,
+            paths.payload(feed),
+            feed,
+            paths.table("bronze", feed),
+            marks,
+            as_of,
+            page_per_line=lines,
         )
         for feed in ("demand", "generation")
     }
     landed["carbon"] = bronze.carbon(
-        spark, paths.payload("carbon"), paths.table("bronze", "carbon"), marks, as_of
+        spark,
+        paths.payload("carbon"),
+        paths.table("bronze", "carbon"),
+        marks,
+        as_of,
+        page_per_line=lines,
     )
     landed["weather"] = bronze.weather(
         spark,
@@ -57,6 +69,7 @@ def ingest(spark: SparkSession, paths: Paths, as_of: Moment) -> dict[str, int]:
         paths.table("bronze", "weather"),
         marks,
         as_of,
+        page_per_line=lines,
     )
     return landed
 

@@ -76,6 +76,18 @@ def clean_carbon(bronze: DataFrame, as_of: Moment) -> DataFrame:
     )
 
 
+def latest_readings(bronze: DataFrame) -> DataFrame:
+    """Newest load of each slot with measured and forecast value side by side."""
+    parsed = bronze.select(
+        parse_minute_z("from").alias("period_from"),
+        parse_minute_z("to").alias("period_to"),
+        number("intensity_actual").alias("intensity_actual"),
+        number("intensity_forecast").alias("intensity_forecast"),
+        "_ingested_at",
+    ).filter(F.col("period_from").isNotNull())
+    return latest_per_key(parsed, CARBON_KEYS)
+
+
 def clean_weather(bronze: DataFrame, as_of: Moment) -> DataFrame:
     return bronze.select(
         parse_minute("time").alias("period_utc"),

@@ -1,7 +1,8 @@
 """API payload files to flat rows.
 
 A payload file is one page of an API answer; pages are small by contract, so
-files are read whole (``multiLine``) and the work spreads over files.
+files are read whole and the work spreads over files. With ``page_per_line`` a
+file holds many pages, one per line, and is split like any text file.
 Values come out as text and get their types from the contract.
 Each reader is a scan plus an ``unwrap_*`` step that also takes payloads from
 anywhere else (a column of JSON text, a message bus).
@@ -21,8 +22,10 @@ _EIA_ROWS = {
 }
 
 
-def _read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def _read_json(
+    spark: SparkSession, path: str, schema: T.StructType, page_per_line: bool
+) -> DataFrame:
+    return spark.read.schema(schema).option("multiLine", not page_per_line).json(path)
 
 
 def page_schema(feed: str) -> T.StructType:
@@ -51,9 +54,11 @@ def unwrap_eia(pages: DataFrame) -> DataFrame:
     return rows.select(*[folded(n) for n in names])
 
 
-def read_eia(spark: SparkSession, path: str, feed: str) -> DataFrame:
+def read_eia(
+    spark: SparkSession, path: str, feed: str, page_per_line: bool = False
+) -> DataFrame:
     """``feed`` is ``demand`` or ``generation``."""
-    return unwrap_eia(_read_json(spark, path, page_schema(feed)))
+    return unwrap_eia(_read_json(spark, path, page_schema(feed), page_per_line))
 
 
 def unwrap_carbon(pages: DataFrame, forecast_default: str | None = None) -> DataFrame:
@@ -76,9 +81,13 @@ def unwrap_carbon(pages: DataFrame, forecast_default: str | None = None) -> Data
 
 
 def read_carbon(
-    spark: SparkSession, path: str, forecast_default: str | None = None
+    spark: SparkSession,
+    path: str,
+    forecast_default: str | None = None,
+    page_per_line: bool = False,
 ) -> DataFrame:
-    return unwrap_carbon(_read_json(spark, path, page_schema("carbon")), forecast_default)
+    pages = _read_json(spark, path, page_schema("carbon"), page_per_line)
+    return unwrap_carbon(pages, forecast_default)
 
 
 def unwrap_weather(pages: DataFrame, zero_fill: bool = True) -> DataFrame:
@@ -102,5 +111,8 @@ def unwrap_weather(pages: DataFrame, zero_fill: bool = True) -> DataFrame:
     )
 
 
-def read_weather(spark: SparkSession, path: str, zero_fill: bool = True) -> DataFrame:
-    return unwrap_weather(_read_json(spark, path, page_schema("weather")), zero_fill)
+def read_weather(
+    spark: SparkSession, path: str, zero_fill: bool = True, page_per_line: bool = False
+) -> DataFrame:
+    pages = _read_json(spark, path, page_schema("weather"), page_per_line)
+    return unwrap_weather(pages, zero_fill)
