@@ -705,17 +705,36 @@ ORACLE["incremental_fact"] = sql(
 
 
 def _gold_tables(spark, sf):
-    return {
-        "stg_demand": _stg_demand(spark, sf),
-        "stg_generation": _stg_generation(spark, sf),
-        "stg_carbon_intensity": _stg_carbon(spark, sf),
+    """Silver and facts are stored once; 26 checks then scan them instead of
+    repeating the cleansing."""
+    work = storage.work_folder(spark, "gold")
+
+    def store(name, df):
+        return tables.save_to_path(df, f"{work}/{name}")
+
+    stored = {
+        "stg_demand": gold.stage_demand(store("silver_demand", _silver_demand(spark, sf))),
+        "stg_generation": gold.stage_generation(
+            store("silver_generation", _silver_generation(spark, sf))
+        ),
+        "stg_carbon_intensity": gold.stage_carbon(
+            store("silver_carbon", _silver_carbon(spark, sf))
+        ),
         "dim_date": _dates(spark),
         "dim_region": gold.dim_region(spark),
         "dim_fuel_type": gold.dim_fuel_type(spark),
-        "fact_demand": _fact_demand(spark, sf),
-        "fact_generation": _fact_generation(spark, sf),
-        "fact_carbon_intensity": _fact_carbon(spark, sf),
     }
+    dates, regions = stored["dim_date"], stored["dim_region"]
+    facts = {
+        "fact_demand": gold.fact_demand(stored["stg_demand"], dates, regions, AS_OF),
+        "fact_generation": gold.fact_generation(
+            stored["stg_generation"], dates, regions, stored["dim_fuel_type"], AS_OF
+        ),
+        "fact_carbon_intensity": gold.fact_carbon_intensity(
+            stored["stg_carbon_intensity"], dates, AS_OF
+        ),
+    }
+    return stored | {name: store(name, df) for name, df in facts.items()}
 
 
 @query("quality_report", checks_sql())

@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattline.operators.joins import join_measured
+
 
 def entitled_rows(
     df: DataFrame, entitlements: DataFrame, reader: str, member: str
 ) -> DataFrame:
-    """``entitlements`` has the columns ``reader`` and ``member``."""
+    """``entitlements`` has the columns ``reader`` and ``member``. Grants are made
+    distinct, so the join repeats no row."""
     granted = (
         entitlements.filter(F.col("reader") == F.lit(reader))
         .select(F.col("member").alias(member))
         .distinct()
     )
-    return df.join(granted, member, "left_semi").select(*df.columns)
+    return join_measured(df, granted, [member]).select(*df.columns)

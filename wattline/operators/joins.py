@@ -1,25 +1,25 @@
-"""Join of a large side with a small aggregate on a few, possibly hot, keys."""
+"""Join of a large side with a side that is expected, but not known, to be small."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SPREAD = 32
-_SALT = "_salt"
+from wattline.operators.storage import cut_lineage
 
+# A few megabytes at the row widths in use; beyond it nothing is broadcast.
+BROADCAST_ROWS = 100_000
 
-def join_spread(
-    large: DataFrame, small: DataFrame, key: str, spread_on: str, spread: int = SPREAD
-) -> DataFrame:
-    """Inner join that spreads every key of ``large`` over ``spread`` tasks.
 
-    ``small`` has one row per key and is repeated once per salt. Its size is not
-    assumed: adaptive execution measures it and turns the join into a broadcast
-    when it fits under the threshold; otherwise the salted shuffle stands.
+def join_measured(large: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join whose strategy follows from the measured size of ``small``.
+
+    ``small`` (an aggregate, a permission list) is computed once and fixed, then
+    counted. Up to ``BROADCAST_ROWS`` rows it is broadcast and ``large`` is not
+    shuffled at all. Beyond that both sides are plain shuffles of stored rows,
+    the shape whose hot keys adaptive execution splits over several tasks.
     """
-    salted = large.withColumn(_SALT, F.pmod(F.xxhash64(spread_on), F.lit(spread)))
-    repeated = small.withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint")))
-    )
-    return salted.join(repeated, [key, _SALT]).drop(_SALT)
+    fixed = cut_lineage(small)
+    if fixed.count() <= BROADCAST_ROWS:
+        fixed = F.broadcast(fixed)
+    return large.join(fixed, keys)

@@ -41,6 +41,17 @@ def remove(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Move ``source`` into the place of ``target``."""
+    fs, new = _handle(spark, source)
+    _, old = _handle(spark, target)
+    fs.mkdirs(old.getParent())
+    if fs.exists(old):
+        fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder.
 

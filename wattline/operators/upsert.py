@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.operators import storage
@@ -16,11 +16,6 @@ LISTED_PARTITIONS = 2_000
 _STAGED = "_merge"
 
 
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe, so that loading a row with a missing key part twice is a no-op."""
-    return reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Union of the source and the target rows it does not replace.
 
@@ -33,10 +28,6 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     return kept.unionByName(source.select(*target.columns))
 
 
-def read_merged(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def merge_table(
     spark: SparkSession,
     path: str,
@@ -48,31 +39,33 @@ def merge_table(
 
     Only partitions named by the source are read and rewritten, which requires
     ``partition_by`` to be a function of the keys. The merged partitions are
-    first written beside the table and only then published, so a job that dies
-    at any point leaves either the old rows or a finished copy that the next
-    call publishes. One writer at a time.
+    written beside the table first and, once that write has committed, moved
+    into place one by one. A job that dies on the way leaves each partition
+    either old or new, and the next call moves the rest. One writer at a time.
     """
     staged = f"{path}/{_STAGED}"
     if storage.is_complete(spark, staged):
-        _publish(spark, staged, path, partition_by)
+        _publish(spark, staged, path)
     else:
         storage.remove(spark, staged)
 
     source = source.persist()
     try:
-        if _has_rows(spark, path):
+        if _partitions(spark, path):
             target = _touched(spark.read.parquet(path), source, partition_by)
             merged = upsert(target, source, keys)
         else:
             merged = source
-        _write(merged, staged, partition_by, dynamic=False)
+        # Rebalancing lets adaptive execution split a partition value that holds
+        # much of the data and join small ones, so files come out evenly sized.
+        merged.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(staged)
     finally:
         source.unpersist()
-    _publish(spark, staged, path, partition_by)
+    _publish(spark, staged, path)
 
 
-def _has_rows(spark: SparkSession, path: str) -> bool:
-    return any("=" in name for name in storage.children(spark, path))
+def _partitions(spark: SparkSession, path: str) -> list[str]:
+    return [name for name in storage.children(spark, path) if "=" in name]
 
 
 def _touched(target: DataFrame, source: DataFrame, partition_by: str) -> DataFrame:
@@ -86,19 +79,8 @@ def _touched(target: DataFrame, source: DataFrame, partition_by: str) -> DataFra
     return target.filter(wanted)
 
 
-def _write(df: DataFrame, path: str, partition_by: str, dynamic: bool) -> None:
-    # Rebalancing lets adaptive execution split a partition value that holds
-    # much of the data and join small ones, so files come out evenly sized.
-    (
-        df.hint("rebalance", partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
-
-
-def _publish(spark: SparkSession, staged: str, path: str, partition_by: str) -> None:
-    if any("=" in name for name in storage.children(spark, staged)):
-        _write(spark.read.parquet(staged), path, partition_by, dynamic=True)
+def _publish(spark: SparkSession, staged: str, path: str) -> None:
+    for name in _partitions(spark, staged):
+        storage.replace_folder(spark, f"{staged}/{name}", f"{path}/{name}")
     storage.remove(spark, staged)
+    spark.catalog.refreshByPath(path)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wattline.functions.measures import LOW_CARBON_LIMIT, z_score
 from wattline.functions.time import Moment, instant, newer_than, seconds_between, time_bin
-from wattline.operators.joins import join_spread
+from wattline.operators.joins import join_measured
 from wattline.sources.events import CARBON_SOURCE, SYNTHETIC_SOURCE
 
 ERCOT = "ERCOT"
@@ -290,8 +290,10 @@ def zscore_outliers(
         .groupBy(by)
         .agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_deviation"))
     )
-    readings = _recent(events, recent, as_of, _synthetic()).select("event_id", "timestamp", by, value)
-    scored = join_spread(readings, stats, by, spread_on="event_id").withColumn(
+    readings = _recent(events, recent, as_of, _synthetic()).select(
+        "event_id", "timestamp", by, value
+    )
+    scored = join_measured(readings, stats, [by]).withColumn(
         "z_score", z_score(value, "_mean", "_deviation")
     )
     return (

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +26,8 @@ GENERATION_KEYS = ("period_utc", "respondent", "fuel_type")
 CARBON_KEYS = ("period_from", "period_to")
 WEATHER_KEYS = ("period_utc",)
 
+_STAMPS = ("_ingested_at", "_cleansed_at")
+
 
 def clean_demand(bronze: DataFrame, as_of: Moment) -> DataFrame:
     """Hourly energy equals average power, so the MW column repeats the MWh one."""
@@ -121,7 +123,10 @@ TABLES = {
 def build(table: str, bronze: DataFrame, as_of: Moment) -> DataFrame:
     """Cleansed rows, newest load per natural key."""
     spec = TABLES[table]
-    return latest_per_key(spec.clean(bronze, as_of), spec.keys)
+    rows = spec.clean(bronze, as_of)
+    # Rows of one load differ only in what they carry, so that breaks ties.
+    carried = [c for c in rows.columns if c not in {*spec.keys, *_STAMPS}]
+    return latest_per_key(rows, spec.keys, tiebreak=carried)
 
 
 def demand(bronze: DataFrame, as_of: Moment) -> DataFrame:

@@ -23,6 +23,7 @@ def build_session(
         .config("spark.sql.session.timeZone", UTC)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
     )
     if master is not None:

@@ -27,9 +27,14 @@ def with_load_columns(df: DataFrame, as_of: Moment) -> DataFrame:
 def land_bronze(
     df: DataFrame, path: str, as_of: Moment, table_format: str = FORMAT
 ) -> None:
-    """Append one load, stamped and partitioned by its date."""
+    """Append one load, stamped and partitioned by its date.
+
+    Many small payload files would become as many small table files, hence the
+    rebalancing to files of the advised size.
+    """
     (
         with_load_columns(df, as_of)
+        .hint("rebalance")
         .write.format(table_format)
         .mode("append")
         .partitionBy("load_date")
