@@ -35,8 +35,7 @@ def _col(c: Column | str) -> Column:
 
 def number(c: Column | str) -> Column:
     """Lenient double: unreadable text and NaN both become NULL."""
-    value = _col(c).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(_col(c).try_cast("double"), F.lit(None).cast("double"))
 
 
 def at_least_zero(c: Column | str) -> Column:

@@ -104,42 +104,51 @@ def _raw(df: DataFrame, spec: Field) -> Column:
 
 
 def _typed(raw: Column, spec: Field) -> Column:
+    """NULL where the text cannot be read as the field's type; NaN counts as that."""
     if spec.kind == "string":
         value = raw.cast("string")
     elif spec.kind == "int":
         # Text like "3.0" is a whole number, "3.5" is not.
         wide = raw.try_cast("double")
-        value = F.when(wide == F.floor(wide), wide.try_cast("int"))
+        value = F.when(wide % 1 == 0, wide.try_cast("int"))
     else:
-        value = raw.try_cast(spec.kind)
-    if spec.kind == "double":
-        value = F.when(~F.isnan(value), value)
+        value = F.nanvl(raw.try_cast(spec.kind), F.lit(None).cast(spec.kind))
     if spec.default is not None:
-        value = F.when(raw.isNull(), F.lit(spec.default)).otherwise(value)
+        value = F.coalesce(value, F.when(raw.isNull(), F.lit(spec.default)))
     return value
 
 
-def _problem(raw: Column, value: Column, spec: Field) -> Column:
-    missing = F.when(raw.isNull(), F.lit(f"{spec.name}: missing"))
-    unreadable = F.when(
-        raw.isNotNull() & value.isNull(), F.lit(f"{spec.name}: not a valid {spec.kind}")
-    )
+def _problem(raw: Column, value: Column, spec: Field) -> Column | None:
+    unreadable = F.lit(f"{spec.name}: not a valid {spec.kind}")
     if spec.required and spec.default is None:
-        return F.coalesce(missing, unreadable)
-    return unreadable
-
+        missing = F.lit(f"{spec.name}: missing")
+        if spec.kind == "string":
+            return F.when(value.isNull(), missing)
+        return F.when(value.isNull(), F.when(raw.isNull(), missing).otherwise(unreadable))
+    if spec.kind == "string":
+        return None
+    return F.when(value.isNull() & raw.isNotNull(), unreadable)
 
-def inspect(df: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> DataFrame:
-    """Typed contract columns plus ``_reason``, which is NULL for a good row.
 
-    Columns outside the contract are dropped unless listed in ``keep``.
-    """
+def _parsed(df: DataFrame, contract: Contract) -> tuple[list[Column], list[Column]]:
+    """Typed columns, and one expression per possible problem (NULL if none)."""
     values, problems = [], []
     for spec in contract.fields:
         raw = _raw(df, spec)
         value = _typed(raw, spec)
         values.append(value.alias(spec.name))
-        problems.append(_problem(raw, value, spec))
+        problem = _problem(raw, value, spec)
+        if problem is not None:
+            problems.append(problem)
+    return values, problems
+
+
+def inspect(df: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed contract columns plus ``_reason``, which is NULL for a good row.
+
+    Columns outside the contract are dropped unless listed in ``keep``.
+    """
+    values, problems = _parsed(df, contract)
     reason = F.nullif(F.concat_ws("; ", *problems), F.lit(""))
     return df.select(*values, *keep, reason.alias(REASON))
 
@@ -154,14 +163,14 @@ def validate(
 
     ``split``: ``(valid, rejected)``; rejected rows carry their ``_reason``.
     """
-    checked = inspect(df, contract, keep)
     if mode == "split":
+        checked = inspect(df, contract, keep)
         valid = checked.filter(F.col(REASON).isNull()).drop(REASON)
         return valid, checked.filter(F.col(REASON).isNotNull())
     if mode == "fail":
-        message = F.concat(F.lit(f"{contract.name} contract violated: "), F.col(REASON))
-        passes = F.when(F.col(REASON).isNull(), F.lit(True)).otherwise(
-            F.raise_error(message).cast("boolean")
-        )
-        return checked.filter(passes).drop(REASON)
+        values, problems = _parsed(df, contract)
+        first = F.coalesce(*problems, F.lit(""))
+        stop = F.raise_error(F.concat(F.lit(f"{contract.name} contract violated: "), first))
+        passes = F.when(first == "", F.lit(True)).otherwise(stop.cast("boolean"))
+        return df.filter(passes).select(*values, *keep)
     raise ValueError(f"unknown mode {mode!r}")

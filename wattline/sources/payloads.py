@@ -39,12 +39,23 @@ def parse_payload(df: DataFrame, text: str, feed: str) -> DataFrame:
     return df.select(F.from_json(text, page_schema(feed)).alias("page")).select("page.*")
 
 
+def _elements(pages: DataFrame, array: str, *keep: str) -> DataFrame:
+    """One row per array element, with its position in ``at``.
+
+    The outer form plus a filter on the position gives the rows of the plain
+    form. The plain form would have the optimizer test the array for emptiness
+    first, which parses a payload that comes as text a second time.
+    """
+    exploded = pages.select(*keep, F.posexplode_outer(array).alias("at", "element"))
+    return exploded.filter(F.col("at").isNotNull())
+
+
 def unwrap_eia(pages: DataFrame) -> DataFrame:
     """One row per record; hyphenated headers are folded into underscored ones.
 
     The declared total is not consulted: the rows received are the rows.
     """
-    rows = pages.select(F.inline("response.data"))
+    rows = _elements(pages, "response.data").select("element.*")
     names = list(dict.fromkeys(c.replace("-", "_") for c in rows.columns))
 
     def folded(name: str) -> Column:
@@ -67,7 +78,7 @@ def unwrap_carbon(pages: DataFrame, forecast_default: str | None = None) -> Data
     A missing forecast stays NULL unless ``forecast_default`` is given, so that
     a slot with neither reading is not mistaken for a clean grid.
     """
-    slots = pages.select(F.explode("data").alias("slot"))
+    slots = _elements(pages, "data").withColumnRenamed("element", "slot")
     forecast = F.col("slot.intensity.forecast")
     if forecast_default is not None:
         forecast = F.coalesce(forecast, F.lit(forecast_default))
@@ -96,7 +107,7 @@ def unwrap_weather(pages: DataFrame, zero_fill: bool = True) -> DataFrame:
     Missing measures become 0.0 unless ``zero_fill`` is off; the weather code
     stays missing either way.
     """
-    hours = pages.select("hourly", F.posexplode("hourly.time").alias("at", "time"))
+    hours = _elements(pages, "hourly.time", "hourly").withColumnRenamed("element", "time")
 
     def measure(name: str) -> Column:
         value = F.get(F.col(f"hourly.{name}"), F.col("at"))
