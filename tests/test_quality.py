@@ -97,3 +97,14 @@ def test_history(spark, rows):
     ]
     again = apply_changes(out, changes, ["k"], ["a"], "2024-03-01")
     assert rows(again) == rows(out)
+
+
+def test_gate(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1,), (1,)], "k int")
+    good = quality.run_checks({"t": df}, {"t": quality.TableChecks(not_null=("k",))})
+    quality.require_passing(good)
+    bad = quality.run_checks({"t": df}, {"t": quality.TableChecks(unique=("k",))})
+    with pytest.raises(quality.QualityError, match="t.k unique: 1"):
+        quality.require_passing(bad)

@@ -149,6 +149,21 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Mapping[str, TableChecks
     return reduce(DataFrame.unionByName, parts)
 
 
+class QualityError(RuntimeError):
+    """A table does not keep its promises."""
+
+
+def require_passing(results: DataFrame) -> None:
+    """Stop a job whose tables fail a check; one result row per check is read."""
+    failed = results.filter(F.col("status") != "pass").collect()
+    if failed:
+        raise QualityError(
+            "; ".join(
+                f"{r['table']}.{r['column']} {r['check']}: {r['failing_rows']}" for r in failed
+            )
+        )
+
+
 def missing_periods(
     observed: DataFrame, ts: str, start: Moment, end: Moment, step: str
 ) -> DataFrame:

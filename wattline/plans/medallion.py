@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from wattline import schemas
 from wattline.functions.time import Moment
-from wattline.operators.quality import run_checks
+from wattline.operators.quality import require_passing, run_checks
 from wattline.plans import bronze, expectations, gold, silver
 from wattline.sources.tables import loads_since, read_table, save_to_path
 
@@ -87,10 +88,22 @@ def cleanse(
         silver.merge(spark, name, rows, paths.table("silver", name), as_of)
 
 
+def _check_some(tables: dict[str, DataFrame], names: Iterable[str]) -> DataFrame:
+    return run_checks(tables, {n: expectations.CHECKS[n] for n in names})
+
+
 def model(
-    spark: SparkSession, paths: Paths, as_of: Moment, start: str = gold.DEFAULT_START
+    spark: SparkSession,
+    paths: Paths,
+    as_of: Moment,
+    start: str = gold.DEFAULT_START,
+    gate: bool = True,
 ) -> dict[str, DataFrame]:
-    """Rebuild the star schema; staging stays a projection, the rest is stored."""
+    """Rebuild the star schema; staging stays a projection, the rest is stored.
+
+    With ``gate`` the staging and dimension tables must pass their checks before
+    any fact is written.
+    """
     stored = {name: silver.read(spark, paths.table("silver", name)) for name in silver.TABLES}
     tables = {
         "stg_demand": gold.stage_demand(stored["demand"]),
@@ -105,6 +118,8 @@ def model(
     dates = store("dim_date", gold.dim_date(spark, as_of, start))
     regions = store("dim_region", gold.dim_region(spark))
     fuels = store("dim_fuel_type", gold.dim_fuel_type(spark))
+    if gate:
+        require_passing(_check_some(tables, list(tables)))
     store("fact_demand", gold.fact_demand(tables["stg_demand"], dates, regions, as_of))
     store(
         "fact_generation",
@@ -121,7 +136,8 @@ def model(
 def run(
     spark: SparkSession, paths: Paths, as_of: Moment, start: str = gold.DEFAULT_START
 ) -> DataFrame:
-    """Every step in order; returns the check results."""
+    """Every step in order; returns the results of all checks."""
     ingest(spark, paths, as_of)
     cleanse(spark, paths, as_of)
-    return run_checks(model(spark, paths, as_of, start), expectations.CHECKS)
+    tables = model(spark, paths, as_of, start, gate=False)
+    return run_checks(tables, expectations.CHECKS)
