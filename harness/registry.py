@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from harness import lenses
 from harness.lenses import AS_OF, FIRST_DAY, WHOLE_SPAN, portable, table
 from harness.oracle import CTES, TS, checks_sql, sql
+from wattline.functions.measures import at_least_zero
 from wattline.functions.time import parse_hour
 from wattline.operators import access, contracts, history, quality, retention, storage
 from wattline.operators.contracts import inspect, validate
+from wattline.operators.dedup import latest_per_key
 from wattline.operators.upsert import upsert
 from wattline.plans import bronze, expectations, gold, insights, medallion, monitor, silver
 from wattline.session import use_utc
@@ -350,6 +352,33 @@ def _(spark, sf):
     return event_source.readings_to_events(lenses.bronze_carbon(spark, sf))
 
 
+@query(
+    "newest_reading_event",
+    sql("""select 'GB' as region, strptime("from", '%Y-%m-%dT%H:%MZ') as "timestamp",
+                  coalesce(nullif(intensity_actual, 0), nullif(intensity_forecast, 0), 0.0)
+                      as carbon_intensity_gco2_kwh
+           from bronze_carbon order by "from" desc, "to" desc, _ingested_at desc limit 1"""),
+)
+def _(spark, sf):
+    """What a poll of the newest slot reports, after repeats of a slot are settled."""
+    readings = latest_per_key(
+        lenses.bronze_carbon(spark, sf), ["from", "to"], tiebreak=["intensity_actual"]
+    )
+    return event_source.readings_to_events(event_source.newest_reading(readings)).select(
+        "region", "timestamp", "carbon_intensity_gco2_kwh"
+    )
+
+
+@query(
+    "clamped_net_demand",
+    sql("""select event_id, greatest(0.0, demand_mw - generation_mw + 400) as net_mw
+           from grid_events"""),
+)
+def _(spark, sf):
+    net = F.col("demand_mw") - F.col("generation_mw") + 400
+    return _events(spark, sf).select("event_id", at_least_zero(net).alias("net_mw"))
+
+
 @query(
     "incremental_slice",
     sql("""select period, respondent, value from bronze_demand
@@ -1024,6 +1053,29 @@ def _(spark, sf):
     return rollup.read_rollup(spark, f"{work}/store")
 
 
+@query("stream_watermarked_rollup", sql("select * from rollup"))
+def _(spark, sf):
+    """The built-in stateful form over one file, within which nothing is late."""
+    work = storage.work_folder(spark, "stream_watermarked")
+    _event_files(spark, sf, f"{work}/in", files=1)
+    events = event_source.read_events_stream(spark, f"{work}/in")
+    _drain(
+        rollup.start_watermarked_rollup(
+            events, f"{work}/store", f"{work}/ck", availableNow=True
+        )
+    )
+    return rollup.read_watermarked_rollup(spark, f"{work}/store")
+
+
+@query("stream_raw_events", sql("select * from grid_events"))
+def _(spark, sf):
+    work = storage.work_folder(spark, "stream_raw")
+    _event_files(spark, sf, f"{work}/in")
+    events = event_source.read_events_stream(spark, f"{work}/in", max_files_per_trigger=2)
+    _drain(ingest.start_raw_sink(events, f"{work}/table", f"{work}/ck", availableNow=True))
+    return tables.read_table(spark, f"{work}/table").drop("event_date")
+
+
 @query("stream_edge_alerts", EDGE_ORACLE)
 def _(spark, sf):
     """Events arrive in three instalments; the stream restarts for each."""

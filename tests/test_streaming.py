@@ -144,6 +144,20 @@ def test_watermarked_rollup_takes_late_readings_within_the_allowance(spark, inbo
     assert got == {0: 2, 40: 1}
 
 
+def test_watermarked_store_keeps_the_last_version_of_a_bin(spark, inbox, folder, rows):
+    inbox.put(event(1, 60), event(2, 61))
+    inbox.put(event(3, 62, 99_000.0), event(4, 66))
+    drain(
+        rollup.start_watermarked_rollup(
+            stream(spark, inbox), folder("s"), folder("c"), availableNow=True
+        )
+    )
+    expected = rows(monitor.five_minute_rollup(source.read_events(spark, inbox.path)), *COLUMNS)
+    assert rows(rollup.read_watermarked_rollup(spark, folder("s")), *COLUMNS) == expected
+    rollup.compact_watermarked_rollup(spark, folder("s"))
+    assert rows(rollup.read_watermarked_rollup(spark, folder("s")), *COLUMNS) == expected
+
+
 def test_repeated_readings_can_be_dropped(spark, inbox, folder):
     same = [event(i, 30, 0.0, "GB", 120.0, source.CARBON_SOURCE) for i in range(3)]
     inbox.put(*same[:2])

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.functions.time import time_bin
+from wattline.operators.dedup import first_per_key
 from wattline.plans.monitor import ROLLUP_BIN, five_minute_rollup
 from wattline.streaming import batches
 
@@ -38,6 +39,45 @@ def watermarked_rollup(events: DataFrame, lateness: str = LATENESS) -> DataFrame
     return five_minute_rollup(events.withWatermark("timestamp", lateness))
 
 
+ROLLUP_SCHEMA = (
+    "region string, source string, timestamp timestamp, "
+    "avg_demand_mw double, max_demand_mw double, "
+    "avg_carbon_intensity double, max_carbon_intensity double, "
+    "event_count bigint, batch_id bigint"
+)
+
+
+def newest_versions(updates: DataFrame) -> DataFrame:
+    """A bin is emitted again whenever it changes; its last version counts."""
+    return first_per_key(updates, _KEYS, [F.desc("batch_id")])
+
+
+def start_watermarked_rollup(
+    events: DataFrame, store: str, checkpoint: str, lateness: str = LATENESS, **trigger
+):
+    """Store each micro-batch's changed bins."""
+
+    def write(changed: DataFrame, batch_id: int) -> None:
+        versions = changed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        batches.write_batch(versions, store, batch_id)
+
+    writer = (
+        watermarked_rollup(events, lateness)
+        .writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+    )
+    return writer.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+
+
+def read_watermarked_rollup(spark: SparkSession, store: str) -> DataFrame:
+    return newest_versions(batches.read_store(spark, store, ROLLUP_SCHEMA)).drop("batch_id")
+
+
+def compact_watermarked_rollup(spark: SparkSession, store: str) -> None:
+    batches.compact(spark, store, ROLLUP_SCHEMA, fold=newest_versions)
+
+
 def without_repeats(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Drop re-emitted readings of the same slot. Optional, as it changes counts."""
     return events.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(list(_KEYS))
