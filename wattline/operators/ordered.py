@@ -17,16 +17,22 @@ from pyspark.sql import functions as F
 from wattline.operators.storage import cut_lineage
 
 SLICE = "_slice"
+POSITION = "_position"
 
 
 def sliced(df: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Number contiguous slices of the total order ``(by, order)``.
+    """Number contiguous slices, and the rows, of the total order ``(by, order)``.
 
     ``order`` should end in a unique column. The result is checkpointed because
-    the slice numbers must not change between the two sides of a later join.
+    the numbers must not change between the two sides of a later join.
     """
-    placed = df.repartitionByRange(*by, *order).withColumn(SLICE, F.spark_partition_id())
-    return cut_lineage(placed)
+    keys = [*by, *order]
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    return cut_lineage(
+        placed.withColumn(SLICE, F.spark_partition_id()).withColumn(
+            POSITION, F.monotonically_increasing_id()
+        )
+    )
 
 
 def with_previous(
@@ -36,20 +42,25 @@ def with_previous(
     value: str,
     name: str = "previous",
 ) -> DataFrame:
-    """Add the preceding row's ``value`` within each series (NULL for the first)."""
+    """Add the preceding row's ``value`` within each series (NULL for the first).
+
+    All series form one sequence; the preceding row counts if its series is the
+    same. The window over slices sees one row per slice.
+    """
     rows = sliced(df, by, order)
-    inside = Window.partitionBy(SLICE, *by).orderBy(*order)
-    local = rows.withColumn("_here", F.lag(F.struct(value)).over(inside))
+    row = F.struct(*by, value)
+    local = rows.withColumn("_here", F.lag(row).over(Window.partitionBy(SLICE).orderBy(POSITION)))
 
-    ends = rows.groupBy(*by, SLICE).agg(
-        F.max_by(F.struct(value), F.struct(*order)).alias("_last")
-    )
-    across = Window.partitionBy(*by).orderBy(SLICE)
-    carried = ends.select(*by, SLICE, F.lag("_last").over(across).alias("_carried"))
+    ends = rows.groupBy(SLICE).agg(F.max_by(row, POSITION).alias("_last"))
+    carried = ends.select(SLICE, F.lag("_last").over(Window.orderBy(SLICE)).alias("_carried"))
 
-    joined = local.join(carried, [SLICE, *by], "left")
-    before = F.coalesce(F.col("_here"), F.col("_carried"))[value]
-    return joined.select(*df.columns, before.alias(name))
+    joined = local.join(carried, SLICE, "left").withColumn(
+        "_before", F.coalesce("_here", "_carried")
+    )
+    same_series = F.col("_before").isNotNull()
+    for key in by:
+        same_series = same_series & F.col("_before")[key].eqNullSafe(F.col(key))
+    return joined.select(*df.columns, F.when(same_series, F.col("_before")[value]).alias(name))
 
 
 def with_running_total(
@@ -63,7 +74,7 @@ def with_running_total(
     rows = sliced(df.withColumn("_amount", amount), by, order)
     inside = (
         Window.partitionBy(SLICE, *by)
-        .orderBy(*order)
+        .orderBy(POSITION)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = rows.withColumn("_here", F.sum("_amount").over(inside))
@@ -75,5 +86,10 @@ def with_running_total(
     carried = totals.select(
         *by, SLICE, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_carried")
     )
-    joined = local.join(carried, [SLICE, *by], "left")
-    return joined.select(*df.columns, (F.col("_here") + F.col("_carried")).alias(name))
+    match = local[SLICE] == carried[SLICE]
+    for key in by:
+        match = match & local[key].eqNullSafe(carried[key])
+    joined = local.join(carried, match, "left")
+    return joined.select(
+        *[local[c] for c in df.columns], (F.col("_here") + F.col("_carried")).alias(name)
+    )
