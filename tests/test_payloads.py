@@ -155,3 +155,18 @@ def test_newest_reading_becomes_an_event(spark, put, rows):
     assert rows(event, "region", "demand_mw", "carbon_intensity_gco2_kwh", "source") == [
         ("GB", 0.0, 0.0, "carbonintensity.org.uk")
     ]
+
+
+def test_broken_json_halts_the_load(spark, tmp_path):
+    path = tmp_path / "broken"
+    path.mkdir()
+    (path / "page.json").write_text('{"response": {"data": [')
+    with pytest.raises(Exception):
+        payloads.read_eia(spark, str(path), "demand").count()
+
+
+def test_payload_text_is_parsed_once(spark, rows):
+    texts = spark.createDataFrame([(json.dumps(eia(DEMAND)),), (json.dumps(eia([])),)], "value string")
+    df = payloads.unwrap_eia(payloads.parse_payload(texts.filter("value <> ''"), "value", "demand"))
+    assert rows(df, "period") == [("2024-03-01T00",), ("2024-03-01T01",)]
+    assert df._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1

@@ -22,10 +22,15 @@ _EIA_ROWS = {
 }
 
 
+# Text that is not JSON halts the load instead of turning into an empty page.
+_STRICT = {"mode": "FAILFAST"}
+
+
 def _read_json(
     spark: SparkSession, path: str, schema: T.StructType, page_per_line: bool
 ) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", not page_per_line).json(path)
+    reader = spark.read.schema(schema).options(multiLine=not page_per_line, **_STRICT)
+    return reader.json(path)
 
 
 def page_schema(feed: str) -> T.StructType:
@@ -35,19 +40,13 @@ def page_schema(feed: str) -> T.StructType:
 
 
 def parse_payload(df: DataFrame, text: str, feed: str) -> DataFrame:
-    """Payloads held as JSON text in column ``text``."""
-    return df.select(F.from_json(text, page_schema(feed)).alias("page")).select("page.*")
-
-
-def _elements(pages: DataFrame, array: str, *keep: str) -> DataFrame:
-    """One row per array element, with its position in ``at``.
+    """Payloads held as JSON text in column ``text``.
 
-    The outer form plus a filter on the position gives the rows of the plain
-    form. The plain form would have the optimizer test the array for emptiness
-    first, which parses a payload that comes as text a second time.
+    The one-element explode keeps later filters, such as the optimizer's own
+    test for empty arrays, above the parser, so that each text is parsed once.
     """
-    exploded = pages.select(*keep, F.posexplode_outer(array).alias("at", "element"))
-    return exploded.filter(F.col("at").isNotNull())
+    page = F.from_json(text, page_schema(feed), _STRICT)
+    return df.select(F.explode(F.array(page)).alias("page")).select("page.*")
 
 
 def unwrap_eia(pages: DataFrame) -> DataFrame:
@@ -55,7 +54,7 @@ def unwrap_eia(pages: DataFrame) -> DataFrame:
 
     The declared total is not consulted: the rows received are the rows.
     """
-    rows = _elements(pages, "response.data").select("element.*")
+    rows = pages.select(F.inline("response.data"))
     names = list(dict.fromkeys(c.replace("-", "_") for c in rows.columns))
 
     def folded(name: str) -> Column:
@@ -78,7 +77,7 @@ def unwrap_carbon(pages: DataFrame, forecast_default: str | None = None) -> Data
     A missing forecast stays NULL unless ``forecast_default`` is given, so that
     a slot with neither reading is not mistaken for a clean grid.
     """
-    slots = _elements(pages, "data").withColumnRenamed("element", "slot")
+    slots = pages.select(F.explode("data").alias("slot"))
     forecast = F.col("slot.intensity.forecast")
     if forecast_default is not None:
         forecast = F.coalesce(forecast, F.lit(forecast_default))
@@ -107,7 +106,7 @@ def unwrap_weather(pages: DataFrame, zero_fill: bool = True) -> DataFrame:
     Missing measures become 0.0 unless ``zero_fill`` is off; the weather code
     stays missing either way.
     """
-    hours = _elements(pages, "hourly.time", "hourly").withColumnRenamed("element", "time")
+    hours = pages.select("hourly", F.posexplode("hourly.time").alias("at", "time"))
 
     def measure(name: str) -> Column:
         value = F.get(F.col(f"hourly.{name}"), F.col("at"))
