@@ -137,6 +137,20 @@ def test_bad_record_halts_the_load(spark, tmp_path):
     assert not storage.is_complete(spark, f"{base}/bronze")
 
 
+def test_bad_record_of_an_old_page_does_not_block(spark, tmp_path):
+    base = str(tmp_path)
+    put(f"{base}/in", eia(demand_row(0, "broken"), demand_row(5, 300)))
+    watermarks.write_watermark(spark, f"{base}/marks", "eia_demand", "2024-03-01T04", AS_OF)
+    assert load(spark, base) == 1
+
+
+def test_record_without_a_time_halts_the_load(spark, tmp_path):
+    base = str(tmp_path)
+    put(f"{base}/in", eia(demand_row(0, 100), {"respondent": "ERCO", "type": "D", "value": 1}))
+    with pytest.raises(Exception, match="period: missing"):
+        load(spark, base)
+
+
 # ---- dedup and upsert -------------------------------------------------------------
 
 BRONZE = "period string, respondent string, respondent_name string, value string, _ingested_at timestamp"

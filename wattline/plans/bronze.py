@@ -13,7 +13,7 @@ from wattline.operators.contracts import validate
 from wattline.operators.dedup import prefer_first
 from wattline.sources import payloads, watermarks
 from wattline.sources.tables import land_bronze
-from wattline.sources.watermarks import Feed, high_watermark, incremental_slice
+from wattline.sources.watermarks import Feed, high_watermark, in_next_range
 
 _EIA_CONTRACTS = {"demand": contracts.EIA_DEMAND, "generation": contracts.EIA_GENERATION}
 
@@ -52,8 +52,12 @@ def _incremental(
     watermark_path: str,
     as_of: Moment,
 ) -> DataFrame:
+    """Rows of the next load, before validation, so that a bad record of an old
+    page does not block later loads. A record without a time belongs to no range
+    and stays in, for the contract to reject."""
     mark = watermarks.read_watermark(spark, watermark_path, mark_name)
-    return incremental_slice(rows, parse(time_column), feed, mark, as_of)
+    wanted = in_next_range(parse(time_column), feed, mark, as_of)
+    return rows.filter(wanted | F.col(time_column).isNull())
 
 
 def eia(
@@ -70,12 +74,12 @@ def eia(
     Returns the number of rows landed.
     """
     pages = payloads.read_eia(spark, payload_path, feed, page_per_line)
-    rows = validate(pages, _EIA_CONTRACTS[feed])
     name = f"eia_{feed}"
     fresh = _incremental(
-        spark, rows, watermarks.EIA, name, parse_hour, "period", watermark_path, as_of
+        spark, pages, watermarks.EIA, name, parse_hour, "period", watermark_path, as_of
     )
-    return _land(spark, fresh, bronze_path, watermark_path, name, "period", as_of)
+    rows = validate(fresh, _EIA_CONTRACTS[feed])
+    return _land(spark, rows, bronze_path, watermark_path, name, "period", as_of)
 
 
 def carbon(
@@ -87,12 +91,12 @@ def carbon(
     page_per_line: bool = False,
 ) -> int:
     pages = payloads.read_carbon(spark, payload_path, page_per_line=page_per_line)
-    rows = validate(pages, contracts.CARBON)
     name = watermarks.CARBON.name
     fresh = _incremental(
-        spark, rows, watermarks.CARBON, name, parse_minute_z, "from", watermark_path, as_of
+        spark, pages, watermarks.CARBON, name, parse_minute_z, "from", watermark_path, as_of
     )
-    return _land(spark, fresh, bronze_path, watermark_path, name, "to", as_of)
+    rows = validate(fresh, contracts.CARBON)
+    return _land(spark, rows, bronze_path, watermark_path, name, "to", as_of)
 
 
 def combine_weather(archive: DataFrame, forecast: DataFrame) -> DataFrame:
@@ -119,12 +123,12 @@ def weather(
         payloads.read_weather(spark, archive_path, zero_fill, page_per_line),
         payloads.read_weather(spark, forecast_path, zero_fill, page_per_line),
     )
-    rows = validate(both, contracts.WEATHER)
     feed = watermarks.WEATHER
     fresh = _incremental(
-        spark, rows, feed, feed.name, parse_minute, "time", watermark_path, as_of
+        spark, both, feed, feed.name, parse_minute, "time", watermark_path, as_of
     )
+    rows = validate(fresh, contracts.WEATHER)
     limit = as_datetime(as_of).strftime(feed.pattern)
     return _land(
-        spark, fresh, bronze_path, watermark_path, feed.name, "time", as_of, mark_limit=limit
+        spark, rows, bronze_path, watermark_path, feed.name, "time", as_of, mark_limit=limit
     )

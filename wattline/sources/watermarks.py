@@ -87,12 +87,16 @@ def next_range(
     return (start, end) if start < end else None
 
 
+def in_next_range(ts: Column, feed: Feed, watermark: str | None, as_of: Moment) -> Column:
+    bounds = next_range(feed, watermark, as_of)
+    if bounds is None:
+        return F.lit(False)
+    return ts.between(instant(bounds[0]), instant(bounds[1]))
+
+
 def incremental_slice(
     df: DataFrame, ts: Column, feed: Feed, watermark: str | None, as_of: Moment
 ) -> DataFrame:
     """Rows of the next load. The boundary period is read again on purpose;
     silver absorbs the overlap."""
-    bounds = next_range(feed, watermark, as_of)
-    if bounds is None:
-        return df.filter(F.lit(False))
-    return df.filter(ts.between(instant(bounds[0]), instant(bounds[1])))
+    return df.filter(in_next_range(ts, feed, watermark, as_of))
