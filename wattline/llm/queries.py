@@ -12,6 +12,7 @@ from wattline.llm import (
     decontamination,
     langid,
     mixing,
+    near_dedup,
     personal_data,
     quality_rules,
     secret_scan,
@@ -95,6 +96,11 @@ def _(spark, sf):
     return token_counts.count_tokens(table(spark, sf, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+@query("op4_near_dedup")
+def _(spark, sf):
+    return near_dedup.find_groups(table(spark, sf, "documents"))
+
+
 @query("op5_secret_scan")
 def _(spark, sf):
     documents = table(spark, sf, "documents")
