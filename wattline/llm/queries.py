@@ -16,6 +16,7 @@ from wattline.llm import (
     personal_data,
     quality_rules,
     secret_scan,
+    suffix_dedup,
     token_counts,
 )
 from wattline.llm.workers import importable
@@ -107,6 +108,11 @@ def _(spark, sf):
     return secret_scan.find_secrets(documents, secret_scan.sample_and_train(spark, documents))
 
 
+@query("op6_suffix_dedup")
+def _(spark, sf):
+    return suffix_dedup.remove_repeats(table(spark, sf, "documents"))
+
+
 @query("op7_decontamination")
 def _(spark, sf):
     found = decontamination.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
