@@ -94,19 +94,20 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
     """Cells with ``share``: scaled in turn until source, language and topic sums fit."""
     total = cells.agg(F.sum("tokens")).first()[0] or 1
     fitted = cells.withColumn("share", F.col("tokens") / F.lit(float(total)))
+    for margin in MARGINS:  # a category without a target gets nothing
+        aim = targets[margin].select(margin, F.col("target").alias(f"_{margin}_target"))
+        fitted = fitted.join(aim, margin, "left")
+    fitted = cut_lineage(fitted.na.fill(0.0, [f"_{m}_target" for m in MARGINS]))
+    columns = fitted.columns
     for _ in range(rounds):
         for margin in MARGINS:
-            factor = (
-                fitted.groupBy(margin)
-                .agg(F.sum("share").alias("have"))
-                .join(targets[margin], margin, "left")
-                .select(margin, F.coalesce(F.col("target") / F.col("have"), F.lit(0.0)).alias("factor"))
-            )
-            fitted = fitted.join(factor, margin).select(
-                *MARGINS, "tokens", (F.col("share") * F.col("factor")).alias("share")
+            factor = fitted.groupBy(margin).agg(
+                F.try_divide(F.max(f"_{margin}_target"), F.sum("share")).alias("_factor")
             )
+            share = F.col("share") * F.coalesce(F.col("_factor"), F.lit(0.0))
+            fitted = fitted.join(factor, margin).withColumn("share", share).select(*columns)
         fitted = cut_lineage(fitted)
-    return fitted
+    return fitted.select(*MARGINS, "tokens", "share")
 
 
 def calibrate(fitted: DataFrame, budget: float, rounds: int = CALIBRATIONS) -> DataFrame:
@@ -163,9 +164,9 @@ def mix(
         F.col("source").alias("_source"),
         F.col("lang").alias("_lang"),
         F.col("topic").alias("mix_topic"),
-        "probability",
+        F.col("probability").alias("_chance"),
     )
-    chance = F.coalesce(F.col("probability"), F.lit(float(budget)))
+    chance = F.coalesce(F.col("_chance"), F.lit(float(budget)))
     return (
         drawn.join(odds, ["_source", "_lang", "mix_topic"], "left")
         .where(uniform(F.col("doc_id")) < chance)
