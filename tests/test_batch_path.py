@@ -298,12 +298,23 @@ def test_merge_discards_an_unfinished_copy(spark, folder, rows):
     assert rows(spark.read.parquet(path), "k", "v") == [(1, "a"), (2, "b")]
 
 
-def test_merge_beyond_the_listed_partitions(spark, folder, rows, monkeypatch):
-    monkeypatch.setattr(upsert, "LISTED_PARTITIONS", 1)
+@pytest.mark.parametrize("months", [3, 150])
+def test_merge_keeps_untouched_rows_of_the_null_partition(spark, folder, rows, months):
     path = folder("t")
-    merge(spark, path, (1, "a", 1), (2, "a", 2), (3, "a", 3))
-    merge(spark, path, (1, "b", 1), (2, "b", 2))
-    assert rows(spark.read.parquet(path), "k", "v") == [(1, "b"), (2, "b"), (3, "a")]
+    first = [(k, "a", k % months if k % 4 else None) for k in range(400)]
+    second = [(k, "b", k % months if k % 4 else None) for k in range(0, 400, 6)]
+    merge(spark, path, *first)
+    merge(spark, path, *second)
+    expected = {k: v for k, v, _ in first} | {k: v for k, v, _ in second}
+    assert rows(spark.read.parquet(path), "k", "v") == sorted(expected.items(), key=str)
+
+
+def test_merge_of_only_null_or_no_rows(spark, folder, rows):
+    path = folder("t")
+    merge(spark, path, (1, "a", 1), (2, "a", None))
+    merge(spark, path, (3, "b", None))
+    merge(spark, path, *[(9, "z", 1)][:0])
+    assert rows(spark.read.parquet(path), "k", "v") == [(1, "a"), (2, "a"), (3, "b")]
 
 
 # ---- gold ---------------------------------------------------------------------------

@@ -127,14 +127,16 @@ def test_single_event_has_no_score(make):
     assert monitor.zscore_outliers(make(event(1, 60)), NOW, k=0).count() == 0
 
 
-def test_outlier_join_beyond_the_broadcast_bound(make, rows, monkeypatch):
-    from wattline.operators import joins
-
+def test_outlier_join_without_broadcast(spark, make, rows):
     df = make(*[event(i, 60 + i, float(i % 7), region=f"R{i % 5}") for i in range(200)])
-    broadcast = rows(monitor.zscore_outliers(df, NOW, k=1))
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
-    plain = monitor.zscore_outliers(df, NOW, k=1)
-    assert rows(plain) == broadcast and broadcast
+    small = rows(monitor.zscore_outliers(df, NOW, k=1))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        assert rows(monitor.zscore_outliers(df, NOW, k=1)) == small and small
+    finally:
+        spark.conf.set(key, before)
 
 
 def test_level_rules(make, rows):

@@ -144,9 +144,45 @@ def test_event_round_trip(spark, rows):
     assert rows(again) == rows(df)
 
 
+GOOD_EVENT = {
+    "event_id": "a", "region": "GB", "timestamp": "2024-03-01T10:00Z", "demand_mw": 1, "generation_mw": 2.5,
+    "carbon_intensity_gco2_kwh": 0, "source": "meter",
+}
+
+
+def event_lines(spark, *changes):
+    lines = [c if isinstance(c, str) else json.dumps({k: v for k, v in (GOOD_EVENT | c).items() if v != "drop"})
+             for c in changes]
+    return spark.createDataFrame([(x,) for x in lines], "value string")
+
+
 def test_event_source_defaults_to_synthetic(spark, rows):
-    df = spark.createDataFrame([('{"event_id": "a", "timestamp": "2024-03-01T10:00Z"}',)], "value string")
-    assert rows(events.parse_event_json(df), "event_id", "source") == [("a", "synthetic")]
+    lines = event_lines(spark, {"source": "drop"}, {"event_id": "b", "source": None})
+    assert rows(events.parse_event_json(lines), "event_id", "source") == [("a", "synthetic"), ("b", "synthetic")]
+
+
+@pytest.mark.parametrize(
+    "change, reason",
+    [
+        ("not json at all", "not an event"),
+        ("", "not an event"),
+        ("[1, 2]", "not an event"),
+        ({"timestamp": "yesterday"}, "timestamp: not a valid time"),
+        ({"timestamp": "drop"}, "timestamp: missing"),
+        ({"demand_mw": "many"}, "demand_mw: not a valid double"),
+        ({"generation_mw": float("nan")}, "generation_mw: not a valid double"),
+        ({"region": None, "demand_mw": None}, "region: missing; demand_mw: missing"),
+    ],
+)
+def test_bad_event_lines_are_rejected_with_a_reason(spark, change, reason):
+    checked = events.checked_events(event_lines(spark, change, {}))
+    assert [r["_reason"] for r in events.rejected(checked).collect()] == [reason]
+    assert [r["event_id"] for r in events.accepted(checked).collect()] == ["a"]
+
+
+def test_a_number_in_quotes_is_a_number(spark, rows):
+    lines = event_lines(spark, {"demand_mw": "12.5"})
+    assert rows(events.parse_event_json(lines), "demand_mw") == [(12.5,)]
 
 
 def test_newest_reading_becomes_an_event(spark, put, rows):

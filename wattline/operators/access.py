@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.operators.joins import join_measured
+from wattline.operators.joins import join_fixed
 
 
 def entitled_rows(
@@ -18,4 +18,4 @@ def entitled_rows(
         .select(F.col("member").alias(member))
         .distinct()
     )
-    return join_measured(df, granted, [member]).select(*df.columns)
+    return join_fixed(df, granted, [member]).select(*df.columns)

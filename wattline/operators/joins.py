@@ -3,23 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from wattline.operators.storage import cut_lineage
 
-# A few megabytes at the row widths in use; beyond it nothing is broadcast.
-BROADCAST_ROWS = 100_000
 
+def join_fixed(large: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join with a side that is computed once and stored first.
 
-def join_measured(large: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join whose strategy follows from the measured size of ``small``.
-
-    ``small`` (an aggregate, a permission list) is computed once and fixed, then
-    counted. Up to ``BROADCAST_ROWS`` rows it is broadcast and ``large`` is not
-    shuffled at all. Beyond that both sides are plain shuffles of stored rows,
-    the shape whose hot keys adaptive execution splits over several tasks.
+    Nothing is forced: from the stored side's measured bytes adaptive execution
+    broadcasts it below the session's threshold, and beyond that runs a shuffle
+    whose hot keys it splits over several tasks.
     """
-    fixed = cut_lineage(small)
-    if fixed.count() <= BROADCAST_ROWS:
-        fixed = F.broadcast(fixed)
-    return large.join(fixed, keys)
+    return large.join(cut_lineage(small), keys)

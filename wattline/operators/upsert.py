@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from wattline.operators import storage
 
-# More touched partitions than this are found by a join, not by a literal list.
-LISTED_PARTITIONS = 2_000
 _STAGED = "_merge"
 
 
@@ -69,14 +67,22 @@ def _partitions(spark: SparkSession, path: str) -> list[str]:
 
 
 def _touched(target: DataFrame, source: DataFrame, partition_by: str) -> DataFrame:
-    touched = source.select(partition_by).distinct()
-    listed = [row[0] for row in touched.limit(LISTED_PARTITIONS + 1).collect()]
-    if len(listed) > LISTED_PARTITIONS:
-        return target.join(touched, partition_by, "left_semi").select(*target.columns)
-    wanted = F.col(partition_by).isin([v for v in listed if v is not None])
-    if None in listed:
-        wanted = wanted | F.col(partition_by).isNull()
-    return target.filter(wanted)
+    """Target rows of the partitions that the source names, NULL among them.
+
+    One aggregate row bounds the partition value, so folders outside the range are
+    not opened; the null-safe join then keeps exactly the named partitions, however
+    many there are.
+    """
+    value = F.col(partition_by)
+    low, high, nulls = source.agg(
+        F.min(value), F.max(value), F.coalesce(F.bool_or(value.isNull()), F.lit(False))
+    ).first()
+    wanted = value.between(low, high) if low is not None else F.lit(False)
+    if nulls:
+        wanted = wanted | value.isNull()
+    named = source.select(partition_by).distinct()
+    t, s = target.filter(wanted).alias("t"), named.alias("s")
+    return t.join(s, F.col(f"t.{partition_by}").eqNullSafe(F.col(f"s.{partition_by}")), "left_semi")
 
 
 def _publish(spark: SparkSession, staged: str, path: str) -> None:

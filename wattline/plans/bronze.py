@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wattline.functions.time import Moment, as_datetime, parse_hour, parse_minute, parse_minute_z
@@ -24,16 +24,15 @@ def _land(
     bronze_path: str,
     watermark_path: str,
     mark_name: str,
-    mark_column: str,
+    mark: Column,
     as_of: Moment,
-    mark_limit: str | None = None,
 ) -> int:
     """Append the rows and advance the mark, counting during the write itself."""
     seen = Observation()
     observed = rows.observe(
         seen,
         F.count(F.lit(1)).alias("rows"),
-        high_watermark(mark_column, mark_limit).alias("mark"),
+        mark.alias("mark"),
     )
     land_bronze(observed, bronze_path, as_of)
     # Advance only after the rows are safely stored, and only if there were any.
@@ -53,11 +52,17 @@ def _incremental(
     as_of: Moment,
 ) -> DataFrame:
     """Rows of the next load, before validation, so that a bad record of an old
-    page does not block later loads. A record without a time belongs to no range
-    and stays in, for the contract to reject."""
+    page does not block later loads. A record without a readable time belongs to
+    no range and stays in: without a time the contract rejects it, an unreadable
+    one lands as delivered and is dropped when silver is built."""
     mark = watermarks.read_watermark(spark, watermark_path, mark_name)
-    wanted = in_next_range(parse(time_column), feed, mark, as_of)
-    return rows.filter(wanted | F.col(time_column).isNull())
+    time = parse(time_column)
+    return rows.filter(in_next_range(time, feed, mark, as_of) | time.isNull())
+
+
+def _readable(column: str, parse: Callable) -> Column:
+    """The column where it holds a time; anything else must not move a mark."""
+    return F.when(parse(column).isNotNull(), F.col(column))
 
 
 def eia(
@@ -79,7 +84,8 @@ def eia(
         spark, pages, watermarks.EIA, name, parse_hour, "period", watermark_path, as_of
     )
     rows = validate(fresh, _EIA_CONTRACTS[feed])
-    return _land(spark, rows, bronze_path, watermark_path, name, "period", as_of)
+    mark = high_watermark(_readable("period", parse_hour))
+    return _land(spark, rows, bronze_path, watermark_path, name, mark, as_of)
 
 
 def carbon(
@@ -90,13 +96,24 @@ def carbon(
     as_of: Moment,
     page_per_line: bool = False,
 ) -> int:
+    """The mark waits for the oldest slot without a measured value, at most the
+    feed's lookback, so that an estimate is replaced when the value arrives."""
     pages = payloads.read_carbon(spark, payload_path, page_per_line=page_per_line)
     name = watermarks.CARBON.name
     fresh = _incremental(
         spark, pages, watermarks.CARBON, name, parse_minute_z, "from", watermark_path, as_of
     )
     rows = validate(fresh, contracts.CARBON)
-    return _land(spark, rows, bronze_path, watermark_path, name, "to", as_of)
+    now = as_datetime(as_of)
+    pattern, lookback = watermarks.CARBON.pattern, watermarks.CARBON.lookback
+    waiting = F.min(F.when(F.col("intensity_actual").isNull(), _readable("from", parse_minute_z)))
+    newest = F.max(_readable("to", parse_minute_z))
+    oldest_wait = F.lit((now - lookback).strftime(pattern))
+    held = F.least(newest, F.lit(now.strftime(pattern)), F.greatest(waiting, oldest_wait))
+    mark = F.when(newest.isNotNull() & waiting.isNotNull(), held).otherwise(
+        high_watermark(_readable("to", parse_minute_z))
+    )
+    return _land(spark, rows, bronze_path, watermark_path, name, mark, as_of)
 
 
 def combine_weather(archive: DataFrame, forecast: DataFrame) -> DataFrame:
@@ -129,6 +146,5 @@ def weather(
     )
     rows = validate(fresh, contracts.WEATHER)
     limit = as_datetime(as_of).strftime(feed.pattern)
-    return _land(
-        spark, rows, bronze_path, watermark_path, feed.name, "time", as_of, mark_limit=limit
-    )
+    mark = high_watermark(_readable("time", parse_minute), limit)
+    return _land(spark, rows, bronze_path, watermark_path, feed.name, mark, as_of)

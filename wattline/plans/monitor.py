@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wattline.functions.measures import LOW_CARBON_LIMIT, z_score
 from wattline.functions.time import Moment, instant, newer_than, seconds_between, time_bin
-from wattline.operators.joins import join_measured
+from wattline.operators.joins import join_fixed
 from wattline.sources.events import CARBON_SOURCE, SYNTHETIC_SOURCE
 
 ERCOT = "ERCOT"
@@ -293,7 +293,7 @@ def zscore_outliers(
     readings = _recent(events, recent, as_of, _synthetic()).select(
         "event_id", "timestamp", by, value
     )
-    scored = join_measured(readings, stats, [by]).withColumn(
+    scored = join_fixed(readings, stats, [by]).withColumn(
         "z_score", z_score(value, "_mean", "_deviation")
     )
     return (

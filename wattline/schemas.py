@@ -73,14 +73,15 @@ WEATHER_PAGE = _fields(
     )
 )
 
-# One JSON object per event. The time arrives as text in two shapes.
+# One JSON object per event, everything read as text so that the contract can
+# tell a missing value from an unreadable one. Times come in two shapes.
 GRID_EVENT_JSON = _fields(
     ("event_id", _TEXT),
     ("region", _TEXT),
     ("timestamp", _TEXT),
-    ("demand_mw", _REAL),
-    ("generation_mw", _REAL),
-    ("carbon_intensity_gco2_kwh", _REAL),
+    ("demand_mw", _TEXT),
+    ("generation_mw", _TEXT),
+    ("carbon_intensity_gco2_kwh", _TEXT),
     ("source", _TEXT),
 )
 

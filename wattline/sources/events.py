@@ -8,41 +8,71 @@ from pyspark.sql import functions as F
 from wattline import schemas
 from wattline.functions.measures import first_nonzero
 from wattline.functions.time import ISO_SECOND_PATTERN, parse_event_time
+from wattline.operators.contracts import GRID_EVENT, REASON, inspect
 
 CARBON_SOURCE = "carbonintensity.org.uk"
 SYNTHETIC_SOURCE = "synthetic"
 
 
-def typed_events(raw: DataFrame) -> DataFrame:
-    """Typed event columns from the text-timed JSON columns."""
-    return raw.select(
-        "event_id",
-        "region",
-        parse_event_time("timestamp").alias("timestamp"),
-        "demand_mw",
-        "generation_mw",
-        "carbon_intensity_gco2_kwh",
-        F.coalesce("source", F.lit(SYNTHETIC_SOURCE)).alias("source"),
+BODY = "_body"
+
+
+def checked_events(lines: DataFrame, text: str = "value") -> DataFrame:
+    """Typed events of JSON lines with ``_reason`` (NULL for a good one) and the raw ``_body``.
+
+    A line that is no JSON object, a missing or unreadable time and a measure that
+    is no number each have a reason; a number in quotes is a number.
+    """
+    body = F.col(text).cast("string")
+    parsed = lines.select(body.alias(BODY), F.from_json(body, schemas.GRID_EVENT_JSON).alias("e"))
+    nothing = F.coalesce(*[F.col(f"e.{c}") for c in schemas.GRID_EVENT_COLUMNS]).isNull()
+    checked = inspect(parsed.select(BODY, nothing.alias("_nothing"), "e.*"), GRID_EVENT, keep=[BODY, "_nothing"])
+    time = parse_event_time("timestamp")
+    bad_time = F.when(
+        time.isNull() & F.col("timestamp").isNotNull(), F.lit("timestamp: not a valid time")
     )
+    reason = F.when(F.col("_nothing"), F.lit("not an event")).otherwise(
+        F.nullif(F.concat_ws("; ", F.col(REASON), bad_time), F.lit(""))
+    )
+    columns = [time.alias(c) if c == "timestamp" else F.col(c) for c in schemas.GRID_EVENT_COLUMNS]
+    return checked.select(*columns, BODY, reason.alias(REASON))
+
+
+def accepted(checked: DataFrame) -> DataFrame:
+    """The good events; a frame without reasons is taken as it is."""
+    if REASON not in checked.columns:
+        return checked
+    return checked.where(F.col(REASON).isNull()).drop(REASON, BODY)
+
+
+def rejected(checked: DataFrame) -> DataFrame:
+    """The raw lines that are no events, each with its reason."""
+    return checked.where(F.col(REASON).isNotNull()).select(BODY, REASON)
 
 
 def parse_event_json(df: DataFrame, text: str = "value") -> DataFrame:
-    """Events held as JSON text, as a message bus delivers them."""
-    body = F.from_json(F.col(text).cast("string"), schemas.GRID_EVENT_JSON)
-    return typed_events(df.select(body.alias("e")).select("e.*"))
+    """Good events held as JSON text, as a message bus delivers them."""
+    return accepted(checked_events(df, text))
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    return typed_events(spark.read.schema(schemas.GRID_EVENT_JSON).json(path))
+    return parse_event_json(spark.read.text(path))
 
 
-def read_events_stream(
+def read_checked_stream(
     spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    reader = spark.readStream.schema(schemas.GRID_EVENT_JSON)
+    """Good and bad lines; sinks that store rejects take this one."""
+    reader = spark.readStream
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return typed_events(reader.json(path))
+    return checked_events(reader.text(path))
+
+
+def read_events_stream(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    return accepted(read_checked_stream(spark, path, max_files_per_trigger))
 
 
 def events_to_json(events: DataFrame) -> DataFrame:

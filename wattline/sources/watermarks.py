@@ -37,7 +37,7 @@ def write_watermark(
     mark.coalesce(1).write.mode("append").partitionBy("source").parquet(path)
 
 
-def high_watermark(column: str, limit: str | None = None) -> Column:
+def high_watermark(column: str | Column, limit: str | None = None) -> Column:
     """Greatest value of a sortable text column, optionally held at ``limit``.
 
     NULL over no rows, in which case the caller leaves the mark where it is.
