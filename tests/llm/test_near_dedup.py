@@ -130,3 +130,18 @@ def test_components(spark, shape):
             parent[max(x, y)] = min(x, y)
     found = {r["node"]: r["component"] for r in connected(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert found == {x: root(x) for x in list(parent)}
+
+
+def test_a_block_returns_a_forest_not_its_pairs(documents):
+    """Many pairs near the threshold: all compared, few returned."""
+    rng = random.Random(8)
+    base = text_of(rng, 146)
+    docs = list(enumerate(edited(rng, base, rng.randint(3, 7)) for _ in range(260)))
+    check(near_dedup.find_groups(documents(docs)), docs)
+    texts = [t for _, t in docs]
+    found, first, own = _sketch(texts)
+    ids, every = np.arange(len(texts)), np.ones(len(texts), bool)
+    pairs = []
+    for band in range(near_dedup.REGISTERS // near_dedup.ROWS):
+        pairs += near_dedup._forest(ids, ids, np.diff(first), own, found, first, every, every, band)
+        assert len(pairs) <= (band + 1) * (len(texts) - 1)

@@ -14,8 +14,9 @@ with about the probability of their similarity.
    sizes by likelihood; pairs that cannot be similar enough go.
 4. The best pair of each document is verified on the full sets, and components
    are built. What a bucket's members have not been compared with is then only
-   of interest across components: those pairs are formed in blocks inside tasks,
-   estimated there, and the survivors are verified too.
+   of interest across components. Those members meet in blocks inside tasks,
+   where pairs are array cells: estimated first, the open ones verified on the
+   full sets. A block returns a forest over its components, never its pairs.
 
 A pair at the threshold shares no bucket with a probability of 2.5e-7; every
 link that is reported has been confirmed on the full sets of shingles.
@@ -52,8 +53,9 @@ TOP = (1 << 16) - 2
 #: Likelihood-ratio statistic beyond which a pair is given up: five standard deviations.
 GIVE_UP = 25.0
 
-#: Members of a bucket that meet in one task at a time.
-BLOCK = 256
+#: Members of a bucket, and shingles of theirs, that make a block; two blocks meet in a task.
+BLOCK = 1024
+BLOCK_SHINGLES = 1_000_000
 
 BLANKS = byte_set((0x20, 0x20), (0x09, 0x0D))
 
@@ -180,7 +182,7 @@ def _registers_of(column: pa.Array) -> np.ndarray:
 
 
 def _bands(sets: DataFrame) -> DataFrame:
-    """``key, id``: one row for each band of each set."""
+    """``key, band, id``: one row for each band of each set."""
     kind = sets.schema["id"].dataType.simpleString()
     count = REGISTERS // ROWS
 
@@ -193,10 +195,15 @@ def _bands(sets: DataFrame) -> DataFrame:
             key = mixed(key ^ mixed(np.arange(1, count + 1, dtype=np.uint64))[None, :])
             rows = pa.array(np.repeat(np.arange(len(own)), count))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.ravel().view(np.int64)), batch.column("id").take(rows)], names=["key", "id"]
+                [
+                    pa.array(key.ravel().view(np.int64)),
+                    pa.array(np.tile(np.arange(count, dtype=np.int16), len(own))),
+                    batch.column("id").take(rows),
+                ],
+                names=["key", "band", "id"],
             )
 
-    return sets.select("id", "registers").mapInArrow(cut, f"key long, id {kind}")
+    return sets.select("id", "registers").mapInArrow(cut, f"key long, band short, id {kind}")
 
 
 def _estimated(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -223,57 +230,90 @@ def _estimated(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.where(sizes).mapInArrow(judge, f"u {kind}, v {kind}, similarity double")
 
 
-def _across(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs ``u, v`` inside a bucket but across components that may be similar enough.
+def _first_band(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """First band in which sketch ``a`` agrees with each of ``b``."""
+    same = (a == b).reshape(len(b), -1, ROWS).all(axis=2)
+    return same.argmax(axis=1)
+
 
-    ``members`` has ``key, id, component``. A bucket's members are dealt into
-    blocks; every two blocks meet in a group of their own, where pairs exist only
-    as array cells.
+def _forest(ids, component, n, own, found, first, left, right, band):
+    """Links between components of one block or two, as few as join what is linked.
+
+    ``left`` and ``right`` say which members are compared with which. A pair that
+    meets in an earlier band is that band's business.
+    """
+    _, local = np.unique(found, return_inverse=True)
+    group = np.unique(component, return_inverse=True)[1]
+    mark = np.zeros(local.max(initial=-1) + 1, bool)
+    pairs = []
+    for k in np.flatnonzero(left):
+        rest = np.flatnonzero(right & (group != group[k]))
+        if left[rest].any() and right[k]:
+            rest = rest[(rest > k) | ~left[rest]]
+        if not len(rest):
+            continue
+        _, open_ = estimate(
+            (own[k] > own[rest]).sum(axis=1), (own[k] < own[rest]).sum(axis=1), np.full(len(rest), n[k]), n[rest]
+        )
+        rest = rest[open_]
+        rest = rest[_first_band(own[k], own[rest]) == band] if len(rest) else rest
+        if not len(rest):
+            continue
+        mark[local[first[k] : first[k + 1]]] = True
+        sizes = first[rest + 1] - first[rest]
+        at = np.repeat(first[rest] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
+        both = np.add.reduceat(mark[local[at]].astype(np.int64), np.concatenate(([0], np.cumsum(sizes)[:-1])))
+        mark[local[first[k] : first[k + 1]]] = False
+        linked = rest[100 * both >= PERCENT * (first[k + 1] - first[k] + sizes - both)]
+        joined, one = np.unique(group[linked], return_index=True)
+        for other in linked[one]:
+            pairs.append((min(ids[k], ids[other]), max(ids[k], ids[other])))
+        if len(joined):
+            group[np.isin(group, joined)] = group[k]
+    return pairs
+
+
+def _across(members: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """Verified links ``u, v`` inside a bucket but across components.
+
+    ``members`` has ``key, band, id, component``. A bucket's members are dealt into
+    blocks by a hash; every two blocks meet in a group of their own.
     """
     kind = sets.schema["id"].dataType.simpleString()
-    size = members.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
+    mixed_up = (
+        members.groupBy("key")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low <> high")
+        .select("key")
     )
-    mixed_up = size.where("low <> high and size > 2").select(
-        "key", F.ceil(F.col("size") / BLOCK).cast("int").alias("n_blocks")
+    rows = cut_lineage(
+        members.join(mixed_up, "key", "left_semi").join(sets.select("id", "n", "registers"), "id")
+    )
+    weight = rows.groupBy("key").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("n_blocks")
     )
-    rows = members.join(mixed_up, "key").join(sets.select("id", "n", "registers"), "id")
     block = F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int")
-    met = rows.withColumn("block", block).withColumn(
+    met = rows.join(weight, "key").withColumn("block", block).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
     )
-    met = met.select(
+    met = met.join(texts.select(F.col("doc_id").alias("id"), "text"), "id").select(
         "key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
-        (F.col("block") == F.least("block", "other")).alias("first"), "id", "component", "n", "registers",
+        "block", "band", "id", "component", "n", "registers", "text",
     )
 
-    def pairs(group: pa.Table) -> pa.Table:
-        ids, component = group.column("id").to_numpy(), group.column("component").to_numpy()
-        n, own = group.column("n").to_numpy(), _registers_of(group.column("registers"))
-        first = group.column("first").to_numpy()
-        same = group.column("one")[0].as_py() == group.column("two")[0].as_py()
-        u, v = [], []
-        for k in range(len(ids)):
-            if same:
-                rest = np.arange(k + 1, len(ids))
-            elif first[k]:
-                rest = np.flatnonzero(~first)
-            else:
-                continue
-            rest = rest[component[rest] != component[k]]
-            if not len(rest):
-                continue
-            _, open_ = estimate(
-                (own[k] > own[rest]).sum(axis=1), (own[k] < own[rest]).sum(axis=1),
-                np.full(len(rest), n[k]), n[rest],
-            )
-            rest = rest[open_]
-            u.append(np.minimum(ids[k], ids[rest]))
-            v.append(np.maximum(ids[k], ids[rest]))
-        flat = lambda x: np.concatenate(x) if x else ids[:0]
-        return pa.table({"u": flat(u), "v": flat(v)})
+    def join_up(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        values = {c: group.column(c).to_numpy() for c in ("id", "component", "n", "block", "one", "two", "band")}
+        found, first = shingle_sets(*text_bytes(group.column("text").combine_chunks()))
+        left, right = values["block"] == values["one"], values["block"] == values["two"]
+        own = _registers_of(group.column("registers"))
+        pairs = _forest(
+            values["id"], values["component"], values["n"], own, found, first, left, right, values["band"][0]
+        )
+        u, v = zip(*pairs) if pairs else ((), ())
+        return pa.table({"u": np.array(u, values["id"].dtype), "v": np.array(v, values["id"].dtype)})
 
-    return met.groupBy("key", "one", "two").applyInArrow(pairs, f"u {kind}, v {kind}").distinct()
+    return met.groupBy("key", "one", "two").applyInArrow(join_up, f"u {kind}, v {kind}")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -321,7 +361,7 @@ def find_groups(documents: DataFrame) -> DataFrame:
 
     bands = _bands(sets)
     buckets = bands.groupBy("key").agg(F.min("id").alias("center"), F.count("*").alias("size"))
-    members = cut_lineage(bands.join(buckets.where("size > 1"), "key").select("key", "id", "center", "size"))
+    members = cut_lineage(bands.join(buckets.where("size > 1"), "key").select("key", "band", "id", "center", "size"))
     stars = members.where("id <> center").select(F.col("center").alias("u"), F.col("id").alias("v")).distinct()
     candidates = cut_lineage(_estimated(stars, sets))
 
@@ -340,10 +380,12 @@ def find_groups(documents: DataFrame) -> DataFrame:
         own = component.select(F.col("node").alias(column), F.col("component").alias(f"_{name}"))
         return frame.join(own, column, "left").withColumn(name, F.coalesce(f"_{name}", column)).drop(f"_{name}")
 
-    open_stars = placed(placed(candidates, "u", "cu"), "v", "cv").where("cu <> cv").select("u", "v")
-    crossing = _across(placed(members.where("size > 2"), "id", "component"), sets)
-    rest = open_stars.unionByName(crossing).distinct().join(tried, ["u", "v"], "left_anti")
-    links = links.unionByName(_verified(rest, texts))
+    # Two members are a pair, already estimated; more meet in blocks.
+    twos = members.where("size = 2 and id <> center").select(F.col("center").alias("u"), F.col("id").alias("v"))
+    apart = placed(placed(candidates, "u", "cu"), "v", "cv").where("cu <> cv").select("u", "v")
+    rest = apart.join(twos.distinct(), ["u", "v"], "left_semi").join(tried, ["u", "v"], "left_anti")
+    crossing = _across(placed(members.where("size > 2"), "id", "component"), sets, texts)
+    links = links.unionByName(_verified(rest, texts)).unionByName(crossing)
 
     final = connected(links.unionByName(copies))
     out = rows.join(final, rows["doc_id"] == final["node"], "left").select(
