@@ -5,10 +5,11 @@ else. Sorting every suffix of a corpus is out of reach, so a sample of positions
 is sorted and everything else follows from it, as in a difference-cover suffix
 array:
 
+0. Texts that occur more than once go whole; one of each stays in the search.
 1. *Sample.* A position is sampled if its gram has the smallest hash among the
    ``SPAN`` grams of some window. Two equal strings have their first window's
    sample at the same offset: the cover property, here from the content, with
-   about two positions in a hundred instead of two in three.
+   about three positions in two hundred instead of two in three.
 2. *Sampled triples.* Each sampled suffix is named by three consecutive blocks,
    which every string it stands for contains. A name that occurs once stands for
    strings that occur once, and is dropped.
@@ -18,7 +19,7 @@ array:
    stand for is repeated: that settles the inside of copies.
 4. *Merge the remaining suffixes.* Where one first name has several second names,
    an edge of a copy is near. One suffix of each second name contributes all its
-   strings, by offset, and equal neighbours within a first name are the repeats.
+   strings, and strings that meet an equal one are the repeats.
 5. The bytes covered by repeated strings are removed from each row.
 
 Only equality of prefixes matters for the result, so "sorting" is grouping by a
@@ -37,19 +38,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattline.llm.blocks import blocks, mixed, prefixes, spans
 from wattline.llm.sieve import passes, sieve_of, sifted
-from wattline.operators.storage import cut_lineage
+from wattline.llm.tables import Scratch
 
 #: Length of the strings that must not repeat.
 LENGTH = 200
 
 #: Grams in a sampling window, and bytes in a gram.
-SPAN = 96
+SPAN = 128
 GRAM = 16
 
 #: Bytes right of a sampled position that every string it stands for contains.
@@ -120,6 +121,10 @@ def _keyed(documents: DataFrame) -> DataFrame:
     )
 
 
+def _row_key() -> Column:
+    return F.xxhash64("id", "text_key")
+
+
 def _first_names(rows: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offsets in blocks(batches):
@@ -132,16 +137,24 @@ def _first_names(rows: DataFrame) -> DataFrame:
     return rows.select("text").mapInArrow(cut, "name long, n long")
 
 
+def _schema(id_type, longs: list[str], integers: list[str]) -> T.StructType:
+    return T.StructType(
+        [T.StructField("id", id_type)]
+        + [T.StructField(c, T.LongType()) for c in longs]
+        + [T.StructField(c, T.IntegerType()) for c in integers]
+    )
+
+
 def _suffixes(rows: DataFrame, sieve) -> DataFrame:
-    """``id, text_key, name, second, offset, low, high`` of sampled suffixes that may repeat."""
-    id_type = rows.schema["id"].dataType
+    """``id, text_key, name, second, low, high`` of sampled suffixes that may repeat."""
+    schema = _schema(rows.schema["id"].dataType, ["text_key", "name", "second"], ["low", "high"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in blocks(batches):
             row, at, low, high, running = sampled(data, offsets)
             first, second = _names(running, at, low, high)
             kept = passes(sieve.value, first)
-            row, at, low, high = row[kept], at[kept], low[kept], high[kept]
+            row, low, high = row[kept], low[kept], high[kept]
             owner = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -152,56 +165,57 @@ def _suffixes(rows: DataFrame, sieve) -> DataFrame:
                     pa.array(low - offsets[row], pa.int32()),
                     pa.array(high - offsets[row], pa.int32()),
                 ],
-                names=["id", "text_key", "name", "second", "low", "high"],
+                names=schema.names,
             )
 
-    schema = T.StructType(
-        [T.StructField("id", id_type)]
-        + [T.StructField(c, T.LongType()) for c in ("text_key", "name", "second")]
-        + [T.StructField(c, T.IntegerType()) for c in ("low", "high")]
-    )
-    return rows.mapInArrow(cut, schema)
+    return rows.select("id", "text_key", "text").mapInArrow(cut, schema)
+
 
+def _strings_of(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
+    """Row, start and hash of every string of the listed suffixes."""
+    wanted = batch.column("wanted")
+    sizes = np.diff(np.asarray(wanted.offsets))
+    each = wanted.flatten()
+    low, high = each.field("low").to_numpy(), each.field("high").to_numpy()
+    row = np.repeat(np.repeat(np.arange(batch.num_rows), sizes), high - low + 1)
+    begin = np.concatenate(([0], np.cumsum(high - low + 1)))
+    start = np.arange(begin[-1]) - np.repeat(begin[:-1] - low, high - low + 1)
+    at = offsets[row] + start
+    return row, start, spans(prefixes(data), at, at + LENGTH)
 
-def _strings(texts: DataFrame) -> DataFrame:
-    """``id, text_key, name, string, start``: every string of the listed suffixes."""
-    id_type = texts.schema["id"].dataType
 
+def _string_counts(texts: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in blocks(batches):
-            running = prefixes(data)
-            row, name, start = [], [], []
-            for k, wanted in enumerate(batch.column("wanted").to_pylist()):
-                for w in wanted:
-                    n = w["high"] - w["low"] + 1
-                    row.append(np.full(n, k))
-                    name.append(np.full(n, w["name"], np.int64))
-                    start.append(np.arange(w["low"], w["high"] + 1))
-            if not row:
-                continue
-            row, name, start = map(np.concatenate, (row, name, start))
-            begin = offsets[row] + start
-            owner = pa.array(row)
+            own, n = np.unique(_strings_of(batch, data, offsets)[2], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], names=["string", "n"])
+
+    return texts.mapInArrow(cut, "string long, n long")
+
+
+def _strings(texts: DataFrame, sieve) -> DataFrame:
+    """``id, text_key, string, start`` of the strings that may repeat."""
+    schema = _schema(texts.schema["id"].dataType, ["text_key", "string"], ["start"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in blocks(batches):
+            row, start, string = _strings_of(batch, data, offsets)
+            kept = passes(sieve.value, string)
+            owner = pa.array(row[kept])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id").take(owner),
                     batch.column("text_key").take(owner),
-                    pa.array(name),
-                    pa.array(spans(running, begin, begin + LENGTH).view(np.int64)),
-                    pa.array(start, pa.int32()),
+                    pa.array(string[kept].view(np.int64)),
+                    pa.array(start[kept], pa.int32()),
                 ],
-                names=["id", "text_key", "name", "string", "start"],
+                names=schema.names,
             )
 
-    schema = T.StructType(
-        [T.StructField("id", id_type)]
-        + [T.StructField(c, T.LongType()) for c in ("text_key", "name", "string")]
-        + [T.StructField("start", T.IntegerType())]
-    )
     return texts.mapInArrow(cut, schema)
 
 
-def _same_row(a: DataFrame, b: DataFrame):
+def _same_row(a: DataFrame, b: DataFrame) -> Column:
     return a["text_key"].eqNullSafe(b["_key"]) & a["id"].eqNullSafe(b["_id"])
 
 
@@ -214,63 +228,69 @@ def _per_row(frame: DataFrame, name: str, *columns: str) -> DataFrame:
 
 def _holding(rows: DataFrame, lists: DataFrame) -> DataFrame:
     """The document rows that have a list, with it."""
-    sieve = sieve_of(lists, "_key")
-    near = sifted(rows, "text_key", sieve)
+    near = sifted(rows, "text_key", sieve_of(lists, "_key"))
     return near.join(lists, _same_row(near, lists)).drop("_id", "_key")
 
 
-def repeated_ranges(rows: DataFrame) -> DataFrame:
-    """``id, text_key, low, high``: starts of repeated strings, as ranges, once a row."""
+def _repeated_ranges(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """``_id, _key, ranges`` of the rows with repeated strings: their starts, as ranges."""
     counted = _first_names(rows).groupBy("name").agg(F.sum("n").alias("n"))
-    twice = cut_lineage(counted.where("n > 1").select("name"))
-    suffixes = cut_lineage(_suffixes(rows, sieve_of(twice, "name")).join(twice, "name", "left_semi"))
-
-    classes = suffixes.groupBy("name", "second").agg(
-        F.count("*").alias("n"), F.min(F.struct("id", "text_key", "low", "high")).alias("one")
+    twice = scratch.stored(counted.where("n > 1").select("name"), "names")
+    suffixes = scratch.stored(
+        _suffixes(rows, sieve_of(twice, "name")).join(twice, "name", "left_semi"), "suffixes"
+    )
+    classes = scratch.stored(
+        suffixes.groupBy("name", "second").agg(
+            F.count("*").alias("n"), F.min(F.struct("id", "text_key", "low", "high")).alias("one")
+        ),
+        "classes",
     )
-    classes = cut_lineage(classes)
     again = classes.where("n > 1").select("name", "second")
-    inside = suffixes.join(again, ["name", "second"], "left_semi").select("id", "text_key", "low", "high")
-
-    edges = classes.groupBy("name").agg(F.count("*").alias("kinds")).where("kinds > 1").select("name")
-    open_ = classes.join(edges, "name", "left_semi").select("name", "one.*")
-    strings = cut_lineage(_strings(_holding(rows, _per_row(open_, "wanted", "name", "low", "high"))))
-    repeated = strings.groupBy("name", "string").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    edge = strings.join(repeated, ["name", "string"], "left_semi").select(
-        "id", "text_key", F.col("start").alias("low"), F.col("start").alias("high")
+    inside = (
+        sifted(suffixes, "second", sieve_of(again, "second"))
+        .join(again, ["name", "second"], "left_semi")
+        .select("id", "text_key", "low", "high")
     )
-    return inside.unionByName(edge).distinct()
+
+    kinds = classes.groupBy("name").agg(F.count("*").alias("kinds"))
+    edges = scratch.stored(kinds.where("kinds > 1").select("name"), "edges")
+    open_ = sifted(classes.select("name", "one"), "name", sieve_of(edges, "name"))
+    open_ = open_.join(edges, "name", "left_semi").select("one.*")
+    wanted = scratch.stored(_per_row(open_, "wanted", "low", "high"), "wanted")
+    texts = scratch.stored(_holding(rows, wanted), "texts")
+    repeated = _string_counts(texts).groupBy("string").agg(F.sum("n").alias("n"))
+    repeated = scratch.stored(repeated.where("n > 1").select("string"), "strings")
+    edge = (
+        _strings(texts, sieve_of(repeated, "string"))
+        .join(repeated, "string", "left_semi")
+        .select("id", "text_key", F.col("start").alias("low"), F.col("start").alias("high"))
+    )
+    return _per_row(inside.unionByName(edge), "ranges", "low", "high")
 
 
-def _covered(size: int, ranges) -> np.ndarray:
+def _covered(size: int, ranges: pa.StructArray) -> np.ndarray:
     steps = np.zeros(size + 1, np.int64)
-    low = np.array([r["low"] for r in ranges], np.int64)
-    high = np.array([r["high"] for r in ranges], np.int64)
+    low, high = ranges.field("low").to_numpy(), ranges.field("high").to_numpy()
     np.add.at(steps, low, 1)
     np.add.at(steps, high + LENGTH, -1)
     return np.cumsum(steps[:-1]) > 0
 
 
-def _whole(rows: DataFrame, with_text: bool) -> DataFrame:
-    """What a row without repeated strings returns."""
-    text = [F.col("text").cast("binary").alias("kept")] * with_text
-    size = F.octet_length("text").cast("long")
-    zero = F.lit(0).cast("long")
-    return rows.select(
-        "id", "text_key", size.alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"),
-        F.sha2("text", 256).alias("kept_sha256"), *text,
-    )
-
-
 def _cut(texts: DataFrame, with_text: bool) -> DataFrame:
     """Rows ``id, text_key`` and what removing the listed ranges leaves."""
+    schema = T.StructType(
+        [texts.schema["id"], texts.schema["text_key"]]
+        + [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
+        + [T.StructField("kept_sha256", T.StringType())]
+        + [T.StructField("kept", T.BinaryType())] * with_text
+    )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in blocks(batches):
             removed, runs, digests, left = [], [], [], []
-            for k, ranges in enumerate(batch.column("ranges").to_pylist()):
+            for k, ranges in enumerate(batch.column("ranges")):
                 own = data[offsets[k] : offsets[k + 1]]
-                gone = _covered(len(own), ranges)
+                gone = _covered(len(own), ranges.values)
                 kept = own[~gone].tobytes()
                 removed.append(int(gone.sum()))
                 runs.append(int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()))
@@ -288,23 +308,63 @@ def _cut(texts: DataFrame, with_text: bool) -> DataFrame:
                 columns.append(pa.array(left, pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    schema = T.StructType(
-        [texts.schema["id"], texts.schema["text_key"]]
-        + [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
-        + [T.StructField("kept_sha256", T.StringType())]
-        + [T.StructField("kept", T.BinaryType())] * with_text
-    )
     return texts.mapInArrow(cut, schema)
 
 
+_RESULT = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def remove_repeats(documents: DataFrame, with_text: bool = False) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row of ``documents (doc_id, text)``.
 
     With ``with_text``, ``kept`` holds the bytes that are left.
     """
+    scratch = Scratch(documents.sparkSession, "suffix-dedup")
     rows = _keyed(documents)
-    lists = cut_lineage(_per_row(repeated_ranges(rows), "ranges", "low", "high"))
+    whole = rows.select(
+        "id", "text_key", F.xxhash64("text", F.lit(1)).alias("other_key"),
+        F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"),
+    )
+    whole = scratch.stored(whole, "whole")
+    texts = ["text_key", "other_key", "n_bytes"]
+    groups = scratch.stored(
+        whole.groupBy(*texts).agg(F.count("*").alias("copies"), F.min("id").alias("first")), "groups"
+    )
+    firsts = groups.select(F.col("first").alias("id"), "text_key").select(_row_key().alias("row_key"))
+    searched = sifted(rows.withColumn("row_key", _row_key()), "row_key", sieve_of(firsts, "row_key"))
+
+    copied = groups.where("copies > 1").select(*texts)
+    long_ = F.col("n_bytes") >= LENGTH
+    zero = F.lit(0).cast("long")
+    gone = whole.join(copied, texts).select(
+        "id", "text_key", "n_bytes",
+        F.when(long_, F.col("n_bytes")).otherwise(zero).alias("n_removed"),
+        F.when(long_, F.lit(1)).otherwise(zero).cast("long").alias("n_spans"),
+        F.when(long_, F.sha2(F.lit(""), 256)).otherwise(F.col("sha")).alias("kept_sha256"),
+    )
+    single = whole.join(copied, texts, "left_anti")
+
+    ranges = _repeated_ranges(searched.drop("row_key"), scratch)
+    of_single = single.select(F.col("id").alias("_i"), F.col("text_key").alias("_k"))
+    lists = scratch.stored(
+        ranges.join(
+            of_single,
+            ranges["_key"].eqNullSafe(of_single["_k"]) & ranges["_id"].eqNullSafe(of_single["_i"]),
+            "left_semi",
+        ),
+        "ranges",
+    )
+    scratch.drop("names", "suffixes", "classes", "edges", "wanted", "texts", "strings")
     changed = _cut(_holding(rows, lists), with_text)
-    whole = _whole(rows, with_text)
-    same = whole.join(lists, _same_row(whole, lists), "left_anti")
-    return same.unionByName(changed).drop("text_key").withColumnRenamed("id", "doc_id")
+    same = single.join(lists, _same_row(single, lists), "left_anti").select(
+        "id", "text_key", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), F.col("sha").alias("kept_sha256")
+    )
+    if with_text:
+        own = rows.select(F.col("id").alias("_id"), F.col("text_key").alias("_key"), F.encode("text", "UTF-8").alias("_raw"))
+        own = own.dropDuplicates(["_id", "_key"])
+        same = same.join(own, _same_row(same, own)).select(*same.columns, F.col("_raw").alias("kept"))
+        gone = gone.join(own, _same_row(gone, own)).select(
+            *gone.columns, F.when(F.col("n_removed") == 0, F.col("_raw")).otherwise(F.lit(b"")).alias("kept")
+        )
+    out = same.unionByName(gone).unionByName(changed)
+    return out.select(F.col("id").alias("doc_id"), *_RESULT, *["kept"] * with_text)
