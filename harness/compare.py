@@ -42,7 +42,7 @@ def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str]:
     ours = _rows(df.columns, [tuple(r) for r in df.collect()])
     took = f"{time.time() - began:.2f}s"
     if name not in ORACLE:
-        return True, f"{len(ours[1])} rows, no SQL, {took}"
+        return False, f"{len(ours[1])} rows, no SQL, {took}"
     cursor = con.execute(ORACLE[name])
     theirs = _rows([d[0] for d in cursor.description], cursor.fetchall())
     if ours[0] != theirs[0]:

@@ -17,11 +17,12 @@ from harness import lenses
 from harness.lenses import AS_OF, FIRST_DAY, WHOLE_SPAN, portable, table
 from harness.oracle import CTES, TS, checks_sql, sql
 from wattline.functions.measures import at_least_zero
-from wattline.functions.time import parse_hour
+from wattline.functions.time import newer_than, parse_hour
 from wattline.operators import access, contracts, history, quality, retention, storage
 from wattline.operators.contracts import inspect, validate
 from wattline.operators.dedup import latest_per_key
-from wattline.operators.upsert import upsert
+from wattline.operators.storage import cut_lineage
+from wattline.operators.upsert import merge_table, upsert
 from wattline.plans import bronze, expectations, gold, insights, medallion, monitor, silver
 from wattline.session import use_utc
 from wattline.sources import events as event_source
@@ -271,6 +272,50 @@ def _(spark, sf):
     return retention.apply_retention(_events(spark, sf), "timestamp", AS_OF, "14 days")
 
 
+MIDDLE = "2024-01-20 00:00:00"
+
+
+def _stored_events(spark, sf, label: str) -> str:
+    """Events as the raw stream leaves them: one folder a day."""
+    path = f"{storage.work_folder(spark, label)}/events"
+    events = _events(spark, sf).withColumn(retention.DAY, F.to_date("timestamp"))
+    events.write.partitionBy(retention.DAY).parquet(path)
+    return path
+
+
+@query(
+    "stored_event_counts",
+    sql(f"""select source, region, count(*) as event_count from grid_events
+            where "timestamp" > timestamp '{MIDDLE}' - interval 3 day group by all"""),
+)
+def _(spark, sf):
+    """A trailing range that begins inside the data, over a table laid out by day."""
+    stored = spark.read.parquet(_stored_events(spark, sf, "stored_counts"))
+    return monitor.event_counts(stored, MIDDLE, "3 days")
+
+
+@query(
+    "stored_retention",
+    sql(f"""select * from grid_events
+            where cast("timestamp" as date) >= cast({TS} - interval 10 day as date)"""),
+)
+def _(spark, sf):
+    """What is left after the expired days have been removed from storage."""
+    path = _stored_events(spark, sf, "stored_retention")
+    retention.drop_expired_days(spark, path, AS_OF, "10 days")
+    return spark.read.parquet(path).drop(retention.DAY)
+
+
+@query(
+    "recent_rollup",
+    sql(f"""select * from rollup where "timestamp" > timestamp '{MIDDLE}' - interval 2 day"""),
+)
+def _(spark, sf):
+    return monitor.five_minute_rollup(
+        _events(spark, sf).where(newer_than("timestamp", "2 days", MIDDLE))
+    ).where(newer_than("timestamp", "2 days", MIDDLE))
+
+
 # ---- sources ----------------------------------------------------------------------
 
 
@@ -582,6 +627,82 @@ def _(spark, sf):
     return silver.read(spark, path)
 
 
+@query(
+    "merge_null_partition",
+    """select o_orderkey, case when o_orderkey % 5 <> 0 then o_orderkey % 211 end as part,
+              floor(o_totalprice) + case when o_custkey % 3 = 0 then 1 else 0 end as amount
+       from orders""",
+)
+def _(spark, sf):
+    """Two loads over many partitions, one of them the partition without a value."""
+    rows = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey") % 211).cast("int").alias("part"),
+        F.floor("o_totalprice").cast("double").alias("amount"),
+        (F.col("o_custkey") % 3 == 0).alias("again"),
+    )
+    path = storage.work_folder(spark, "merge_null")
+    merge_table(spark, path, rows.drop("again"), ["o_orderkey"], "part")
+    second = rows.where("again").withColumn("amount", F.col("amount") + 1).drop("again")
+    merge_table(spark, path, second, ["o_orderkey"], "part")
+    return spark.read.parquet(path).withColumn("part", F.col("part").cast("bigint"))
+
+
+@query(
+    "bronze_unreadable_periods",
+    sql("""select period, respondent, respondent_name, type, type_name, cast(value as double) as value,
+                  value_units, period <> 'no period' as readable
+           from bronze_demand where value <> 'n/a'"""),
+)
+def _(spark, sf):
+    """A load with unreadable periods lands every record the contract accepts."""
+    work = storage.work_folder(spark, "unreadable")
+    rows = lenses.demand_payloads(spark, sf)
+    rows.where(~F.contains("value", F.lit("n/a"))).write.text(f"{work}/in")
+    watermarks.write_watermark(spark, f"{work}/marks", "eia_demand", "1980-01-01T00", "1995-01-01 00:00:00")
+    bronze.eia(spark, f"{work}/in", "demand", f"{work}/bronze", f"{work}/marks", AS_OF, page_per_line=True)
+    landed = tables.read_table(spark, f"{work}/bronze", medallion.BRONZE_SCHEMAS["demand"])
+    return landed.drop("_ingested_at", "load_date").withColumn("readable", parse_hour("period").isNotNull())
+
+
+@query(
+    "carbon_revisions",
+    """with slots as (select distinct time_bucket(interval 30 minute, ts) as slot from events)
+       select slot as period_from, slot + interval 30 minute as period_to,
+              case when slot < timestamp '2024-01-15 12:00:00' then 100 else 200 end::double as intensity_gco2_kwh,
+              false as is_estimated
+       from slots where slot < timestamp '2024-01-15 18:00:00'""",
+)
+def _(spark, sf):
+    """Slots first delivered as estimates are measured in the next load."""
+    work = storage.work_folder(spark, "revisions")
+    slots = table(spark, sf, "events").select(F.window("ts", "30 minutes").alias("w")).distinct()
+    form, noon, evening = "yyyy-MM-dd'T'HH:mm'Z'", "2024-01-15 12:00:00", "2024-01-15 18:00:00"
+    start = F.col("w.start").cast("timestamp_ntz").cast("string")
+
+    def deliver(name: str, before: str, measured) -> None:
+        index, forecast = F.lit("low").alias("index"), F.lit(90.0).alias("forecast")
+        one = F.struct(
+            F.date_format("w.start", form).alias("from"),
+            F.date_format("w.end", form).alias("to"),
+            F.struct(measured.alias("actual"), forecast, index).alias("intensity"),
+        )
+        page = F.to_json(F.struct(F.array(one).alias("data"))).alias("value")
+        slots.where(start < before).select(page).write.text(f"{work}/in/{name}")
+
+    def load(name: str, as_of: str) -> None:
+        bronze.carbon(spark, f"{work}/in/{name}", f"{work}/bronze", f"{work}/marks", as_of, page_per_line=True)
+
+    watermarks.write_watermark(spark, f"{work}/marks", "carbon_intensity", "1995-01-01T00:00Z", "1995-01-01 00:00:00")
+    # The last hours before noon are estimates, then everything is measured.
+    deliver("a", noon, F.when(start < "2024-01-15 09:00:00", F.lit(100.0)))
+    load("a", noon)
+    deliver("b", evening, F.when(start < noon, F.lit(100.0)).otherwise(F.lit(200.0)))
+    load("b", evening)
+    landed = tables.read_table(spark, f"{work}/bronze", medallion.BRONZE_SCHEMAS["carbon"])
+    return silver.carbon(landed, AS_OF).select("period_from", "period_to", "intensity_gco2_kwh", "is_estimated")
+
+
 @query(
     "bronze_landing",
     sql("""select period, respondent, respondent_name, type, type_name, cast(value as double) as value,
@@ -1022,10 +1143,44 @@ def _(spark, sf):
     return insights.forecast_error(silver.latest_readings(lenses.bronze_carbon(spark, sf)))
 
 
-@query("demand_forecast")
+CUT = "2000-06-30 00:00:00"
+
+
+@query(
+    "demand_forecast",
+    sql(f"""select respondent, period_utc, demand_mwh,
+                   round(level + coalesce(warm_base + warm_slope * t, 0), 3) as forecast_mwh
+            from (select f.*, coalesce(base + slope * lag, mean, overall) as level
+                  from (select a.respondent, a.period_utc, a.demand_mwh, l.demand_mwh as lag, w.temperature_c as t
+                        from fact_demand a
+                        left join fact_demand l on l.respondent = a.respondent
+                             and l.period_utc = a.period_utc - interval 24 hour
+                        left join fact_weather w on w.period_utc = a.period_utc) f
+                  left join trend using (respondent)
+                  cross join (select avg(demand_mwh) as overall from fact_demand
+                              where period_utc <= timestamp '{CUT}'))
+            left join warmth using (respondent)
+            where period_utc > timestamp '{CUT}'""").replace("\nselect respondent, period_utc, demand_mwh,\n", f""",
+trend as (select a.respondent, regr_slope(a.demand_mwh, l.demand_mwh) as slope,
+                 regr_intercept(a.demand_mwh, l.demand_mwh) as base, avg(a.demand_mwh) as mean
+          from fact_demand a left join fact_demand l on l.respondent = a.respondent
+               and l.period_utc = a.period_utc - interval 24 hour
+          where a.period_utc <= timestamp '{CUT}' group by 1),
+warmth as (select respondent, regr_slope(left_over, t) as warm_slope, regr_intercept(left_over, t) as warm_base
+           from (select a.respondent, w.temperature_c as t,
+                        a.demand_mwh - coalesce(base + slope * l.demand_mwh, mean) as left_over
+                 from fact_demand a join trend using (respondent)
+                 left join fact_demand l on l.respondent = a.respondent
+                      and l.period_utc = a.period_utc - interval 24 hour
+                 left join fact_weather w on w.period_utc = a.period_utc
+                 where a.period_utc <= timestamp '{CUT}')
+           group by 1)
+select respondent, period_utc, demand_mwh,
+""", 1),
+)
 def _(spark, sf):
     return insights.forecast_demand(
-        _fact_demand(spark, sf), "2000-06-30 00:00:00", _fact_weather(spark, sf), lags=(24, 48)
+        cut_lineage(_fact_demand(spark, sf)), CUT, _fact_weather(spark, sf)
     )
 
 
@@ -1127,6 +1282,42 @@ def _(spark, sf):
     return reduce(DataFrame.unionByName, rows)
 
 
+@query(
+    "stream_rejected_events",
+    sql("""select case cast(event_id as bigint) % 6 when 0 then 'not an event'
+                       when 1 then 'timestamp: not a valid time'
+                       when 2 then 'demand_mw: not a valid double'
+                       when 3 then 'region: missing' else 'accepted' end as verdict,
+                  count(*) as lines, sum(case when cast(event_id as bigint) % 6 > 3 then demand_mw end) as total_mw
+           from grid_events group by 1"""),
+)
+def _(spark, sf):
+    """Of six lines four are broken in different ways; good ones may quote a number."""
+    work = storage.work_folder(spark, "stream_rejects")
+    kind = F.pmod(F.get_json_object("value", "$.event_id").cast("bigint"), F.lit(6))
+    text = F.col("value")
+    broken = (
+        F.when(kind == 0, F.left(text, F.lit(20)))
+        .when(kind == 1, F.regexp_replace(text, r'"timestamp":"[^"]*"', '"timestamp":"soon"'))
+        .when(kind == 2, F.regexp_replace(text, r'"demand_mw":[0-9.E]+', '"demand_mw":NaN'))
+        .when(kind == 3, F.regexp_replace(text, r'"region":"[^"]*",', ""))
+        .when(kind == 4, F.regexp_replace(text, r'"demand_mw":([0-9.E]+)', '"demand_mw":"$1"'))
+        .otherwise(text)
+    )
+    event_source.events_to_json(_events(spark, sf)).select(broken.alias("value")).write.text(f"{work}/in")
+    checked = event_source.read_checked_stream(spark, f"{work}/in")
+    _drain(ingest.start_fan_out(checked, f"{work}/store", f"{work}/ck", availableNow=True))
+    bad = ingest.read_rejects(spark, f"{work}/store").select(
+        F.col("_reason").alias("verdict"), F.lit(None).cast("double").alias("mw")
+    )
+    good = ingest.read_fan_out_events(spark, f"{work}/store").select(
+        F.lit("accepted").alias("verdict"), F.col("demand_mw").alias("mw")
+    )
+    return bad.unionByName(good).groupBy("verdict").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("mw").alias("total_mw")
+    )
+
+
 # ---- the whole batch path -----------------------------------------------------------
 
 
@@ -1165,9 +1356,10 @@ def _(spark, sf):
     }
     for feed, mark in begin.items():
         watermarks.write_watermark(spark, paths.watermarks, feed, mark, "1995-01-01 00:00:00")
-    medallion.ingest(spark, paths, AS_OF)
-    medallion.cleanse(spark, paths, AS_OF)
-    built = medallion.model(spark, paths, AS_OF, FIRST_DAY)
+    medallion.run(spark, paths, AS_OF, FIRST_DAY, gate=False)
+    built = {
+        name: gold.read_fact(spark, paths.table("gold", name)) for name in gold.FACT_KEYS
+    }
     facts = ("fact_demand", "fact_generation", "fact_carbon_intensity", "fact_weather")
     counts = [
         built[name].agg(F.count(F.lit(1)).alias("row_count")).select(
@@ -1176,3 +1368,34 @@ def _(spark, sf):
         for name in facts
     ]
     return reduce(DataFrame.unionByName, counts)
+
+
+@query(
+    "medallion_two_runs",
+    sql(
+        """select demand_key, date_key, region_key, period_utc, period_hour, respondent, demand_mwh, demand_mw
+           from fact_demand"""
+    )
+    .replace("order by _ingested_at desc) as rn", "order by respondent_name desc, demand_mwh desc) as rn")
+    .replace("from bronze_demand)\n              where period_utc", "from bronze_demand_clean)\n              where period_utc"),
+)
+def _(spark, sf):
+    """Two runs over a growing payload folder; the second takes only what is new."""
+    work = storage.work_folder(spark, "medallion_two")
+    paths = medallion.Paths(f"{work}/payloads", f"{work}/lake", page_per_line=True)
+    pages = lenses.demand_payloads(spark, sf, dirty=False)
+    weather = lenses.weather_payloads(lenses.bronze_weather(spark, sf))
+    late = F.get_json_object("value", "$.response.data[0].period") >= "1997-01-01"
+    for name, df in (
+        ("generation", lenses.generation_payloads(spark, sf)),
+        ("carbon", lenses.carbon_payloads(spark, sf)),
+        ("weather_archive", weather),
+        ("weather_forecast", weather),
+    ):
+        df.write.text(paths.payload(name))
+    watermarks.write_watermark(spark, paths.watermarks, "eia_demand", "1980-01-01T00", "1990-01-01 00:00:00")
+    pages.where(~late).write.text(paths.payload("demand"))
+    medallion.run(spark, paths, "2024-01-30 00:00:00", FIRST_DAY, gate=False)
+    pages.where(late).write.mode("append").text(paths.payload("demand"))
+    medallion.run(spark, paths, AS_OF, FIRST_DAY, gate=False)
+    return gold.read_fact(spark, paths.table("gold", "fact_demand")).drop("_loaded_at")

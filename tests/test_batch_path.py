@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from wattline.operators import storage, upsert
 from wattline.operators.dedup import latest_per_key, prefer_first
+from wattline.operators.quality import QualityError
 from wattline.plans import bronze, gold, medallion, silver
 from wattline.sources import tables, watermarks
 
@@ -431,6 +432,84 @@ def test_loading_twice_equals_loading_once(spark, tmp_path, rows):
     assert medallion.read_bronze(spark, paths, "demand").count() == 3  # the boundary hour again
 
 
+def files_of(root):
+    return {os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")}
+
+
+def test_second_run_rewrites_only_touched_months(spark, tmp_path, rows):
+    base = str(tmp_path)
+    paths = medallion.Paths(f"{base}/in", f"{base}/lake")
+    first, second = "2024-03-02 06:00:00", "2024-04-01 06:00:00"
+    put(paths.payload("demand"), eia(demand_row(0, 100, "2024-02-29"), demand_row(1, 200)))
+    for name, body in (
+        ("generation", eia({"period": "2024-03-01T00", "respondent": "ERCO", "fueltype": "NG", "value": 20})),
+        ("carbon", {"data": []}),
+        ("weather_archive", hourly(("2024-03-01T00:00", 10.0, 1.0, 0.0, 1))),
+        ("weather_forecast", hourly()),
+    ):
+        put(paths.payload(name), body)
+    watermarks.write_watermark(spark, paths.watermarks, "eia_demand", "2024-02-01T00", "2024-02-01 00:00:00")
+    medallion.run(spark, paths, first)
+    old = {layer: files_of(f"{base}/lake/{layer}/{name}") for layer, name in (("silver", "demand"), ("gold", "fact_demand"))}
+    put(paths.payload("demand"), eia(demand_row(1, 250), demand_row(5, 300, "2024-03-31")))
+    medallion.run(spark, paths, second)
+    for layer, name in (("silver", "demand"), ("gold", "fact_demand")):
+        kept = old[layer] & files_of(f"{base}/lake/{layer}/{name}")
+        assert kept and all("period_month=202402" in f for f in kept), layer
+    fact = gold.read_fact(spark, paths.table("gold", "fact_demand"))
+    assert sorted(r["demand_mwh"] for r in fact.collect()) == [100.0, 250.0, 300.0]
+    stamps = {str(r["_loaded_at"]) for r in fact.where("demand_mwh = 100").collect()}
+    assert stamps == {first}
+    before = files_of(f"{base}/lake/silver/demand")
+    medallion.cleanse(spark, paths, "2024-04-02 06:00:00")  # all loads again change nothing
+    assert files_of(f"{base}/lake/silver/demand") == before
+
+
+def test_run_stops_at_a_fact_that_fails_its_checks(spark, tmp_path):
+    base = str(tmp_path)
+    paths = medallion.Paths(f"{base}/in", f"{base}/lake")
+    put(paths.payload("demand"), eia(demand_row(0, 100)))
+    put(paths.payload("generation"), eia())
+    put(paths.payload("carbon"), {"data": []})
+    put(paths.payload("weather_archive"), hourly(("2024-03-01T00:00", 10.0, 1.0, 0.0, 1)))
+    put(paths.payload("weather_forecast"), hourly())
+    with pytest.raises(QualityError, match="fact_demand.date_key"):
+        medallion.run(spark, paths, AS_OF, start="2024-03-02")  # the calendar begins too late
+    assert not os.path.exists(paths.table("gold", "fact_demand"))
+    medallion.run(spark, paths, AS_OF)
+    assert gold.read_fact(spark, paths.table("gold", "fact_demand")).count() == 1
+
+
+def test_unreadable_period_lands_and_does_not_move_the_mark(spark, tmp_path, rows):
+    base = str(tmp_path)
+    bad = demand_row(0, 1) | {"period": "zzz"}
+    put(f"{base}/in", eia(demand_row(0, 100), bad))
+    assert load(spark, base) == 2
+    assert rows(landed(spark, base), "period") == [("2024-03-01T00",), ("zzz",)]
+    assert watermarks.read_watermark(spark, f"{base}/marks", "eia_demand") == "2024-03-01T00"
+
+
+def carbon_slot(start, end, actual):
+    return {"from": f"2024-03-02T{start}Z", "to": f"2024-03-02T{end}Z",
+            "intensity": {"actual": actual, "forecast": 90, "index": "low"}}
+
+
+def test_an_estimate_is_replaced_by_the_measurement(spark, tmp_path, rows):
+    base = str(tmp_path)
+
+    def load_carbon(as_of):
+        bronze.carbon(spark, f"{base}/in", f"{base}/bronze", f"{base}/marks", as_of)
+        landed_rows = tables.read_table(spark, f"{base}/bronze", medallion.BRONZE_SCHEMAS["carbon"])
+        return rows(silver.carbon(landed_rows, as_of), "intensity_gco2_kwh", "is_estimated")
+
+    put(f"{base}/in", {"data": [carbon_slot("05:00", "05:30", 120), carbon_slot("05:30", "06:00", None)]})
+    assert load_carbon("2024-03-02 05:45:00") == [(120.0, False), (90.0, True)]
+    assert watermarks.read_watermark(spark, f"{base}/marks", "carbon_intensity") == "2024-03-02T05:30Z"
+    put(f"{base}/in", {"data": [carbon_slot("05:30", "06:00", 140), carbon_slot("06:00", "06:30", 150)]})
+    os.remove(f"{base}/in/page0.json")
+    assert load_carbon("2024-03-02 06:45:00") == [(120.0, False), (140.0, False), (150.0, False)]
+
+
 def test_full_refresh_forgets_rows_gone_from_bronze(spark, folder, rows):
     first = bronze_rows(spark, ("2024-03-01T00", "ERCO", "x", "1", 1))
     second = bronze_rows(spark, ("2024-03-01T01", "ERCO", "x", "2", 1))

@@ -60,7 +60,9 @@ def test_low_carbon_runs_break_at_gaps_and_high_slots(spark):
 def test_lags_follow_the_clock_not_the_row_order(spark, rows):
     df = demand(spark, ("A", hour(0), 1.0), ("A", hour(24), 2.0), ("A", hour(49), 3.0), ("B", hour(48), 9.0))
     out = insights.forecast_features(df, lags=(24,))
-    assert rows(out, "respondent", "demand_mwh", "lag_24h") == [("A", 2.0, 1.0)]
+    assert rows(out, "respondent", "demand_mwh", "lag_24h") == [
+        ("A", 1.0, None), ("A", 2.0, 1.0), ("A", 3.0, None), ("B", 9.0, None),
+    ]
 
 
 def test_forecast_learns_a_linear_pattern(spark):
@@ -68,13 +70,24 @@ def test_forecast_learns_a_linear_pattern(spark):
     for h in range(24 * 12):
         yesterday = rows[h - 24][2] if h >= 24 else 100.0 + 5 * (h % 24)
         rows.append(("A", hour(h), yesterday * 1.01 if h >= 24 else yesterday))
-    out = insights.forecast_demand(demand(spark, *rows), hour(24 * 10), lags=(24, 48))
-    got = out.collect()
-    assert len(got) == 24 * 2 - 1
+    got = insights.forecast_demand(demand(spark, *rows), hour(24 * 10 - 1)).collect()
+    assert len(got) == 24 * 2
     for r in got:
         assert r["forecast_mwh"] == pytest.approx(r["demand_mwh"], rel=1e-3)
 
 
+def test_forecast_covers_hours_without_lag_weather_or_history(spark, rows):
+    known = [("A", hour(h), 10.0 + h % 3) for h in range(48)]
+    later = [("A", hour(60), 1.0), ("A", hour(200), 1.0), ("B", hour(61), 1.0)]
+    weather = spark.createDataFrame(
+        [(hour(60), None, 1.0, 0.0)],
+        "period_utc timestamp, temperature_c double, wind_speed double, precipitation_mm double",
+    )
+    out = insights.forecast_demand(demand(spark, *known, *later), hour(47), weather)
+    assert rows(out, "respondent", "forecast_mwh")[1:] == [("A", 11.0), ("B", 11.0)]
+    assert out.count() == 3
+
+
 def test_forecast_error(spark):
     df = spark.createDataFrame(
         [(hour(0), 100.0, 90.0), (hour(24), 100.0, 130.0), (hour(0), None, 1.0)],

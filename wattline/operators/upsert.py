@@ -32,14 +32,20 @@ def merge_table(
     source: DataFrame,
     keys: Sequence[str],
     partition_by: str,
+    stamps: Sequence[str] = (),
 ) -> None:
     """Upsert ``source`` into the Parquet table at ``path``.
 
     Only partitions named by the source are read and rewritten, which requires
-    ``partition_by`` to be a function of the keys. The merged partitions are
-    written beside the table first and, once that write has committed, moved
-    into place one by one. A job that dies on the way leaves each partition
-    either old or new, and the next call moves the rest. One writer at a time.
+    ``partition_by`` to be a function of the keys. With ``stamps``, source rows
+    that differ from the stored ones in those columns only are left out first, so
+    delivering rows again neither restamps them nor rewrites their partition.
+
+    The merged partitions are written beside the table first and, once that write
+    has committed, moved into place one by one. A job that dies on the way leaves
+    some partitions new, the others old and at most one missing until the next
+    call, which moves the rest before anything else. One writer at a time; readers
+    that must not see this run between calls.
     """
     staged = f"{path}/{_STAGED}"
     if storage.is_complete(spark, staged):
@@ -47,21 +53,34 @@ def merge_table(
     else:
         storage.remove(spark, staged)
 
-    source = source.persist()
+    held = [source.persist()]
     try:
+        merged = source
         if _partitions(spark, path):
-            target = _touched(spark.read.parquet(path), source, partition_by)
-            merged = upsert(target, source, keys)
-        else:
-            merged = source
+            stored = spark.read.parquet(path)
+            if stamps:
+                source = _news(_touched(stored, source, partition_by), source, stamps).persist()
+                held.append(source)
+                if source.isEmpty():
+                    return
+            merged = upsert(_touched(stored, source, partition_by), source, keys)
         # Rebalancing lets adaptive execution split a partition value that holds
         # much of the data and join small ones, so files come out evenly sized.
         merged.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(staged)
     finally:
-        source.unpersist()
+        for frame in held:
+            frame.unpersist()
     _publish(spark, staged, path)
 
 
+def _news(target: DataFrame, source: DataFrame, stamps: Sequence[str]) -> DataFrame:
+    """Source rows that no stored row equals, stamps aside."""
+    compared = [c for c in source.columns if c not in stamps]
+    t, s = target.alias("t"), source.alias("s")
+    same = reduce(and_, [F.col(f"t.`{c}`").eqNullSafe(F.col(f"s.`{c}`")) for c in compared])
+    return s.join(t, same, "left_anti")
+
+
 def _partitions(spark: SparkSession, path: str) -> list[str]:
     return [name for name in storage.children(spark, path) if "=" in name]
 

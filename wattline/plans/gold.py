@@ -12,7 +12,7 @@ from wattline.functions.keys import iso_text, surrogate_key
 from wattline.functions.measures import emissions_tonnes, intensity_band, is_low_carbon
 from wattline.functions.time import Moment, as_datetime, date_key, instant, stamp, sunday_week
 from wattline.operators.ordered import with_running_total
-from wattline.operators.upsert import upsert
+from wattline.operators.upsert import merge_table, upsert
 
 # ---- staging --------------------------------------------------------------
 
@@ -292,3 +292,26 @@ def not_yet_loaded(staged: DataFrame, fact: DataFrame) -> DataFrame:
 def incremental_fact(fact: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
     """Fact table after merging freshly built fact rows by their key."""
     return upsert(fact, fresh, [key])
+
+
+# ---- stored facts -------------------------------------------------------------
+
+# A fact's key, and the time whose month its files are laid out by.
+FACT_KEYS = {
+    "fact_demand": ("demand_key", "period_utc"),
+    "fact_generation": ("generation_key", "period_utc"),
+    "fact_carbon_intensity": ("carbon_intensity_key", "period_from"),
+    "fact_weather": ("period_utc", "period_utc"),
+}
+LAYOUT = "period_month"
+
+
+def merge_fact(spark: SparkSession, name: str, fresh: DataFrame, path: str) -> None:
+    """Merge freshly built rows into the stored fact, month by month."""
+    key, time = FACT_KEYS[name]
+    rows = fresh.withColumn(LAYOUT, F.date_format(time, "yyyyMM").cast("int"))
+    merge_table(spark, path, rows, [key], LAYOUT)
+
+
+def read_fact(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(LAYOUT)

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattline.functions.time import Moment, instant
@@ -173,25 +171,33 @@ def forecast_features(
 ) -> DataFrame:
     """Demand of a respondent-hour beside its own past and the hour's weather.
 
-    Each lag is an equi-join on the shifted hour, not a window, so a series of
-    any length spreads over all tasks and gaps never shift a lag.
+    Every row is sent to its own hour and to the hours it is a lag of, so one
+    grouping gathers all lags; gaps never shift a lag, and an hour without one
+    keeps a NULL there. A series of any length spreads over all tasks.
     """
-    base = demand.select("respondent", "period_utc", "demand_mwh")
+    shifts = F.explode(F.array(*[F.lit(h) for h in (0, *lags)])).alias("shift")
+    sent = demand.select("respondent", "period_utc", "demand_mwh", shifts).select(
+        "respondent",
+        (F.col("period_utc") + F.make_dt_interval(hours=F.col("shift"))).alias("period_utc"),
+        "demand_mwh",
+        "shift",
+    )
 
-    def add_lag(df: DataFrame, hours: int) -> DataFrame:
-        past = base.select(
-            "respondent",
-            (F.col("period_utc") + F.expr(f"INTERVAL {hours} HOURS")).alias("period_utc"),
-            F.col("demand_mwh").alias(f"lag_{hours}h"),
-        )
-        return df.join(past, ["respondent", "period_utc"])
+    def at(hours: int, name: str) -> Column:
+        return F.max(F.when(F.col("shift") == hours, F.col("demand_mwh"))).alias(name)
 
-    features = reduce(add_lag, lags, base)
-    angle = F.hour("period_utc") * F.lit(2.0 * 3.141592653589793 / 24)
-    features = features.withColumn("hour_sin", F.sin(angle)).withColumn("hour_cos", F.cos(angle))
+    features = (
+        sent.groupBy("respondent", "period_utc")
+        .agg(
+            F.bool_or(F.col("shift") == 0).alias("_own"),
+            at(0, "demand_mwh"),
+            *[at(h, f"lag_{h}h") for h in lags],
+        )
+        .where("_own")
+        .drop("_own")
+    )
     if weather is not None:
-        features = features.join(weather.select("period_utc", "temperature_c"), "period_utc")
-        features = features.filter(F.col("temperature_c").isNotNull())
+        features = features.join(weather.select("period_utc", "temperature_c"), "period_utc", "left")
     return features
 
 
@@ -199,19 +205,36 @@ def forecast_demand(
     demand: DataFrame,
     train_until: Moment,
     weather: DataFrame | None = None,
-    lags: tuple[int, ...] = LAG_HOURS,
+    lag: int = 24,
 ) -> DataFrame:
-    """Linear forecast of every hour after ``train_until`` from the hours before."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
+    """Forecast of every respondent-hour after ``train_until`` from the hours before.
 
-    features = forecast_features(demand, weather, lags)
-    inputs = [c for c in features.columns if c not in ("respondent", "period_utc", "demand_mwh")]
-    vectors = VectorAssembler(inputCols=inputs, outputCol="features").transform(features)
+    Per respondent the hour is regressed on the same hour ``lag`` hours earlier
+    and, with ``weather``, what that leaves on the temperature. Without a lag the
+    respondent's mean stands in, without history the mean of all.
+    """
     past = F.col("period_utc") <= instant(train_until)
-    model = LinearRegression(
-        featuresCol="features", labelCol="demand_mwh", predictionCol="forecast_mwh", regParam=1e-6
-    ).fit(vectors.filter(past))
-    return model.transform(vectors.filter(~past)).select(
-        "respondent", "period_utc", "demand_mwh", "forecast_mwh"
+    rows = forecast_features(demand, weather, (lag,)).withColumnRenamed(f"lag_{lag}h", "_lag")
+    trend = rows.where(past).groupBy("respondent").agg(
+        F.regr_slope("demand_mwh", "_lag").alias("_slope"),
+        F.regr_intercept("demand_mwh", "_lag").alias("_base"),
+        F.avg("demand_mwh").alias("_mean"),
+    )
+    overall = rows.where(past).agg(F.avg("demand_mwh")).first()[0]
+    level = F.coalesce(
+        F.col("_base") + F.col("_slope") * F.col("_lag"), F.col("_mean"), F.lit(overall).cast("double")
+    )
+    levelled = rows.join(trend, "respondent", "left").withColumn("_level", level)
+    forecast = F.col("_level")
+    if weather is not None:
+        left_over = F.col("demand_mwh") - F.col("_level")
+        warmth = levelled.where(past).groupBy("respondent").agg(
+            F.regr_slope(left_over, F.col("temperature_c")).alias("_warm_slope"),
+            F.regr_intercept(left_over, F.col("temperature_c")).alias("_warm_base"),
+        )
+        levelled = levelled.join(warmth, "respondent", "left")
+        effect = F.col("_warm_base") + F.col("_warm_slope") * F.col("temperature_c")
+        forecast = forecast + F.coalesce(effect, F.lit(0.0))
+    return levelled.where(~past).select(
+        "respondent", "period_utc", "demand_mwh", F.round(forecast, 3).alias("forecast_mwh")
     )

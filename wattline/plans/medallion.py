@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from wattline import schemas
-from wattline.functions.time import Moment
+from wattline.functions.time import Moment, as_datetime
+from wattline.operators import storage
 from wattline.operators.quality import require_passing, run_checks
 from wattline.plans import bronze, expectations, gold, silver
+from wattline.sources import watermarks
 from wattline.sources.tables import loads_since, read_table, save_to_path
 
 BRONZE_SCHEMAS = {
@@ -79,6 +81,17 @@ def read_bronze(spark: SparkSession, paths: Paths, name: str) -> DataFrame:
     return read_table(spark, paths.table("bronze", name), BRONZE_SCHEMAS[name])
 
 
+CLEANSED = "cleansed"
+
+
+def read_silver(spark: SparkSession, paths: Paths, name: str, as_of: Moment) -> DataFrame:
+    """A stored silver table; one that no row has reached yet is empty."""
+    path = paths.table("silver", name)
+    if storage.children(spark, path):
+        return silver.read(spark, path)
+    return silver.build(name, spark.createDataFrame([], BRONZE_SCHEMAS[name]), as_of)
+
+
 def cleanse(
     spark: SparkSession, paths: Paths, as_of: Moment, since_load: str | None = None
 ) -> None:
@@ -99,12 +112,14 @@ def model(
     start: str = gold.DEFAULT_START,
     gate: bool = True,
 ) -> dict[str, DataFrame]:
-    """Rebuild the star schema; staging stays a projection, the rest is stored.
+    """Bring the star schema up to date; staging stays a projection, the rest is stored.
 
-    With ``gate`` the staging and dimension tables must pass their checks before
-    any fact is written.
+    Dimensions are rebuilt. A fact takes the silver rows cleansed since it was last
+    loaded and rewrites the months they fall into. With ``gate`` the staging and
+    dimension tables must pass their checks before any fact is built, and the new
+    rows of a fact before they are stored.
     """
-    stored = {name: silver.read(spark, paths.table("silver", name)) for name in silver.TABLES}
+    stored = {name: read_silver(spark, paths, name, as_of) for name in silver.TABLES}
     tables = {
         "stg_demand": gold.stage_demand(stored["demand"]),
         "stg_generation": gold.stage_generation(stored["generation"]),
@@ -120,24 +135,51 @@ def model(
     fuels = store("dim_fuel_type", gold.dim_fuel_type(spark))
     if gate:
         require_passing(_check_some(tables, list(tables)))
-    store("fact_demand", gold.fact_demand(tables["stg_demand"], dates, regions, as_of))
-    store(
+
+    def merge(name: str, staged: DataFrame, build: Callable[[DataFrame], DataFrame]) -> None:
+        path = paths.table("gold", name)
+        if storage.children(spark, path):
+            staged = gold.not_yet_loaded(staged, gold.read_fact(spark, path))
+        fresh = storage.cut_lineage(build(staged))
+        if gate and name in expectations.CHECKS:
+            require_passing(_check_some({**tables, name: fresh}, [name]))
+        gold.merge_fact(spark, name, fresh, path)
+        tables[name] = gold.read_fact(spark, path) if storage.children(spark, path) else fresh
+
+    merge(
+        "fact_demand",
+        tables["stg_demand"],
+        lambda rows: gold.fact_demand(rows, dates, regions, as_of),
+    )
+    merge(
         "fact_generation",
-        gold.fact_generation(tables["stg_generation"], dates, regions, fuels, as_of),
+        tables["stg_generation"],
+        lambda rows: gold.fact_generation(rows, dates, regions, fuels, as_of),
     )
-    store(
+    merge(
         "fact_carbon_intensity",
-        gold.fact_carbon_intensity(tables["stg_carbon_intensity"], dates, as_of),
+        tables["stg_carbon_intensity"],
+        lambda rows: gold.fact_carbon_intensity(rows, dates, as_of),
     )
-    store("fact_weather", gold.fact_weather(stored["weather"], dates, as_of))
+    merge("fact_weather", stored["weather"], lambda rows: gold.fact_weather(rows, dates, as_of))
     return tables
 
 
 def run(
-    spark: SparkSession, paths: Paths, as_of: Moment, start: str = gold.DEFAULT_START
+    spark: SparkSession,
+    paths: Paths,
+    as_of: Moment,
+    start: str = gold.DEFAULT_START,
+    gate: bool = True,
 ) -> DataFrame:
-    """Every step in order; returns the results of all checks."""
+    """Every step in order, each taking only what is new; returns the results of all checks.
+
+    Silver takes the loads since the last cleansed one, facts what silver changed.
+    """
     ingest(spark, paths, as_of)
-    cleanse(spark, paths, as_of)
-    tables = model(spark, paths, as_of, start, gate=False)
+    since = watermarks.read_watermark(spark, paths.watermarks, CLEANSED)
+    cleanse(spark, paths, as_of, since)
+    day = as_datetime(as_of).date().isoformat()
+    watermarks.write_watermark(spark, paths.watermarks, CLEANSED, day, as_of)
+    tables = model(spark, paths, as_of, start, gate)
     return run_checks(tables, expectations.CHECKS)

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.functions.measures import LOW_CARBON_LIMIT, z_score
-from wattline.functions.time import Moment, instant, newer_than, seconds_between, time_bin
+from wattline.functions.time import Moment, instant, newer_than, seconds_between, time_bin, width
 from wattline.operators.joins import join_fixed
+from wattline.operators.retention import DAY
 from wattline.sources.events import CARBON_SOURCE, SYNTHETIC_SOURCE
 
 ERCOT = "ERCOT"
@@ -32,7 +33,10 @@ def _carbon() -> Column:
 
 
 def _recent(events: DataFrame, span: str, as_of: Moment, *conditions: Column) -> DataFrame:
+    """A stored table's day column, if there, keeps older days from being opened."""
     df = events.filter(newer_than("timestamp", span, as_of))
+    if DAY in events.columns:
+        df = df.filter(F.col(DAY) >= F.to_date(instant(as_of) - width(span)))
     for condition in conditions:
         df = df.filter(condition)
     return df

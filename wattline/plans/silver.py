@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wattline.functions.measures import fuel_label, number
 from wattline.functions.time import (
     Moment,
+    as_datetime,
     minutes_between,
     parse_hour,
     parse_minute,
@@ -150,12 +151,15 @@ LAYOUT = "period_month"
 
 
 def merge(spark: SparkSession, table: str, bronze: DataFrame, path: str, as_of: Moment) -> None:
-    """Upsert one batch of bronze rows into the stored table (create if absent)."""
+    """Upsert one batch of bronze rows into the stored table (create if absent).
+
+    A row delivered again unchanged keeps its stamp.
+    """
     spec = TABLES[table]
     rows = build(table, bronze, as_of).withColumn(
         LAYOUT, F.date_format(spec.time, "yyyyMM").cast("int")
     )
-    merge_table(spark, path, rows, spec.keys, LAYOUT)
+    merge_table(spark, path, rows, spec.keys, LAYOUT, stamps=("_cleansed_at",))
 
 
 def refresh(table: str, bronze: DataFrame, path: str, as_of: Moment) -> None:
@@ -168,5 +172,17 @@ def refresh(table: str, bronze: DataFrame, path: str, as_of: Moment) -> None:
     merge_table(bronze.sparkSession, path, rows, spec.keys, LAYOUT)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(LAYOUT)
+def read(
+    spark: SparkSession, path: str, start: Moment | None = None, end: Moment | None = None
+) -> DataFrame:
+    """The stored table; bounds on its time also prune the months outside them."""
+    return within_months(spark.read.parquet(path), start, end).drop(LAYOUT)
+
+
+def within_months(stored: DataFrame, start: Moment | None, end: Moment | None) -> DataFrame:
+    """Rows of the months from ``start`` to ``end``, both inclusive and optional."""
+    for bound, later in ((start, True), (end, False)):
+        if bound is not None:
+            month = F.lit(int(as_datetime(bound).strftime("%Y%m")))
+            stored = stored.where(F.col(LAYOUT) >= month if later else F.col(LAYOUT) <= month)
+    return stored
