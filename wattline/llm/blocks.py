@@ -103,11 +103,24 @@ def spans(running: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return mixed(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def rolling(running: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all spans of ``width`` items; equal to ``spans`` over each of them."""
+    _, down = _powers(len(running))
+    count = max(len(running) - width, 0)
+    raw = running[width : width + count] - running[:count]
+    raw *= down[:count]
+    raw += np.uint64(width * 0xD6E8FEB86659FD93 % (1 << 64))
+    return mixed(raw)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection that spreads every input bit over the whole word."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
+    x = x ^ (x >> np.uint64(32))
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(32)
+    return x
 
 
 def row_of(first: np.ndarray) -> np.ndarray:

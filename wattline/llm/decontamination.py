@@ -25,6 +25,7 @@ from wattline.llm.blocks import (
     blocks,
     byte_set,
     prefixes,
+    rolling,
     row_of,
     spans,
     words,
@@ -48,8 +49,7 @@ def _windows(hashes: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, n
     count = len(hashes) - n + 1
     if count <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
-    at = np.arange(count)
-    return spans(prefixes(hashes), at, at + n), row[:count] == row[n - 1 :]
+    return rolling(prefixes(hashes), n), row[:count] == row[n - 1 :]
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray):

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.llm.blocks import blocks, mixed, prefixes, spans
+from wattline.llm.blocks import blocks, mixed, prefixes, rolling, spans
 from wattline.llm.sieve import passes, sieve_of, sifted
 from wattline.llm.tables import Scratch
 
@@ -53,6 +53,9 @@ LENGTH = 200
 SPAN = 128
 GRAM = 16
 
+#: Bytes of text that a task works on at a time; every byte takes about a hundred.
+BLOCK_BYTES = 1 << 19
+
 #: Bytes right of a sampled position that every string it stands for contains.
 COMMON = LENGTH - SPAN + 1
 
@@ -78,14 +81,15 @@ def sampled(data: np.ndarray, offsets: np.ndarray):
     none = np.zeros(0, np.int64)
     if len(data) < LENGTH:
         return none, none, none, none, running
-    start = np.arange(len(data) - GRAM + 1)
-    hashes = spans(running, start, start + GRAM)
+    keyed = rolling(running, GRAM)
     bits = np.uint64(max(len(data), 2).bit_length())
     # The place sits in the low bits, reversed, so that of equal grams the last is taken.
     top = np.uint64((1 << int(bits)) - 1)
-    keyed = (hashes >> bits << bits) | (top - start.astype(np.uint64))
-    least = _window_minima(keyed, SPAN)
-    at = (top - (least & top)).astype(np.int64)
+    keyed &= ~top
+    keyed |= np.arange(int(top), int(top) - len(keyed), -1).astype(np.uint64)
+    at = _window_minima(keyed, SPAN)
+    del keyed
+    at = (top - (at & top)).astype(np.int64)
 
     strings = np.diff(offsets) - LENGTH + 1
     rows = np.flatnonzero(strings > 0)
@@ -127,7 +131,7 @@ def _row_key() -> Column:
 
 def _first_names(rows: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, offsets in blocks(batches):
+        for _, data, offsets in blocks(batches, limit=BLOCK_BYTES):
             _, at, low, high, running = sampled(data, offsets)
             names, _ = _names(running, at, low, high)
             # Counted within the block already, so a frequent passage sends little.
@@ -150,7 +154,7 @@ def _suffixes(rows: DataFrame, sieve) -> DataFrame:
     schema = _schema(rows.schema["id"].dataType, ["text_key", "name", "second"], ["low", "high"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in blocks(batches):
+        for batch, data, offsets in blocks(batches, limit=BLOCK_BYTES):
             row, at, low, high, running = sampled(data, offsets)
             first, second = _names(running, at, low, high)
             kept = passes(sieve.value, first)
@@ -186,7 +190,7 @@ def _strings_of(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
 
 def _string_counts(texts: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in blocks(batches):
+        for batch, data, offsets in blocks(batches, limit=BLOCK_BYTES):
             own, n = np.unique(_strings_of(batch, data, offsets)[2], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], names=["string", "n"])
 
@@ -198,7 +202,7 @@ def _strings(texts: DataFrame, sieve) -> DataFrame:
     schema = _schema(texts.schema["id"].dataType, ["text_key", "string"], ["start"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in blocks(batches):
+        for batch, data, offsets in blocks(batches, limit=BLOCK_BYTES):
             row, start, string = _strings_of(batch, data, offsets)
             kept = passes(sieve.value, string)
             owner = pa.array(row[kept])
@@ -286,7 +290,7 @@ def _cut(texts: DataFrame, with_text: bool) -> DataFrame:
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in blocks(batches):
+        for batch, data, offsets in blocks(batches, limit=BLOCK_BYTES):
             removed, runs, digests, left = [], [], [], []
             for k, ranges in enumerate(batch.column("ranges")):
                 own = data[offsets[k] : offsets[k + 1]]
