@@ -32,6 +32,10 @@ STOP_WORDS = (
 ).split()
 
 
+#: A text of fewer words may well do without frequent ones.
+STOP_WORDS_FROM = 20
+
+
 class Rule(NamedTuple):
     """A document fails if ``measure`` lies below ``low`` or above ``high``."""
 
@@ -50,9 +54,9 @@ BASE_RULES = (
 RULES = (
     Rule("too_many_words", "n_words", high=10_000_000),
     Rule("word_length", "mean_word_chars", low=1.5, high=20),
-    Rule("symbols", "symbol_ratio", high=0.5),
+    Rule("symbols", "symbol_ratio", high=0.05),
     Rule("stop_words", "stop_word_ratio", low=0.002),
-    Rule("duplicate_lines", "dup_line_ratio", high=0.5),
+    Rule("duplicate_lines", "dup_line_ratio", high=0.4),
 )
 
 
@@ -145,7 +149,7 @@ def _measured(documents: DataFrame) -> DataFrame:
             "repeat_percent": ratio("n_repeat_words", "n_words", 100),
             "mean_word_chars": ratio("word_chars", "n_words"),
             "symbol_ratio": ratio("n_symbols", "word_chars"),
-            "stop_word_ratio": ratio("n_stop_words", "n_words"),
+            "stop_word_ratio": F.when(F.col("n_words") >= STOP_WORDS_FROM, ratio("n_stop_words", "n_words")),
             "dup_line_ratio": ratio("n_dup_lines", "n_lines"),
         }
     )

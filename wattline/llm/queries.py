@@ -157,9 +157,9 @@ flags as (
   select *, n_words < 10 as b1, n_words > 0 and 100 * n_repeat_words > 20 * n_words as b2,
          n_words > 10000000 as b3,
          n_words > 0 and (word_chars / n_words < 1.5 or word_chars / n_words > 20) as b4,
-         word_chars > 0 and n_symbols / word_chars > 0.5 as b5,
-         n_words > 0 and n_stop / n_words < 0.002 as b6,
-         n_lines > 0 and n_dup_lines / n_lines > 0.5 as b7
+         word_chars > 0 and n_symbols / word_chars > 0.05 as b5,
+         n_words >= 20 and n_stop / n_words < 0.002 as b6,
+         n_lines > 0 and n_dup_lines / n_lines > 0.4 as b7
   from m
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
