@@ -231,9 +231,8 @@ def _estimated(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _first_band(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """First band in which sketch ``a`` agrees with each of ``b``."""
-    same = (a == b).reshape(len(b), -1, ROWS).all(axis=2)
-    return same.argmax(axis=1)
+    """First band in which sketch ``a`` agrees with each of ``b``; a band's registers are 64 bits."""
+    return (a.view(np.uint64) == b.view(np.uint64)).argmax(axis=1)
 
 
 def _forest(ids, component, n, own, found, first, left, right, band):
@@ -250,13 +249,15 @@ def _forest(ids, component, n, own, found, first, left, right, band):
         rest = np.flatnonzero(right & (group != group[k]))
         if left[rest].any() and right[k]:
             rest = rest[(rest > k) | ~left[rest]]
+        if not len(rest):
+            continue
+        rest = rest[_first_band(own[k], own[rest]) == band]
         if not len(rest):
             continue
         _, open_ = estimate(
             (own[k] > own[rest]).sum(axis=1), (own[k] < own[rest]).sum(axis=1), np.full(len(rest), n[k]), n[rest]
         )
         rest = rest[open_]
-        rest = rest[_first_band(own[k], own[rest]) == band] if len(rest) else rest
         if not len(rest):
             continue
         mark[local[first[k] : first[k + 1]]] = True
