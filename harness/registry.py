@@ -1208,17 +1208,28 @@ def _(spark, sf):
     return rollup.read_rollup(spark, f"{work}/store")
 
 
-@query("stream_watermarked_rollup", sql("select * from rollup"))
-def _(spark, sf):
-    """The built-in stateful form over one file, within which nothing is late."""
+@query(
+    "stream_watermarked_rollup",
+    sql("""select region, source, time_bucket(interval 5 minute, "timestamp") as "timestamp",
+                  avg(demand_mw) as avg_demand_mw, max(demand_mw) as max_demand_mw,
+                  avg(carbon_intensity_gco2_kwh) as avg_carbon_intensity,
+                  max(carbon_intensity_gco2_kwh) as max_carbon_intensity, count(*) as event_count
+           from grid_events, (select max("timestamp") - interval 1 hour as mark from grid_events
+                              where day("timestamp") <= 20 and cast(event_id as bigint) % 10 <> 0)
+           where day("timestamp") > 20 or cast(event_id as bigint) % 10 <> 0
+              or time_bucket(interval 5 minute, "timestamp") + interval 5 minute > mark
+           group by all"""),
+)
+def _(spark, sf):
+    """The built-in stateful form; of the second instalment only what is within the allowance counts."""
     work = storage.work_folder(spark, "stream_watermarked")
-    _event_files(spark, sf, f"{work}/in", files=1)
-    events = event_source.read_events_stream(spark, f"{work}/in")
-    _drain(
-        rollup.start_watermarked_rollup(
-            events, f"{work}/store", f"{work}/ck", availableNow=True
+    day, held = F.dayofmonth("timestamp"), F.col("event_id").cast("bigint") % 10 == 0
+    for instalment in ((day <= 20) & ~held, (day <= 20) & held, day > 20):
+        event_source.write_events_json(_events(spark, sf).filter(instalment), f"{work}/in")
+        events = event_source.read_events_stream(spark, f"{work}/in")
+        _drain(
+            rollup.start_watermarked_rollup(events, f"{work}/store", f"{work}/ck", availableNow=True)
         )
-    )
     return rollup.read_watermarked_rollup(spark, f"{work}/store")
 
 

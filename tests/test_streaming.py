@@ -144,6 +144,16 @@ def test_watermarked_rollup_takes_late_readings_within_the_allowance(spark, inbo
     assert got == {0: 2, 40: 1}
 
 
+def test_watermarked_rollup_ignores_what_is_later_than_the_allowance(spark, inbox, folder):
+    for batch in ([event(1, 600)], [event(2, 0), event(3, 570), event(4, 538), event(5, 541)], [event(6, 700)]):
+        inbox.put(*batch)
+        drain(
+            rollup.start_watermarked_rollup(stream(spark, inbox), folder("s"), folder("c"), availableNow=True)
+        )
+    got = rollup.read_watermarked_rollup(spark, folder("s")).collect()
+    assert sum(r["event_count"] for r in got) == 4  # 0 and 538 ended before the mark of minute 540
+
+
 def test_watermarked_store_keeps_the_last_version_of_a_bin(spark, inbox, folder, rows):
     inbox.put(event(1, 60), event(2, 61))
     inbox.put(event(3, 62, 99_000.0), event(4, 66))

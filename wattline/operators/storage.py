@@ -68,12 +68,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             named = tempfile.mkdtemp(prefix="wattline-")
         sc.setCheckpointDir(named)
         current = sc.getCheckpointDir()
+        fs, folder = _handle(spark, current)
+        fs.deleteOnExit(folder)
     return named or current
 
 
 def work_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the checkpoint folder; nothing is created yet."""
-    return f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in a fresh folder below the checkpoint folder; the path itself does not exist.
+
+    Results may be read from it lazily, so the folder goes when the driver ends.
+    """
+    home = f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    fs, folder = _handle(spark, home)
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+    return f"{home}/data"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -238,17 +238,31 @@ def alert_silence(
 ROLLUP_BIN = "5 minutes"
 
 
+def _rollup_measures() -> list[Column]:
+    return [
+        F.avg("demand_mw").alias("avg_demand_mw"),
+        F.max("demand_mw").alias("max_demand_mw"),
+        F.avg(_INTENSITY).alias("avg_carbon_intensity"),
+        F.max(_INTENSITY).alias("max_carbon_intensity"),
+        F.count(F.lit(1)).alias("event_count"),
+    ]
+
+
 def five_minute_rollup(events: DataFrame) -> DataFrame:
-    return (
-        events.groupBy("region", "source", time_bin("timestamp", ROLLUP_BIN).alias("timestamp"))
-        .agg(
-            F.avg("demand_mw").alias("avg_demand_mw"),
-            F.max("demand_mw").alias("max_demand_mw"),
-            F.avg(_INTENSITY).alias("avg_carbon_intensity"),
-            F.max(_INTENSITY).alias("max_carbon_intensity"),
-            F.count(F.lit(1)).alias("event_count"),
-        )
-    )
+    bin_ = time_bin("timestamp", ROLLUP_BIN).alias("timestamp")
+    return events.groupBy("region", "source", bin_).agg(*_rollup_measures())
+
+
+def windowed_rollup(events: DataFrame) -> DataFrame:
+    """The same rows, grouped by the window itself.
+
+    A stream needs that: only a window carries the watermark, by which state is
+    dropped and rows that are too late are ignored; its start alone does not.
+    """
+    window = F.window("timestamp", ROLLUP_BIN).alias("_window")
+    rolled = events.groupBy("region", "source", window).agg(*_rollup_measures())
+    measures = [c for c in rolled.columns if c not in ("region", "source", "_window")]
+    return rolled.select("region", "source", F.col("_window.start").alias("timestamp"), *measures)
 
 
 def tile_recent(rollup: DataFrame, as_of: Moment, span: str = "6 hours") -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from wattline.functions.time import time_bin
 from wattline.operators.dedup import first_per_key
-from wattline.plans.monitor import ROLLUP_BIN, five_minute_rollup
+from wattline.plans.monitor import ROLLUP_BIN, windowed_rollup
 from wattline.streaming import batches
 
 # Polled readings carry the start of their half-hour slot as time.
@@ -36,7 +36,7 @@ PARTIAL_SCHEMA = (
 
 def watermarked_rollup(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """For update output mode, which emits a bin again whenever it changes."""
-    return five_minute_rollup(events.withWatermark("timestamp", lateness))
+    return windowed_rollup(events.withWatermark("timestamp", lateness))
 
 
 ROLLUP_SCHEMA = (
