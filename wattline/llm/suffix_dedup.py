@@ -117,28 +117,35 @@ def _names(running, at, low, high) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
-    """Rows ``id, text_key, text``; equal rows have equal keys."""
+    """Rows ``id, text_key, text, row_key``; equal rows have equal keys."""
     return documents.select(
         F.col("doc_id").alias("id"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"),
         F.coalesce("text", F.lit("")).alias("text"),
-    )
+    ).withColumn("row_key", _row_key())
 
 
 def _row_key() -> Column:
     return F.xxhash64("id", "text_key")
 
 
-def _first_names(rows: DataFrame) -> DataFrame:
+def _searched(batches: Iterator[pa.RecordBatch], firsts) -> Iterator[pa.RecordBatch]:
+    """The rows that stand for their text; a sieve may let another copy pass, which does no harm."""
+    for batch in batches:
+        keys = batch.column("row_key").to_numpy(zero_copy_only=False)
+        yield batch.filter(pa.array(passes(firsts.value, keys)))
+
+
+def _first_names(rows: DataFrame, firsts) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, offsets in blocks(batches, limit=BLOCK_BYTES):
+        for _, data, offsets in blocks(_searched(batches, firsts), limit=BLOCK_BYTES):
             _, at, low, high, running = sampled(data, offsets)
             names, _ = _names(running, at, low, high)
             # Counted within the block already, so a frequent passage sends little.
             own, n = np.unique(names, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], names=["name", "n"])
 
-    return rows.select("text").mapInArrow(cut, "name long, n long")
+    return rows.select("text", "row_key").mapInArrow(cut, "name long, n long")
 
 
 def _schema(id_type, longs: list[str], integers: list[str]) -> T.StructType:
@@ -149,12 +156,12 @@ def _schema(id_type, longs: list[str], integers: list[str]) -> T.StructType:
     )
 
 
-def _suffixes(rows: DataFrame, sieve) -> DataFrame:
+def _suffixes(rows: DataFrame, firsts, sieve) -> DataFrame:
     """``id, text_key, name, second, low, high`` of sampled suffixes that may repeat."""
     schema = _schema(rows.schema["id"].dataType, ["text_key", "name", "second"], ["low", "high"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in blocks(batches, limit=BLOCK_BYTES):
+        for batch, data, offsets in blocks(_searched(batches, firsts), limit=BLOCK_BYTES):
             row, at, low, high, running = sampled(data, offsets)
             first, second = _names(running, at, low, high)
             kept = passes(sieve.value, first)
@@ -172,7 +179,7 @@ def _suffixes(rows: DataFrame, sieve) -> DataFrame:
                 names=schema.names,
             )
 
-    return rows.select("id", "text_key", "text").mapInArrow(cut, schema)
+    return rows.select("id", "text_key", "text", "row_key").mapInArrow(cut, schema)
 
 
 def _strings_of(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
@@ -232,16 +239,16 @@ def _per_row(frame: DataFrame, name: str, *columns: str) -> DataFrame:
 
 def _holding(rows: DataFrame, lists: DataFrame) -> DataFrame:
     """The document rows that have a list, with it."""
-    near = sifted(rows, "text_key", sieve_of(lists, "_key"))
+    near = sifted(rows.drop("row_key"), "text_key", sieve_of(lists, "_key"))
     return near.join(lists, _same_row(near, lists)).drop("_id", "_key")
 
 
-def _repeated_ranges(rows: DataFrame, scratch: Scratch) -> DataFrame:
+def _repeated_ranges(rows: DataFrame, firsts, scratch: Scratch) -> DataFrame:
     """``_id, _key, ranges`` of the rows with repeated strings: their starts, as ranges."""
-    counted = _first_names(rows).groupBy("name").agg(F.sum("n").alias("n"))
+    counted = _first_names(rows, firsts).groupBy("name").agg(F.sum("n").alias("n"))
     twice = scratch.stored(counted.where("n > 1").select("name"), "names")
     suffixes = scratch.stored(
-        _suffixes(rows, sieve_of(twice, "name")).join(twice, "name", "left_semi"), "suffixes"
+        _suffixes(rows, firsts, sieve_of(twice, "name")).join(twice, "name", "left_semi"), "suffixes"
     )
     classes = scratch.stored(
         suffixes.groupBy("name", "second").agg(
@@ -335,7 +342,6 @@ def remove_repeats(documents: DataFrame, with_text: bool = False) -> DataFrame:
         whole.groupBy(*texts).agg(F.count("*").alias("copies"), F.min("id").alias("first")), "groups"
     )
     firsts = groups.select(F.col("first").alias("id"), "text_key").select(_row_key().alias("row_key"))
-    searched = sifted(rows.withColumn("row_key", _row_key()), "row_key", sieve_of(firsts, "row_key"))
 
     copied = groups.where("copies > 1").select(*texts)
     long_ = F.col("n_bytes") >= LENGTH
@@ -348,7 +354,7 @@ def remove_repeats(documents: DataFrame, with_text: bool = False) -> DataFrame:
     )
     single = whole.join(copied, texts, "left_anti")
 
-    ranges = _repeated_ranges(searched.drop("row_key"), scratch)
+    ranges = _repeated_ranges(rows, sieve_of(firsts, "row_key"), scratch)
     of_single = single.select(F.col("id").alias("_i"), F.col("text_key").alias("_k"))
     lists = scratch.stored(
         ranges.join(
