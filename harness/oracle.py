@@ -8,8 +8,6 @@ from __future__ import annotations
 import re
 
 from harness.lenses import AS_OF, FIRST_DAY
-from wattline.plans import gold
-from wattline.plans.expectations import CHECKS
 
 TS = f"TIMESTAMP '{AS_OF}'"
 
@@ -28,23 +26,81 @@ def _iso(column: str) -> str:
     return f"strftime({column}, '%Y-%m-%dT%H:%M:%S')"
 
 
-def _values(rows: tuple) -> str:
-    def cell(v) -> str:
-        if isinstance(v, bool):
-            return str(v).lower()
-        if isinstance(v, float):
-            return f"{v}::double"
-        return "'" + v.replace("'", "''") + "'"
-
-    return ", ".join("(" + ", ".join(cell(v) for v in row) + ")" for row in rows)
-
-
 def _respondent(column: str) -> str:
     return (
         f"case {column} % 4 when 0 then 'ERCO' when 1 then 'MISO' when 2 then 'PJM' else 'XX' end"
     )
 
 
+# Code, name, country, time zone, grid type.
+REGION_ROWS = """
+    ('CAISO', 'California Independent System Operator', 'United States', 'America/Los_Angeles', 'ISO'),
+    ('ERCO', 'Electric Reliability Council of Texas', 'United States', 'America/Chicago', 'RTO'),
+    ('GB', 'Great Britain National Grid', 'United Kingdom', 'Europe/London', 'TSO'),
+    ('ISONE', 'ISO New England', 'United States', 'America/New_York', 'ISO'),
+    ('MISO', 'Midcontinent Independent System Operator', 'United States', 'America/Chicago', 'RTO'),
+    ('NYISO', 'New York Independent System Operator', 'United States', 'America/New_York', 'ISO'),
+    ('PJM', 'PJM Interconnection', 'United States', 'America/New_York', 'RTO'),
+    ('SPP', 'Southwest Power Pool', 'United States', 'America/Chicago', 'RTO'),
+    ('SWPP', 'Southwest Power Pool (alt)', 'United States', 'America/Chicago', 'RTO')
+"""
+
+# Code, label, category, renewable, low-carbon, gCO2 per kWh.
+FUEL_ROWS = """
+    ('BIO', 'Biomass', 'Renewable', true, false, 230::double),
+    ('COL', 'Coal', 'Thermal', false, false, 820::double),
+    ('GEO', 'Geothermal', 'Renewable', true, true, 38::double),
+    ('NG', 'Natural Gas', 'Thermal', false, false, 490::double),
+    ('NUC', 'Nuclear', 'Low-Carbon', false, true, 12::double),
+    ('OIL', 'Oil', 'Thermal', false, false, 650::double),
+    ('OTH', 'Other', 'Other', false, false, 0::double),
+    ('SUN', 'Solar', 'Renewable', true, true, 45::double),
+    ('UNK', 'Unknown', 'Unknown', false, false, 0::double),
+    ('WAT', 'Hydro', 'Renewable', true, true, 4::double),
+    ('WND', 'Wind', 'Renewable', true, true, 11::double)
+"""
+
+# What the tables promise: table, check, column and what the check refers to.
+PROMISES = """
+    stg_demand not_null demand_key period_utc respondent demand_mwh
+    stg_demand unique demand_key
+    stg_generation not_null generation_key period_utc respondent fuel_type generation_mwh
+    stg_generation unique generation_key
+    stg_carbon_intensity not_null carbon_intensity_key period_from period_to intensity_gco2_kwh
+    stg_carbon_intensity unique carbon_intensity_key
+    dim_date not_null date_key date_day year month day_of_week
+    dim_date unique date_key date_day
+    dim_date month among 1,2,3,4,5,6,7,8,9,10,11,12
+    dim_date day_of_week among 1,2,3,4,5,6,7
+    dim_region not_null region_key respondent_code country
+    dim_region unique region_key respondent_code
+    dim_fuel_type not_null fuel_type_key fuel_type_code typical_co2_gco2_kwh
+    dim_fuel_type unique fuel_type_key fuel_type_code
+    fact_demand not_null demand_key date_key demand_mwh demand_mw
+    fact_demand unique demand_key
+    fact_demand date_key in dim_date
+    fact_demand region_key in dim_region
+    fact_generation not_null generation_key date_key generation_mwh
+    fact_generation unique generation_key
+    fact_generation date_key in dim_date
+    fact_generation fuel_type_key in dim_fuel_type
+    fact_carbon_intensity not_null carbon_intensity_key date_key intensity_gco2_kwh intensity_band
+    fact_carbon_intensity unique carbon_intensity_key
+    fact_carbon_intensity date_key in dim_date
+    fact_carbon_intensity intensity_band among 'Very Low','Low','Moderate','High','Very High'
+"""
+
+# The same for the raw tables, which break some of them.
+RAW_PROMISES = """
+    bronze_demand not_null period value
+    bronze_demand unique period _ingested_at
+    bronze_demand respondent among 'ERCO','MISO','PJM'
+    bronze_demand value_units among 'megawatthours'
+    bronze_demand respondent in dim_region.respondent_code
+    bronze_carbon not_null intensity_actual intensity_forecast
+    bronze_carbon unique _ingested_at
+"""
+
 CTES = {
     "grid_events": """
         select cast(event_id as varchar) as event_id,
@@ -197,11 +253,11 @@ CTES = {
         from spine""",
     "dim_region": f"""
         select cast(row_number() over (order by respondent_code) as integer) as region_key, *
-        from (values {_values(gold.REGIONS)})
+        from (values {REGION_ROWS})
              as r(respondent_code, region_name, country, timezone_name, grid_type)""",
     "dim_fuel_type": f"""
         select cast(row_number() over (order by fuel_type_code) as integer) as fuel_type_key, *
-        from (values {_values(gold.FUELS)})
+        from (values {FUEL_ROWS})
              as f(fuel_type_code, fuel_type_label, fuel_category, is_renewable, is_low_carbon,
                   typical_co2_gco2_kwh)""",
     "fact_demand": f"""
@@ -296,42 +352,35 @@ def _check(table: str, check: str, column: str, count: str) -> str:
     )
 
 
-def checks_sql(checks=CHECKS) -> str:
-    """Every declared check as one row of a union."""
+def _counted(table: str, check: str, column: str, rest: str) -> str:
+    """The statement that counts what breaks one promise."""
+    if check == "not_null":
+        return f"select count(*) from {table} where {column} is null"
+    if check == "unique":
+        return (
+            f"select count(*) from (select {column} from {table} where {column} is not null "
+            f"group by 1 having count(*) > 1)"
+        )
+    if check == "accepted_values":
+        return f"select count(*) from {table} where {column} not in ({rest})"
+    parent, _, key = rest.partition(".")
+    return (
+        f"select count(*) from {table} where {column} is not null and "
+        f"{column} not in (select {key or column} from {parent})"
+    )
+
+
+def checks_sql(promises: str = PROMISES) -> str:
+    """Every promise as one row of a union."""
     parts = []
-    for table, spec in checks.items():
-        for c in spec.not_null:
-            parts.append(_check(table, "not_null", c, f"select count(*) from {table} where {c} is null"))
-        for c, allowed in (spec.accepted or {}).items():
-            items = ", ".join(repr(v) for v in allowed)
-            parts.append(
-                _check(
-                    table,
-                    "accepted_values",
-                    c,
-                    f"select count(*) from {table} where {c} not in ({items})",
-                )
-            )
-        for c in spec.unique:
-            parts.append(
-                _check(
-                    table,
-                    "unique",
-                    c,
-                    f"select count(*) from (select {c} from {table} where {c} is not null "
-                    f"group by 1 having count(*) > 1)",
-                )
-            )
-        for r in spec.relationships:
-            parts.append(
-                _check(
-                    table,
-                    "relationships",
-                    r.column,
-                    f"select count(*) from {table} where {r.column} is not null and "
-                    f"{r.column} not in (select {r.parent_column} from {r.parent})",
-                )
-            )
+    for line in promises.strip().splitlines():
+        table, first, *others = line.split(maxsplit=3)
+        if first in ("not_null", "unique"):
+            columns = " ".join(others).split()
+            parts += [_check(table, first, c, _counted(table, first, c, "")) for c in columns]
+        else:
+            check = "accepted_values" if others[0] == "among" else "relationships"
+            parts.append(_check(table, check, first, _counted(table, check, first, others[1])))
     union = "\nunion all\n".join(parts)
     return sql(
         f"select *, case when failing_rows > 0 then 'fail' else 'pass' end as status "

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from harness import lenses
 from harness.lenses import AS_OF, FIRST_DAY, WHOLE_SPAN, portable, table
-from harness.oracle import CTES, TS, checks_sql, sql
+from harness.oracle import CTES, RAW_PROMISES, TS, checks_sql, sql
 from wattline.functions.measures import at_least_zero
 from wattline.functions.time import newer_than, parse_hour
 from wattline.operators import access, contracts, history, quality, retention, storage
@@ -905,7 +905,7 @@ RAW_CHECKS = {
 }
 
 
-@query("raw_quality_findings", checks_sql(RAW_CHECKS))
+@query("raw_quality_findings", checks_sql(RAW_PROMISES))
 def _(spark, sf):
     raw = {
         "bronze_demand": lenses.bronze_demand(spark, sf),
