@@ -1203,8 +1203,7 @@ def _(spark, sf):
     work = storage.work_folder(spark, "stream_rollup")
     _event_files(spark, sf, f"{work}/in")
     events = event_source.read_events_stream(spark, f"{work}/in", max_files_per_trigger=1)
-    _drain(rollup.start_rollup(events, f"{work}/store", f"{work}/ck", availableNow=True))
-    rollup.compact_rollup(spark, f"{work}/store")
+    _drain(rollup.start_rollup(events, f"{work}/store", f"{work}/ck", compact_every=2, availableNow=True))
     return rollup.read_rollup(spark, f"{work}/store")
 
 

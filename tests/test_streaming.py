@@ -115,6 +115,18 @@ def test_retried_batch_counts_once(spark, folder, rows):
     assert rows(rollup.read_rollup(spark, store), *COLUMNS) == expected
 
 
+def test_a_reader_survives_a_compaction(spark, folder):
+    store = folder("s")
+    for k in range(3):
+        rollup.write_partials(frame(spark, *mixed(8)), k, store)
+    before = rollup.read_rollup(spark, store)  # listed, not read yet
+    rollup.compact_rollup(spark, store)
+    assert before.agg(F.sum("event_count")).first()[0] == 24
+    rollup.keep_rollup(frame(spark, *mixed(8)), 3, store, compact_every=4)
+    assert sorted(os.listdir(f"{store}/new")) == ["batch_id=3"]  # the covered ones went, the last cycle stays
+    assert rollup.read_rollup(spark, store).agg(F.sum("event_count")).first()[0] == 32
+
+
 def test_unfinished_batch_does_not_count(spark, folder):
     store = folder("s")
     rollup.write_partials(frame(spark, *mixed(8)), 0, store)

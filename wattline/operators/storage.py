@@ -35,6 +35,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(p)]
 
 
+def complete_children(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Names of the folders below ``path`` whose write has committed, in one request."""
+    fs, p = _handle(spark, f"{path}/{pattern}/{DONE_MARKER}")
+    return [status.getPath().getParent().getName() for status in fs.globStatus(p) or []]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _handle(spark, path)
     if fs.exists(p):

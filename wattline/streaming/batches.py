@@ -32,12 +32,8 @@ def _folder(area: str, batch_id: int) -> str:
 
 
 def _committed(spark: SparkSession, area: str) -> list[int]:
-    ids = [
-        int(name.split("=", 1)[1])
-        for name in storage.children(spark, area)
-        if name.startswith("batch_id=")
-    ]
-    return sorted(i for i in ids if storage.is_complete(spark, _folder(area, i)))
+    names = storage.complete_children(spark, area, "batch_id=*")
+    return sorted(int(name.split("=", 1)[1]) for name in names)
 
 
 def _read(spark: SparkSession, folders: list[str], schema) -> DataFrame:
@@ -71,17 +67,18 @@ def compact(
 ) -> None:
     """Turn the batches since the last call into one segment, reduced by ``fold``.
 
-    The segment counts only once it has committed; the batches it replaces are
-    removed afterwards. Not to be run while the store is being read.
+    The segment counts only once it has committed. The batches it covers stay until
+    the next call, so a reader that listed them just before still finds them; only
+    what earlier segments cover is removed.
     """
-    _, later = _layout(spark, store)
+    segments, later = _layout(spark, store)
     if not later:
         return
     rows = _read(spark, [_folder(_new(store), i) for i in later], schema)
     # Rebalancing joins the small inputs into files of the advised size.
     fold(rows).hint("rebalance").write.mode("overwrite").parquet(_folder(_merged(store), later[-1]))
     for done in _committed(spark, _new(store)):
-        if done <= later[-1]:
+        if segments and done <= segments[-1]:
             storage.remove(spark, _folder(_new(store), done))
 
 

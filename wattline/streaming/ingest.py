@@ -11,7 +11,7 @@ from wattline.operators.contracts import REASON
 from wattline.sources.events import BODY, accepted, rejected
 from wattline.streaming.alerts import RULES, Rule, edge_alert_batch, level_alerts
 from wattline.streaming.batches import read_store, write_batch
-from wattline.streaming.rollup import write_partials
+from wattline.streaming.rollup import keep_rollup
 
 TICK = "5 seconds"
 
@@ -60,7 +60,7 @@ def fan_out_batch(
             write_batch(rejected(whole), f"{store}/rejected", batch_id)
         batch = accepted(whole)
         write_batch(batch, f"{store}/events", batch_id)
-        write_partials(batch, batch_id, f"{store}/rollup")
+        keep_rollup(batch, batch_id, f"{store}/rollup")
         if mode == "edge":
             edge_alert_batch(batch, batch_id, f"{store}/alerts", f"{store}/alert_state", rules)
         else:

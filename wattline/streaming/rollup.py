@@ -135,9 +135,24 @@ def compact_rollup(spark: SparkSession, store: str) -> None:
     batches.compact(spark, store, PARTIAL_SCHEMA, fold=add_up)
 
 
-def start_rollup(events: DataFrame, store: str, checkpoint: str, **trigger):
+#: Batches between two compactions: an hour of five-second ticks.
+COMPACT_EVERY = 720
+
+
+def keep_rollup(
+    batch: DataFrame, batch_id: int, store: str, compact_every: int = COMPACT_EVERY
+) -> None:
+    """One micro-batch to the partials store, which is compacted every so often."""
+    write_partials(batch, batch_id, store)
+    if (batch_id + 1) % compact_every == 0:
+        compact_rollup(batch.sparkSession, store)
+
+
+def start_rollup(
+    events: DataFrame, store: str, checkpoint: str, compact_every: int = COMPACT_EVERY, **trigger
+):
     """Keep the partials store current. ``trigger`` as for ``writeStream.trigger``."""
     writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, batch_id: write_partials(batch, batch_id, store)
+        lambda batch, batch_id: keep_rollup(batch, batch_id, store, compact_every)
     )
     return writer.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
