@@ -243,37 +243,44 @@ def _holding(rows: DataFrame, lists: DataFrame) -> DataFrame:
     return near.join(lists, _same_row(near, lists)).drop("_id", "_key")
 
 
+def _hashed(keys: DataFrame) -> DataFrame:
+    """Each key once: a partition of them fits a hash table, so nothing need be sorted."""
+    return keys.hint("shuffle_hash")
+
+
 def _repeated_ranges(rows: DataFrame, firsts, scratch: Scratch) -> DataFrame:
     """``_id, _key, ranges`` of the rows with repeated strings: their starts, as ranges."""
     counted = _first_names(rows, firsts).groupBy("name").agg(F.sum("n").alias("n"))
     twice = scratch.stored(counted.where("n > 1").select("name"), "names")
     suffixes = scratch.stored(
-        _suffixes(rows, firsts, sieve_of(twice, "name")).join(twice, "name", "left_semi"), "suffixes"
+        _suffixes(rows, firsts, sieve_of(twice, "name")).join(_hashed(twice), "name", "left_semi"),
+        "suffixes",
     )
+    # Nulls count for first(), so the four values come from one suffix, whichever.
     classes = scratch.stored(
         suffixes.groupBy("name", "second").agg(
-            F.count("*").alias("n"), F.min(F.struct("id", "text_key", "low", "high")).alias("one")
+            F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("id", "text_key", "low", "high")]
         ),
         "classes",
     )
     again = classes.where("n > 1").select("name", "second")
     inside = (
         sifted(suffixes, "second", sieve_of(again, "second"))
-        .join(again, ["name", "second"], "left_semi")
+        .join(_hashed(again), ["name", "second"], "left_semi")
         .select("id", "text_key", "low", "high")
     )
 
     kinds = classes.groupBy("name").agg(F.count("*").alias("kinds"))
     edges = scratch.stored(kinds.where("kinds > 1").select("name"), "edges")
-    open_ = sifted(classes.select("name", "one"), "name", sieve_of(edges, "name"))
-    open_ = open_.join(edges, "name", "left_semi").select("one.*")
+    open_ = sifted(classes.drop("second", "n"), "name", sieve_of(edges, "name"))
+    open_ = open_.join(_hashed(edges), "name", "left_semi").drop("name")
     wanted = scratch.stored(_per_row(open_, "wanted", "low", "high"), "wanted")
     texts = scratch.stored(_holding(rows, wanted), "texts")
     repeated = _string_counts(texts).groupBy("string").agg(F.sum("n").alias("n"))
     repeated = scratch.stored(repeated.where("n > 1").select("string"), "strings")
     edge = (
         _strings(texts, sieve_of(repeated, "string"))
-        .join(repeated, "string", "left_semi")
+        .join(_hashed(repeated), "string", "left_semi")
         .select("id", "text_key", F.col("start").alias("low"), F.col("start").alias("high"))
     )
     return _per_row(inside.unionByName(edge), "ranges", "low", "high")
