@@ -23,6 +23,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattline.llm.tables import Scratch
 from wattline.operators.storage import cut_lineage
 
 MARGINS = ("source", "lang", "topic")
@@ -166,6 +167,9 @@ def mix(
         F.col("topic").alias("mix_topic"),
         F.col("probability").alias("_chance"),
     )
+    # As files the table has a size the optimizer knows: a small one is broadcast
+    # by the session's own threshold, and the texts are not moved.
+    odds = Scratch(documents.sparkSession, "mixing").stored(odds, "odds")
     chance = F.coalesce(F.col("_chance"), F.lit(float(budget)))
     return (
         drawn.join(odds, ["_source", "_lang", "mix_topic"], "left")
