@@ -16,7 +16,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.expressions import BLANKS, let, split_words
+from wattline.llm.expressions import let, split_words
 
 #: Words in a window whose repetition counts.
 REPEAT_WINDOW = 5
@@ -179,5 +179,3 @@ def apply_rules(
         F.concat_ws(",", *[F.when(broken(r), F.lit(r.name)) for r in (*base, *rules)]).alias("broken"),
     )
 
-
-__all__ = ["BASE_RULES", "BLANKS", "RULES", "Rule", "any_broken", "apply_rules", "broken", "measures"]
