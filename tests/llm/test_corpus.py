@@ -97,6 +97,15 @@ def test_language_without_rows(spark, documents):
     assert not langid.identify(evidence(spark, [(1, "x", None, None, None)]), langs, model).first()["kept"]
 
 
+def test_rare_languages_are_known_at_every_size(spark):
+    importable(spark)
+    rows = [(f"the number {k} of many", "en") for k in range(6000)] + [(f"numéro rare {k}", "fr") for k in range(3)]
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    assert langid.train_text(labelled, sample=60)[0] == ["en", "fr"]
+    taken = collections.Counter(r["lang"] for r in langid.training_rows(labelled, sample=60).collect())
+    assert taken["fr"] == 3 and 20 < taken["en"] < 120
+
+
 def plain_mix(rows, budget):
     """Raking, calibration and sampling of ``(doc_id, tokens, cell)`` rows in plain Python."""
     import hashlib

@@ -3,7 +3,7 @@
 ``P(l | everything) ~ P(l | host) P(text | l) P(declared | l) P(suffix | l)``
 
 * Text: byte trigrams hashed into ``BUCKETS`` cells per language, trained from a
-  bounded sample of labelled rows. The summed log-likelihood is tempered to
+  bounded sample of each language's labelled rows. The summed log-likelihood is tempered to
   ``EVIDENCE`` independent trigrams, because neighbouring trigrams are not.
 * Declared markup language and address suffix: tables ``P(value | language)``
   counted over the whole corpus by grouped aggregation, where a row's language is
@@ -32,7 +32,8 @@ from wattline.operators.storage import cut_lineage
 
 BUCKETS = 1 << 15
 
-#: Labelled rows that the text model is fitted on, about.
+#: Labelled rows of each language that the text model is fitted on, about. A
+#: language with no more rows than that is taken whole.
 SAMPLE = 20_000
 
 #: Trigrams whose likelihood counts in full.
@@ -65,15 +66,29 @@ def _cells(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return (mixed(code[at]) >> np.uint64(64 - 15)).astype(np.int64), np.searchsorted(at, offsets)
 
 
+def training_rows(labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """At most about ``sample`` rows of each language of ``labelled (text, lang)``.
+
+    Rows are counted per language over the whole table. A language with more than
+    ``sample`` of them gives a share chosen by a hash of the text, any other all.
+    """
+    rows = labelled.where("lang is not null and text is not null")
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row per language, as the model has
+    shares = [(r["lang"], sample / r["n"]) for r in counts if r["n"] > sample]
+    if not shares:
+        return rows
+    share = F.try_element_at(F.create_map(*[F.lit(x) for pair in shares for x in pair]), F.col("lang"))
+    return rows.where(
+        share.isNull() | (F.abs(F.xxhash64("text") % 1_000_003) < share * 1_000_003)
+    )
+
+
 def train_text(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages and their log-probabilities per cell, from ``labelled (text, lang)``.
 
-    Every language of the sample is known. The share of rows read is chosen by a
-    hash of the text, so that about ``sample`` rows take part.
+    Every label of the table is known that has a text with a trigram, at any size.
     """
-    rows = labelled.where("lang is not null and text is not null")
-    share = min(1.0, sample / max(rows.count(), 1))
-    picked = rows.where(F.abs(F.xxhash64("text") % 1_000_003) < share * 1_000_003)
+    picked = training_rows(labelled, sample)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
