@@ -97,6 +97,39 @@ def test_language_without_rows(spark, documents):
     assert not langid.identify(evidence(spark, [(1, "x", None, None, None)]), langs, model).first()["kept"]
 
 
+FOREIGN = (
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+    "Alla människor är födda fria och lika i värde och rättigheter. De är utrustade med förnuft och samvete.",
+    "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+)
+
+
+def test_gibberish_and_unseen_languages_are_rejected(spark, given, language_model):
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = ["".join(rng.choices(letters, k=rng.randint(20, 400))) for _ in range(200)]
+    texts += [" ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(30)) for _ in range(200)]
+    texts += FOREIGN
+    # Neither a declared language nor the host's other texts save them.
+    rows = [(2 * k + d, t, ("fr" if d else None), None, "src1") for k, t in enumerate(texts) for d in (0, 1)]
+    found = langid.identify(evidence(spark, rows), *language_model).collect()
+    assert len(found) == len(rows)
+    assert not any(r["kept"] or r["text_language"] for r in found)
+    documents = given("documents")
+    known = langid.identify(queries.language_rows(documents), *langid.train_text(documents.select("text", "lang")))
+    assert known.where("not kept").count() == 0  # every given document has a language
+
+
+def test_a_language_left_out_of_training_is_rejected(given):
+    documents = given("documents")
+    model = langid.train_text(documents.where("lang <> 'es'").select("text", "lang"))
+    spanish = queries.language_rows(documents.where("lang = 'es'"))
+    found = langid.identify(spanish, *model).collect()
+    assert model[0] == ["de", "en", "fr"] and len(found) > 50
+    assert not any(r["kept"] for r in found)
+
+
 def test_rare_languages_are_known_at_every_size(spark):
     importable(spark)
     rows = [(f"the number {k} of many", "en") for k in range(6000)] + [(f"numéro rare {k}", "fr") for k in range(3)]
