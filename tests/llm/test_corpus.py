@@ -139,6 +139,13 @@ def test_rare_languages_are_known_at_every_size(spark):
     assert taken["fr"] == 3 and 20 < taken["en"] < 120
 
 
+def test_copies_train_once(spark):
+    importable(spark)
+    rows = [("always the same words", "en")] * 500 + [("toujours les mots", "fr")] * 9
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    assert sorted(r["lang"] for r in langid.training_rows(labelled, sample=20).collect()) == ["en", "fr"]
+
+
 def plain_mix(rows, budget):
     """Raking, calibration and sampling of ``(doc_id, tokens, cell)`` rows in plain Python."""
     import hashlib

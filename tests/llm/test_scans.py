@@ -128,6 +128,15 @@ def test_no_rows_no_secrets(documents, model):
     assert secret_scan.train(secret_scan.labelled_sample(documents([]), 10))
 
 
+def test_secret_sample_takes_whole_distinct_texts(documents):
+    words = [a + b for a in ("ka", "lo", "mi", "nu", "pe") for b in ("ra", "sto", "ting", "vel", "wund")]
+    rows = [" ".join(words)] * 500 + [None] * 200
+    plain = secret_scan.labelled_sample(documents(rows), 20).where("not random")
+    tokens = [r["token"] for r in plain.collect()]
+    assert len(tokens) == 7 * 4  # 25 words are four runs
+    assert all(any(w in t.lower() for t in tokens) for w in words)
+
+
 def test_leaks(documents, given, spark):
     items = [(r["item_id"], r["text"]) for r in given("benchmark").collect()]
     items += [(900, "One two"), (901, "..."), (902, None), (903, "straße Ünder İ 9x"), (None, "zig zag zog")]

@@ -3,7 +3,7 @@
 ``P(l | everything) ~ P(l | host) P(text | l) P(declared | l) P(suffix | l)``
 
 * Text: byte trigrams hashed into ``BUCKETS`` cells per language, trained from a
-  bounded sample of each language's labelled rows. The summed log-likelihood is tempered to
+  bounded sample of each language's distinct labelled texts. The summed log-likelihood is tempered to
   ``EVIDENCE`` independent trigrams, because neighbouring trigrams are not.
 * Unknown languages: a text whose trigrams its best language hardly has (``known``
   below ``least_known``) belongs to no known one. It is rejected whatever else is
@@ -18,7 +18,7 @@ Counts are pre-aggregated in the map tasks, so a hot host sends a few rows.
 
 Defined cases: null text, declared language, host or suffix is no evidence;
 without any evidence the corpus prior decides and the row is rejected; repeated
-rows count one by one; an empty table trains nothing and returns no rows.
+rows count one by one, but train the text model once; an empty table trains nothing and returns no rows.
 """
 
 from __future__ import annotations
@@ -35,8 +35,8 @@ from wattline.operators.storage import cut_lineage
 
 BUCKETS = 1 << 15
 
-#: Labelled rows of each language that the text model is fitted on, about. A
-#: language with no more rows than that is taken whole.
+#: Distinct labelled texts of each language that the text model is fitted on, about.
+#: A language with no more of them than that is taken whole.
 SAMPLE = 20_000
 
 #: Trigrams whose likelihood counts in full.
@@ -82,20 +82,23 @@ def _cells(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def training_rows(labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """At most about ``sample`` rows of each language of ``labelled (text, lang)``.
+    """At most about ``sample`` distinct texts of each language of ``labelled (text, lang)``.
 
-    Rows are counted per language over the whole table. A language with more than
-    ``sample`` of them gives a share chosen by a hash of the text, any other all.
+    Distinct texts are counted per language over the whole table. A language with more
+    than ``sample`` of them gives a share chosen by a hash of the text, any other all.
+    Copies of a text take part once, so a large group of copies cannot fill the sample.
     """
-    rows = labelled.where("lang is not null and text is not null")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row per language, as the model has
-    shares = [(r["lang"], sample / r["n"]) for r in counts if r["n"] > sample]
-    if not shares:
-        return rows
-    share = F.try_element_at(F.create_map(*[F.lit(x) for pair in shares for x in pair]), F.col("lang"))
-    return rows.where(
-        share.isNull() | (F.abs(F.xxhash64("text") % 1_000_003) < share * 1_000_003)
+    rows = labelled.where("lang is not null and text is not null").select("text", "lang")
+    counts = rows.groupBy("lang").agg(  # a row per language, as the model has
+        F.least(F.count("*"), F.approx_count_distinct("text")).alias("n")
     )
+    shares = [(r["lang"], sample / r["n"]) for r in counts.collect() if r["n"] > sample]
+    if shares:
+        share = F.try_element_at(F.create_map(*[F.lit(x) for pair in shares for x in pair]), F.col("lang"))
+        rows = rows.where(
+            share.isNull() | (F.abs(F.xxhash64("text") % 1_000_003) < share * 1_000_003)
+        )
+    return rows.dropDuplicates()
 
 
 def train_text(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:

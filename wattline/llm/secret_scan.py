@@ -44,6 +44,9 @@ THRESHOLD = 0.35
 #: Strings of each label in the training sample.
 SAMPLE = 20_000
 
+#: Consecutive words that one set of identifiers is made of.
+RUN = 8
+
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 CLASSES = len(ALPHABET) + 1
 
@@ -52,12 +55,13 @@ def labelled_sample(documents: DataFrame, size: int = SAMPLE) -> DataFrame:
     """``token, random`` strings: digests in three spellings against joined words of the corpus.
 
     Identifiers are made of the corpus's own words in snake, kebab, camel, path
-    and constant spelling, some with a counter. The words come from a share of
-    the rows that holds about ``size`` documents, chosen by a hash of the text.
+    and constant spelling, some with a counter. The words come from about ``size``
+    distinct texts, chosen by a hash of the text: all runs of ``RUN`` words of each.
     """
     spark = documents.sparkSession
-    rows = documents.count()
-    share = min(1.0, size / max(rows, 1))
+    texts = documents.select("text").where("text is not null")
+    distinct = texts.agg(F.approx_count_distinct("text")).first()[0]
+    share = min(1.0, size / max(distinct, 1))
     number = F.col("id").cast("string")
     digest = F.sha2(number, 256)
     spelt = F.array(
@@ -67,10 +71,14 @@ def labelled_sample(documents: DataFrame, size: int = SAMPLE) -> DataFrame:
     )
     random = spark.range(size).select(F.explode(spelt).alias("token"), F.lit(True).alias("random"))
 
-    picked = documents.where(F.abs(F.xxhash64("text") % 1_000_003) < share * 1_000_003)
-    words = F.slice(F.filter(F.split(F.col("text"), "[^A-Za-z]+"), lambda w: F.length(w) > 1), 1, 12)
-    w = [F.lower(F.coalesce(F.get("w", k), F.lit("x"))) for k in range(8)]
-    year = (2000 + F.abs(F.xxhash64("text") % 30)).cast("string")
+    picked = texts.where(F.abs(F.xxhash64("text") % 1_000_003) < share * 1_000_003).dropDuplicates()
+    found = F.filter(F.split(F.col("text"), "[^A-Za-z]+"), lambda w: F.length(w) > 1)
+    runs = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size("found"), F.lit(1)), F.lit(RUN)),  # the last one begins early enough to be whole
+        lambda k: F.slice("found", F.greatest(F.least(k, F.size("found") - (RUN - 1)), F.lit(1)), RUN),
+    )
+    w = [F.lower(F.coalesce(F.get("w", k), F.lit("x"))) for k in range(RUN)]
+    year = (2000 + F.abs(F.xxhash64("w") % 30)).cast("string")
     forms = F.array(
         F.concat_ws("_", *w[:4]),
         F.concat_ws("-", *w[2:6], year),
@@ -80,8 +88,11 @@ def labelled_sample(documents: DataFrame, size: int = SAMPLE) -> DataFrame:
         F.concat(F.concat_ws("_", *w[4:8]), F.lit("_"), F.substring(year, 3, 2)),
         F.concat(*[F.initcap(x) for x in w[:4]], year),
     )
-    plain = picked.select(words.alias("w"), "text").where(F.size("w") > 3).select(
-        F.explode(forms).alias("token"), F.lit(False).alias("random")
+    plain = (
+        picked.select(found.alias("found"))
+        .where(F.size("found") > 3)
+        .select(F.explode(runs).alias("w"))
+        .select(F.explode(forms).alias("token"), F.lit(False).alias("random"))
     )
     return random.unionByName(plain)
 
