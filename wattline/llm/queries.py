@@ -16,8 +16,11 @@ from wattline.llm import (
     personal_data,
     quality_rules,
     secret_scan,
+    simhash_dedup,
+    spelling,
     suffix_dedup,
     token_counts,
+    turn_repair,
 )
 from wattline.llm.workers import importable
 from wattline.session import use_utc
@@ -211,3 +214,21 @@ def _(spark, sf):
         F.nullif(host, F.lit("")).alias("host"),
     )
     return langid.identify(rows, langs, model).withColumnRenamed("doc_id", "page_id")
+
+
+# The damage of op11 and op13 is drawn by CRC-32 and op12 hashes by XXH64; SQL here has neither.
+
+
+@query("op11_spelling_variants")
+def _(spark, sf):
+    return spelling.group_spellings(table(spark, sf, "documents"))
+
+
+@query("op12_simhash_dedup")
+def _(spark, sf):
+    return simhash_dedup.find_groups(table(spark, sf, "documents"))
+
+
+@query("op13_turn_repair")
+def _(spark, sf):
+    return turn_repair.repair(turn_repair.damaged(table(spark, sf, "conversations")))
