@@ -22,7 +22,7 @@ from wattline.operators import access, contracts, history, quality, retention, s
 from wattline.operators.contracts import inspect, validate
 from wattline.operators.dedup import latest_per_key
 from wattline.operators.storage import cut_lineage
-from wattline.operators.upsert import merge_table, upsert
+from wattline.operators.upsert import merge_table, read_merged, upsert
 from wattline.plans import bronze, expectations, gold, insights, medallion, monitor, silver
 from wattline.session import use_utc
 from wattline.sources import events as event_source
@@ -645,7 +645,7 @@ def _(spark, sf):
     merge_table(spark, path, rows.drop("again"), ["o_orderkey"], "part")
     second = rows.where("again").withColumn("amount", F.col("amount") + 1).drop("again")
     merge_table(spark, path, second, ["o_orderkey"], "part")
-    return spark.read.parquet(path).withColumn("part", F.col("part").cast("bigint"))
+    return read_merged(spark, path).withColumn("part", F.col("part").cast("bigint"))
 
 
 @query(

@@ -6,11 +6,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from wattline.operators import storage, upsert
+from wattline.operators import contracts, storage, upsert, versions
+from wattline.operators.contracts import validate
 from wattline.operators.dedup import latest_per_key, prefer_first
 from wattline.operators.quality import QualityError
 from wattline.plans import bronze, gold, medallion, silver
-from wattline.sources import tables, watermarks
+from wattline.sources import payloads, tables, watermarks
 
 AS_OF = "2024-03-02 06:00:00"
 
@@ -259,44 +260,68 @@ def merge(spark, path, *rows):
     upsert.merge_table(spark, path, keyed(spark, *rows), ["k"], "month")
 
 
+def files_named(spark, path):
+    """Folders that the table's newest pointer names, with their files."""
+    at = versions.pointer(spark, path)
+    return {
+        f"{versions.folder(path, n)}/{name}/{f}"
+        for name, n in at.folders.items()
+        for f in os.listdir(f"{versions.folder(path, n)}/{name}")
+        if f.endswith(".parquet")
+    }
+
+
 def test_merge_table_touches_only_named_partitions(spark, folder, rows):
     path = folder("t")
     merge(spark, path, (1, "a", 1), (2, "a", 1), (3, "a", 2))
-    untouched = os.listdir(f"{path}/month=2")
+    untouched = {f for f in files_named(spark, path) if "month=2" in f}
     merge(spark, path, (2, "b", 1), (4, "b", 3))
-    assert rows(spark.read.parquet(path), "k", "v") == [(1, "a"), (2, "b"), (3, "a"), (4, "b")]
-    assert os.listdir(f"{path}/month=2") == untouched
+    assert rows(upsert.read_merged(spark, path), "k", "v") == [(1, "a"), (2, "b"), (3, "a"), (4, "b")]
+    assert {f for f in files_named(spark, path) if "month=2" in f} == untouched
     merge(spark, path, (2, "b", 1), (4, "b", 3))
-    assert rows(spark.read.parquet(path), "k", "v") == [(1, "a"), (2, "b"), (3, "a"), (4, "b")]
+    assert rows(upsert.read_merged(spark, path), "k", "v") == [(1, "a"), (2, "b"), (3, "a"), (4, "b")]
 
 
-def test_merge_finishes_what_a_dead_job_left(spark, folder, rows, monkeypatch):
+def test_a_merge_that_dies_changes_nothing(spark, folder, rows, monkeypatch):
     path = folder("t")
     merge(spark, path, (1, "a", 1), (2, "a", 2))
 
-    real, calls = storage.replace_folder, []
+    def dies(*args):
+        raise OSError("lost")
 
-    def dies_on_second(*args):
-        calls.append(args)
-        if len(calls) == 2:
-            raise OSError("lost")
-        real(*args)
-
-    monkeypatch.setattr(storage, "replace_folder", dies_on_second)
-    with pytest.raises(OSError):
-        merge(spark, path, (1, "b", 1), (2, "b", 2))
-    monkeypatch.setattr(storage, "replace_folder", real)
+    with monkeypatch.context() as broken:
+        broken.setattr(storage, "write_text_once", dies)
+        with pytest.raises(OSError):
+            merge(spark, path, (1, "b", 1), (2, "b", 2))
+    assert rows(upsert.read_merged(spark, path), "k", "v") == [(1, "a"), (2, "a")]
     merge(spark, path, (3, "c", 3))
-    assert rows(spark.read.parquet(path), "k", "v") == [(1, "b"), (2, "b"), (3, "c")]
+    assert rows(upsert.read_merged(spark, path), "k", "v") == [(1, "a"), (2, "a"), (3, "c")]
 
 
-def test_merge_discards_an_unfinished_copy(spark, folder, rows):
+def test_a_reader_during_a_merge_sees_the_table_before_it(spark, folder, rows):
+    path = folder("t")
+    merge(spark, path, (1, "a", 1), (2, "a", 2))
+    before = upsert.read_merged(spark, path)
+    merge(spark, path, (1, "b", 1), (3, "b", 3))
+    versions.vacuum(spark, path)
+    assert rows(before, "k", "v") == [(1, "a"), (2, "a")]
+    assert rows(upsert.read_merged(spark, path), "k", "v") == [(1, "b"), (2, "a"), (3, "b")]
+    merge(spark, path, (1, "c", 1))
+    versions.vacuum(spark, path)
+    assert not os.path.exists(f"{versions.folder(path, 1)}/month=1")
+    assert rows(upsert.read_merged(spark, path), "k", "v") == [(1, "c"), (2, "a"), (3, "b")]
+
+
+def test_two_writers_of_one_number(spark, folder, rows):
     path = folder("t")
     merge(spark, path, (1, "a", 1))
-    keyed(spark, (9, "z", 1)).write.partitionBy("month").parquet(f"{path}/_merge")
-    os.remove(f"{path}/_merge/_SUCCESS")
+    base = versions.pointer(spark, path)
     merge(spark, path, (2, "b", 1))
-    assert rows(spark.read.parquet(path), "k", "v") == [(1, "a"), (2, "b")]
+    with pytest.raises(RuntimeError, match="another writer"):
+        versions.commit(spark, path, base, keyed(spark, (9, "z", 1)), "month")
+    with pytest.raises(Exception, match="exist"):
+        storage.write_text_once(spark, f"{path}/_commits/{2:020d}.json", "{}")
+    assert rows(upsert.read_merged(spark, path), "k", "v") == [(1, "a"), (2, "b")]
 
 
 @pytest.mark.parametrize("months", [3, 150])
@@ -307,7 +332,7 @@ def test_merge_keeps_untouched_rows_of_the_null_partition(spark, folder, rows, m
     merge(spark, path, *first)
     merge(spark, path, *second)
     expected = {k: v for k, v, _ in first} | {k: v for k, v, _ in second}
-    assert rows(spark.read.parquet(path), "k", "v") == sorted(expected.items(), key=str)
+    assert rows(upsert.read_merged(spark, path), "k", "v") == sorted(expected.items(), key=str)
 
 
 def test_merge_of_only_null_or_no_rows(spark, folder, rows):
@@ -315,7 +340,7 @@ def test_merge_of_only_null_or_no_rows(spark, folder, rows):
     merge(spark, path, (1, "a", 1), (2, "a", None))
     merge(spark, path, (3, "b", None))
     merge(spark, path, *[(9, "z", 1)][:0])
-    assert rows(spark.read.parquet(path), "k", "v") == [(1, "a"), (2, "a"), (3, "b")]
+    assert rows(upsert.read_merged(spark, path), "k", "v") == [(1, "a"), (2, "a"), (3, "b")]
 
 
 # ---- gold ---------------------------------------------------------------------------
@@ -416,7 +441,7 @@ def test_loading_twice_equals_loading_once(spark, tmp_path, rows):
 
     def facts():
         return {
-            n: rows(tables.read_table(spark, paths.table("gold", n)).drop("_loaded_at"))
+            n: rows(gold.read_fact(spark, paths.table("gold", n)).drop("_loaded_at"))
             for n in names
         }
 
@@ -432,10 +457,6 @@ def test_loading_twice_equals_loading_once(spark, tmp_path, rows):
     assert medallion.read_bronze(spark, paths, "demand").count() == 3  # the boundary hour again
 
 
-def files_of(root):
-    return {os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.endswith(".parquet")}
-
-
 def test_second_run_rewrites_only_touched_months(spark, tmp_path, rows):
     base = str(tmp_path)
     paths = medallion.Paths(f"{base}/in", f"{base}/lake")
@@ -450,19 +471,62 @@ def test_second_run_rewrites_only_touched_months(spark, tmp_path, rows):
         put(paths.payload(name), body)
     watermarks.write_watermark(spark, paths.watermarks, "eia_demand", "2024-02-01T00", "2024-02-01 00:00:00")
     medallion.run(spark, paths, first)
-    old = {layer: files_of(f"{base}/lake/{layer}/{name}") for layer, name in (("silver", "demand"), ("gold", "fact_demand"))}
+    old = {layer: files_named(spark, f"{base}/lake/{layer}/{name}") for layer, name in (("silver", "demand"), ("gold", "fact_demand"))}
     put(paths.payload("demand"), eia(demand_row(1, 250), demand_row(5, 300, "2024-03-31")))
     medallion.run(spark, paths, second)
     for layer, name in (("silver", "demand"), ("gold", "fact_demand")):
-        kept = old[layer] & files_of(f"{base}/lake/{layer}/{name}")
+        kept = old[layer] & files_named(spark, f"{base}/lake/{layer}/{name}")
         assert kept and all("period_month=202402" in f for f in kept), layer
     fact = gold.read_fact(spark, paths.table("gold", "fact_demand"))
     assert sorted(r["demand_mwh"] for r in fact.collect()) == [100.0, 250.0, 300.0]
     stamps = {str(r["_loaded_at"]) for r in fact.where("demand_mwh = 100").collect()}
     assert stamps == {first}
-    before = files_of(f"{base}/lake/silver/demand")
+    before = files_named(spark, f"{base}/lake/silver/demand")
     medallion.cleanse(spark, paths, "2024-04-02 06:00:00")  # all loads again change nothing
-    assert files_of(f"{base}/lake/silver/demand") == before
+    assert files_named(spark, f"{base}/lake/silver/demand") == before
+
+
+def test_silver_loads_reach_the_facts_at_any_time(spark, tmp_path, rows):
+    base = str(tmp_path)
+    paths = medallion.Paths(f"{base}/in", f"{base}/lake")
+    months = ("2024-03-01", "2024-03-01", "2024-02-01", "2024-04-01")
+    moments = ("2024-05-02 06:00:00", "2024-05-02 06:00:00", "2024-04-20 06:00:00", "2024-05-03 06:00:00")
+    for n, (day, as_of) in enumerate(zip(months, moments), 1):
+        put(f"{base}/load{n}", eia(demand_row(n, 100 + n, day)))
+        delivered = payloads.read_eia(spark, f"{base}/load{n}", "demand")
+        tables.land_bronze(contracts_of(delivered), paths.table("bronze", "demand"), as_of)
+        medallion.cleanse(spark, paths, as_of, only_new=True)
+        medallion.model(spark, paths, as_of, gate=False)
+        for name, path in (("silver", "demand"), ("gold", "fact_demand")):
+            assert upsert.read_merged(spark, paths.table(name, path)).count() == n, (n, name)
+    number = versions.pointer(spark, paths.table("gold", "fact_demand")).number
+    medallion.cleanse(spark, paths, moments[-1], only_new=True)
+    medallion.model(spark, paths, moments[-1], gate=False)
+    assert versions.pointer(spark, paths.table("gold", "fact_demand")).number == number
+
+
+def test_a_fact_that_failed_takes_its_rows_later(spark, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    paths = medallion.Paths(f"{base}/in", f"{base}/lake")
+    put(f"{base}/load", eia(demand_row(1, 100)))
+    delivered = payloads.read_eia(spark, f"{base}/load", "demand")
+    tables.land_bronze(contracts_of(delivered), paths.table("bronze", "demand"), AS_OF)
+    medallion.cleanse(spark, paths, AS_OF, only_new=True)
+
+    def dies(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(gold, "merge_fact", dies)
+        with pytest.raises(OSError):
+            medallion.model(spark, paths, AS_OF, gate=False)
+    medallion.cleanse(spark, paths, AS_OF, only_new=True)
+    medallion.model(spark, paths, AS_OF, gate=False)
+    assert gold.read_fact(spark, paths.table("gold", "fact_demand")).count() == 1
+
+
+def contracts_of(rows):
+    return validate(rows, contracts.EIA_DEMAND)
 
 
 def test_run_stops_at_a_fact_that_fails_its_checks(spark, tmp_path):

@@ -73,3 +73,12 @@ def test_every_query_has_its_sql():
 def test_day_folders_outside_the_range_are_not_opened(spark):
     text = plan(QUERIES["stored_event_counts"](spark, SF))
     assert "event_date" in text.split("PartitionFilters:")[1].split("]")[0]
+
+
+def test_an_event_line_is_parsed_once(spark):
+    from wattline.sources import events
+
+    lines = spark.range(3).selectExpr("cast(id as string) as value")
+    for frame in (events.parse_event_json(lines), events.rejected(events.checked_events(lines))):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1, plan

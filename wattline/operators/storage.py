@@ -58,6 +58,42 @@ def replace_folder(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def files_by_folder(spark: SparkSession, path: str, pattern: str) -> dict[str, int]:
+    """Number of visible files in each folder below ``path`` that matches, in one request."""
+    fs, p = _handle(spark, f"{path}/{pattern}/*")
+    found: dict[str, int] = {}
+    for status in fs.globStatus(p) or []:
+        if status.getPath().getName()[0] not in "._":
+            name = status.getPath().getParent().getName()
+            found[name] = found.get(name, 0) + 1
+    return found
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, whole."""
+    fs, p = _handle(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text_once(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file that appears whole or not at all, and never replaces another."""
+    fs, p = _handle(spark, path)
+    _, fresh = _handle(spark, f"{p.getParent()}/.{uuid.uuid4().hex}")
+    fs.mkdirs(p.getParent())
+    stream = fs.create(fresh, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    kind = getattr(hadoop, "Options$Rename")
+    keep_others = spark.sparkContext._gateway.new_array(kind, 1)
+    keep_others[0] = kind.NONE
+    hadoop.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration()).rename(fresh, p, keep_others)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder.
 

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.operators import storage
-
-_STAGED = "_merge"
-
+from wattline.operators import versions
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Union of the source and the target rows it does not replace.
@@ -33,44 +30,52 @@ def merge_table(
     keys: Sequence[str],
     partition_by: str,
     stamps: Sequence[str] = (),
+    number_as: str | None = None,
+    consumed: Mapping[str, int] | None = None,
+    replace: bool = False,
 ) -> None:
-    """Upsert ``source`` into the Parquet table at ``path``.
+    """Upsert ``source`` into the table at ``path``, which ``read_merged`` reads.
 
     Only partitions named by the source are read and rewritten, which requires
     ``partition_by`` to be a function of the keys. With ``stamps``, source rows
     that differ from the stored ones in those columns only are left out first, so
     delivering rows again neither restamps them nor rewrites their partition.
+    ``number_as`` names a column that gets the number of the load that last changed
+    a row. With ``replace`` the source becomes the whole table.
 
-    The merged partitions are written beside the table first and, once that write
-    has committed, moved into place one by one. A job that dies on the way leaves
-    some partitions new, the others old and at most one missing until the next
-    call, which moves the rest before anything else. One writer at a time; readers
-    that must not see this run between calls.
+    The load is one commit (see ``versions``): a job that dies on the way changes
+    nothing, and a reader sees the table before or after it. ``consumed`` marks what
+    the source was read from and is stored by the same commit.
     """
-    staged = f"{path}/{_STAGED}"
-    if storage.is_complete(spark, staged):
-        _publish(spark, staged, path)
-    else:
-        storage.remove(spark, staged)
-
+    base = versions.pointer(spark, path)
+    stored = None if replace else versions.read(spark, path, base)
+    if number_as is not None:
+        source = source.withColumn(number_as, F.lit(base.number + 1).cast("long"))
+        stamps = [*stamps, number_as]
     held = [source.persist()]
     try:
         merged = source
-        if _partitions(spark, path):
-            stored = spark.read.parquet(path)
+        if stored is not None:
             if stamps:
                 source = _news(_touched(stored, source, partition_by), source, stamps).persist()
                 held.append(source)
                 if source.isEmpty():
+                    if consumed and any(base.consumed.get(k) != v for k, v in consumed.items()):
+                        versions.commit(spark, path, base, None, partition_by, consumed)
                     return
             merged = upsert(_touched(stored, source, partition_by), source, keys)
-        # Rebalancing lets adaptive execution split a partition value that holds
-        # much of the data and join small ones, so files come out evenly sized.
-        merged.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(staged)
+        versions.commit(spark, path, base, merged, partition_by, consumed, replace)
     finally:
         for frame in held:
             frame.unpersist()
-    _publish(spark, staged, path)
+
+
+def read_merged(spark: SparkSession, path: str) -> DataFrame:
+    """The table as its last commit left it."""
+    found = versions.read(spark, path)
+    if found is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return found
 
 
 def _news(target: DataFrame, source: DataFrame, stamps: Sequence[str]) -> DataFrame:
@@ -81,10 +86,6 @@ def _news(target: DataFrame, source: DataFrame, stamps: Sequence[str]) -> DataFr
     return s.join(t, same, "left_anti")
 
 
-def _partitions(spark: SparkSession, path: str) -> list[str]:
-    return [name for name in storage.children(spark, path) if "=" in name]
-
-
 def _touched(target: DataFrame, source: DataFrame, partition_by: str) -> DataFrame:
     """Target rows of the partitions that the source names, NULL among them.
 
@@ -102,10 +103,3 @@ def _touched(target: DataFrame, source: DataFrame, partition_by: str) -> DataFra
     named = source.select(partition_by).distinct()
     t, s = target.filter(wanted).alias("t"), named.alias("s")
     return t.join(s, F.col(f"t.{partition_by}").eqNullSafe(F.col(f"s.{partition_by}")), "left_semi")
-
-
-def _publish(spark: SparkSession, staged: str, path: str) -> None:
-    for name in _partitions(spark, staged):
-        storage.replace_folder(spark, f"{staged}/{name}", f"{path}/{name}")
-    storage.remove(spark, staged)
-    spark.catalog.refreshByPath(path)

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from wattline.functions.keys import iso_text, surrogate_key
 from wattline.functions.measures import emissions_tonnes, intensity_band, is_low_carbon
 from wattline.functions.time import Moment, as_datetime, date_key, instant, stamp, sunday_week
+from wattline.operators import versions
 from wattline.operators.ordered import with_running_total
-from wattline.operators.upsert import merge_table, upsert
+from wattline.operators.upsert import merge_table, read_merged, upsert
 
 # ---- staging --------------------------------------------------------------
 
@@ -306,12 +307,26 @@ FACT_KEYS = {
 LAYOUT = "period_month"
 
 
-def merge_fact(spark: SparkSession, name: str, fresh: DataFrame, path: str) -> None:
-    """Merge freshly built rows into the stored fact, month by month."""
+SILVER = "silver"
+
+
+def loaded_upto(spark: SparkSession, path: str) -> int:
+    """Number of the last silver load that the stored fact holds."""
+    return versions.pointer(spark, path).consumed.get(SILVER, 0)
+
+
+def merge_fact(
+    spark: SparkSession, name: str, fresh: DataFrame, path: str, upto: int | None = None
+) -> None:
+    """Merge freshly built rows into the stored fact, month by month.
+
+    ``upto`` is the silver load they reach; the mark moves with the rows or not at all.
+    """
     key, time = FACT_KEYS[name]
     rows = fresh.withColumn(LAYOUT, F.date_format(time, "yyyyMM").cast("int"))
-    merge_table(spark, path, rows, [key], LAYOUT)
+    consumed = None if upto is None else {SILVER: upto}
+    merge_table(spark, path, rows, [key], LAYOUT, stamps=("_loaded_at",), consumed=consumed)
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(LAYOUT)
+    return read_merged(spark, path).drop(LAYOUT)

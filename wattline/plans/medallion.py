@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wattline import schemas
-from wattline.functions.time import Moment, as_datetime
-from wattline.operators import storage
+from wattline.functions.time import Moment
+from wattline.operators import storage, versions
 from wattline.operators.quality import require_passing, run_checks
 from wattline.plans import bronze, expectations, gold, silver
-from wattline.sources import watermarks
-from wattline.sources.tables import loads_since, read_table, save_to_path
+from wattline.sources.tables import loads_since, read_table
 
 BRONZE_SCHEMAS = {
     "demand": schemas.BRONZE_DEMAND,
@@ -81,24 +82,44 @@ def read_bronze(spark: SparkSession, paths: Paths, name: str) -> DataFrame:
     return read_table(spark, paths.table("bronze", name), BRONZE_SCHEMAS[name])
 
 
-CLEANSED = "cleansed"
+def _empty_silver(spark: SparkSession, name: str, as_of: Moment) -> DataFrame:
+    return silver.build(name, spark.createDataFrame([], BRONZE_SCHEMAS[name]), as_of)
 
 
 def read_silver(spark: SparkSession, paths: Paths, name: str, as_of: Moment) -> DataFrame:
     """A stored silver table; one that no row has reached yet is empty."""
     path = paths.table("silver", name)
-    if storage.children(spark, path):
+    if versions.numbers(spark, path):
         return silver.read(spark, path)
-    return silver.build(name, spark.createDataFrame([], BRONZE_SCHEMAS[name]), as_of)
+    return _empty_silver(spark, name, as_of)
 
 
 def cleanse(
-    spark: SparkSession, paths: Paths, as_of: Moment, since_load: str | None = None
+    spark: SparkSession,
+    paths: Paths,
+    as_of: Moment,
+    since_load: str | None = None,
+    only_new: bool = False,
 ) -> None:
-    """Upsert bronze loads, all or only recent ones, into silver."""
+    """Upsert bronze loads, all or only recent ones, into silver.
+
+    With ``only_new`` a load date is read again only if files were added to it since
+    silver last took it in. Silver's own commit records how many it has seen, so a run
+    that dies, is repeated or goes back to an earlier date leaves nothing out.
+    """
     for name in silver.TABLES:
+        bronze_path, path = paths.table("bronze", name), paths.table("silver", name)
+        there = storage.files_by_folder(spark, bronze_path, "load_date=*")
+        if not there:
+            continue
         rows = loads_since(read_bronze(spark, paths, name), since_load)
-        silver.merge(spark, name, rows, paths.table("silver", name), as_of)
+        if only_new:
+            seen = versions.pointer(spark, path).consumed
+            days = [d.split("=", 1)[1] for d, files in there.items() if seen.get(d) != files]
+            if not days:
+                continue
+            rows = rows.where(F.col("load_date").isin([date.fromisoformat(d) for d in days]))
+        silver.merge(spark, name, rows, path, as_of, consumed=None if since_load else there)
 
 
 def _check_some(tables: dict[str, DataFrame], names: Iterable[str]) -> DataFrame:
@@ -114,10 +135,11 @@ def model(
 ) -> dict[str, DataFrame]:
     """Bring the star schema up to date; staging stays a projection, the rest is stored.
 
-    Dimensions are rebuilt. A fact takes the silver rows cleansed since it was last
-    loaded and rewrites the months they fall into. With ``gate`` the staging and
-    dimension tables must pass their checks before any fact is built, and the new
-    rows of a fact before they are stored.
+    Dimensions are rebuilt. A fact takes the silver loads it does not hold yet, by their
+    numbers and not by any time, and rewrites the months they changed; how far it got is
+    part of the commit that stores it. With ``gate`` the staging and dimension tables
+    must pass their checks before any fact is built, and the new rows of a fact before
+    they are stored.
     """
     stored = {name: read_silver(spark, paths, name, as_of) for name in silver.TABLES}
     tables = {
@@ -127,7 +149,7 @@ def model(
     }
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        tables[name] = save_to_path(df, paths.table("gold", name))
+        tables[name] = versions.replace(spark, paths.table("gold", name), df)
         return tables[name]
 
     dates = store("dim_date", gold.dim_date(spark, as_of, start))
@@ -136,35 +158,44 @@ def model(
     if gate:
         require_passing(_check_some(tables, list(tables)))
 
-    def merge(name: str, staged: DataFrame, build: Callable[[DataFrame], DataFrame]) -> None:
+    def merge(name: str, source: str, build: Callable[[DataFrame], DataFrame]) -> None:
         path = paths.table("gold", name)
-        if storage.children(spark, path):
-            staged = gold.not_yet_loaded(staged, gold.read_fact(spark, path))
-        fresh = storage.cut_lineage(build(staged))
+        after = gold.loaded_upto(spark, path)
+        changed, upto = silver.read_loads(spark, paths.table("silver", source), after)
+        if changed is None:
+            changed = _empty_silver(spark, source, as_of)
+        fresh = storage.cut_lineage(build(changed))
         if gate and name in expectations.CHECKS:
             require_passing(_check_some({**tables, name: fresh}, [name]))
-        gold.merge_fact(spark, name, fresh, path)
-        tables[name] = gold.read_fact(spark, path) if storage.children(spark, path) else fresh
+        gold.merge_fact(spark, name, fresh, path, upto)
+        tables[name] = gold.read_fact(spark, path)
 
     merge(
         "fact_demand",
-        tables["stg_demand"],
-        lambda rows: gold.fact_demand(rows, dates, regions, as_of),
+        "demand",
+        lambda rows: gold.fact_demand(gold.stage_demand(rows), dates, regions, as_of),
     )
     merge(
         "fact_generation",
-        tables["stg_generation"],
-        lambda rows: gold.fact_generation(rows, dates, regions, fuels, as_of),
+        "generation",
+        lambda rows: gold.fact_generation(gold.stage_generation(rows), dates, regions, fuels, as_of),
     )
     merge(
         "fact_carbon_intensity",
-        tables["stg_carbon_intensity"],
-        lambda rows: gold.fact_carbon_intensity(rows, dates, as_of),
+        "carbon",
+        lambda rows: gold.fact_carbon_intensity(gold.stage_carbon(rows), dates, as_of),
     )
-    merge("fact_weather", stored["weather"], lambda rows: gold.fact_weather(rows, dates, as_of))
+    merge("fact_weather", "weather", lambda rows: gold.fact_weather(rows, dates, as_of))
     return tables
 
 
+def vacuum(spark: SparkSession, paths: Paths) -> None:
+    """Remove what only commits before the last two of each table needed."""
+    for layer in ("silver", "gold"):
+        for name in storage.children(spark, f"{paths.lake}/{layer}"):
+            versions.vacuum(spark, paths.table(layer, name))
+
+
 def run(
     spark: SparkSession,
     paths: Paths,
@@ -174,12 +205,11 @@ def run(
 ) -> DataFrame:
     """Every step in order, each taking only what is new; returns the results of all checks.
 
-    Silver takes the loads since the last cleansed one, facts what silver changed.
+    Silver takes the bronze files it has not seen, facts the silver loads they do not
+    hold. A run may be repeated, or follow a later one, with the same outcome.
     """
     ingest(spark, paths, as_of)
-    since = watermarks.read_watermark(spark, paths.watermarks, CLEANSED)
-    cleanse(spark, paths, as_of, since)
-    day = as_datetime(as_of).date().isoformat()
-    watermarks.write_watermark(spark, paths.watermarks, CLEANSED, day, as_of)
+    cleanse(spark, paths, as_of, only_new=True)
     tables = model(spark, paths, as_of, start, gate)
+    vacuum(spark, paths)
     return run_checks(tables, expectations.CHECKS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +18,9 @@ from wattline.functions.time import (
     parse_minute_z,
     stamp,
 )
-from wattline.operators import storage
+from wattline.operators import versions
 from wattline.operators.dedup import latest_per_key
-from wattline.operators.upsert import merge_table
+from wattline.operators.upsert import merge_table, read_merged
 
 DEMAND_KEYS = ("period_utc", "respondent")
 GENERATION_KEYS = ("period_utc", "respondent", "fuel_type")
@@ -146,20 +146,32 @@ def weather(bronze: DataFrame, as_of: Moment) -> DataFrame:
     return build("weather", bronze, as_of)
 
 
-# The stored layout adds the month of the key's time as partition column.
+# The stored layout adds the month of the key's time as partition column, and the
+# number of the load that last changed a row.
 LAYOUT = "period_month"
+LOAD = "_load"
 
 
-def merge(spark: SparkSession, table: str, bronze: DataFrame, path: str, as_of: Moment) -> None:
+def merge(
+    spark: SparkSession,
+    table: str,
+    bronze: DataFrame,
+    path: str,
+    as_of: Moment,
+    consumed: Mapping[str, int] | None = None,
+) -> None:
     """Upsert one batch of bronze rows into the stored table (create if absent).
 
-    A row delivered again unchanged keeps its stamp.
+    A row delivered again unchanged keeps its stamp and its load number. Load numbers
+    follow the order of the merges, whatever their ``as_of``.
     """
     spec = TABLES[table]
     rows = build(table, bronze, as_of).withColumn(
         LAYOUT, F.date_format(spec.time, "yyyyMM").cast("int")
     )
-    merge_table(spark, path, rows, spec.keys, LAYOUT, stamps=("_cleansed_at",))
+    merge_table(
+        spark, path, rows, spec.keys, LAYOUT, stamps=("_cleansed_at",), number_as=LOAD, consumed=consumed
+    )
 
 
 def refresh(table: str, bronze: DataFrame, path: str, as_of: Moment) -> None:
@@ -168,15 +180,29 @@ def refresh(table: str, bronze: DataFrame, path: str, as_of: Moment) -> None:
     rows = build(table, bronze, as_of).withColumn(
         LAYOUT, F.date_format(spec.time, "yyyyMM").cast("int")
     )
-    storage.remove(bronze.sparkSession, path)
-    merge_table(bronze.sparkSession, path, rows, spec.keys, LAYOUT)
+    merge_table(bronze.sparkSession, path, rows, spec.keys, LAYOUT, number_as=LOAD, replace=True)
 
 
 def read(
     spark: SparkSession, path: str, start: Moment | None = None, end: Moment | None = None
 ) -> DataFrame:
     """The stored table; bounds on its time also prune the months outside them."""
-    return within_months(spark.read.parquet(path), start, end).drop(LAYOUT)
+    return within_months(read_merged(spark, path), start, end).drop(LAYOUT, LOAD)
+
+
+def read_loads(spark: SparkSession, path: str, after: int) -> tuple[DataFrame | None, int]:
+    """Rows that loads after number ``after`` changed, and the newest load's number.
+
+    Months that no later load has written are not opened. A mark beyond the newest
+    load is of another table's making, so everything counts as changed then.
+    """
+    at = versions.pointer(spark, path)
+    if after > at.number:
+        after = 0
+    rows = versions.read(spark, path, at, since=after)
+    if rows is not None:
+        rows = rows.where(F.col(LOAD) > after).drop(LAYOUT, LOAD)
+    return rows, at.number
 
 
 def within_months(stored: DataFrame, start: Moment | None, end: Moment | None) -> DataFrame:

@@ -22,9 +22,13 @@ def checked_events(lines: DataFrame, text: str = "value") -> DataFrame:
 
     A line that is no JSON object, a missing or unreadable time and a measure that
     is no number each have a reason; a number in quotes is a number.
+
+    The one-element generator keeps later filters, such as the one on the reason, above
+    the parser: the optimizer would otherwise copy the parse into each use of a field.
     """
     body = F.col(text).cast("string")
-    parsed = lines.select(body.alias(BODY), F.from_json(body, schemas.GRID_EVENT_JSON).alias("e"))
+    event = F.from_json(body, schemas.GRID_EVENT_JSON)
+    parsed = lines.select(body.alias(BODY), F.inline(F.array(F.struct(event.alias("e")))))
     nothing = F.coalesce(*[F.col(f"e.{c}") for c in schemas.GRID_EVENT_COLUMNS]).isNull()
     checked = inspect(parsed.select(BODY, nothing.alias("_nothing"), "e.*"), GRID_EVENT, keep=[BODY, "_nothing"])
     time = parse_event_time("timestamp")
