@@ -266,5 +266,29 @@ def test_stages_take_odd_rows(spark):
 
 
 def test_queries_are_registered():
-    names = {f"op{n}_" for n in range(1, 11)}
+    names = {f"op{n}_" for n in range(1, 14)}
     assert {re.match(r"op\d+_", q)[0] for q in queries.QUERIES if q.startswith("op")} == names
+
+
+def test_too_many_labels_are_an_error(documents, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LABELS", 3)
+    rows = documents([f"text number {k}" for k in range(9)]).withColumn("lang", F.col("doc_id").cast("string"))
+    with pytest.raises(ValueError, match="labels"):
+        langid.train_text(rows)
+
+
+def test_copies_train_once(documents):
+    texts = [f"some words of text {k} and more" for k in range(6)]
+    once = documents(texts).withColumn("lang", F.lit("en"))
+    many = documents(texts + [texts[0]] * 50).withColumn("lang", F.lit("en"))
+    assert (langid.train_text(once)[1] == langid.train_text(many)[1]).all()
+
+
+def test_changes_of_rows_that_share_an_id(documents, language_model, given):
+    some = given("documents").where("lang = 'fr'").limit(3).collect()
+    rows = [(1, some[0]["text"], "fr"), (1, some[0]["text"], "en"), (2, some[1]["text"], "fr"), (2, some[1]["text"], None),
+            (3, some[2]["text"], "fr"), (None, some[2]["text"], "de"), (4, "", None)]
+    frame = documents([]).sparkSession.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("source", F.lit("s"))
+    kept = langid.keep_identified(frame, queries.language_rows(frame), *language_model)
+    assert sorted((str(r["doc_id"]), r["lang"]) for r in kept.collect()) == [
+        ("1", "fr"), ("1", "fr"), ("2", "fr"), ("2", "fr"), ("3", "fr"), ("None", "fr")]

@@ -145,3 +145,19 @@ def test_a_block_returns_a_forest_not_its_pairs(documents):
     for band in range(near_dedup.REGISTERS // near_dedup.ROWS):
         pairs += near_dedup._forest(ids, ids, np.diff(first), own, found, first, every, every, band)
         assert len(pairs) <= (band + 1) * (len(texts) - 1)
+
+
+def test_words_that_collide_in_any_polynomial_stay_apart(documents):
+    one = "".join("ab"[k.bit_count() % 2] for k in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    docs = [(0, one), (1, other), (2, f"{one} x y z w"), (3, f"{other} x y z w")]
+    check(near_dedup.find_groups(documents(docs)), docs)
+
+
+def test_word_hashes_see_every_byte():
+    words = ["", "a", "b", "aa", "a" * 7, "a" * 8, "a" * 9, "a" * 16, "a" * 17, "\0", "\0\0", "b" + "a" * 16]
+    data, offsets = blocks.text_bytes(pa.array(words))
+    found = blocks.word_hashes(data, offsets[:-1], offsets[1:])
+    assert len(set(found.tolist())) == len(words)
+    again = blocks.word_hashes(*(lambda d, o: (d, o[:-1], o[1:]))(*blocks.text_bytes(pa.array(["zz", *words]))))
+    assert again[1:].tolist() == found.tolist()

@@ -77,6 +77,32 @@ def words(
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the spans ``[start, end)``, mixed anew after every eight bytes.
+
+    Unlike a polynomial over the bytes it has no inputs that collide by their structure.
+    """
+    sizes = ends - starts
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    out, open_, done = mixed(sizes.astype(np.uint64) + _BASE), np.flatnonzero(sizes > 0), 0
+    while len(open_):
+        left = np.minimum(sizes[open_] - done, 8).astype(np.uint64)
+        own = eight[starts[open_] + done] & (~np.uint64(0) >> (np.uint64(64) - np.uint64(8) * left))
+        out[open_] = mixed((out[open_] ^ own) * _BASE + left)
+        done += 8
+        open_ = open_[sizes[open_] > done]
+    return out
+
+
+def runs_of(hashes: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """64-bit hashes of the ``width`` consecutive ``hashes`` from each of ``at`` on."""
+    out = np.full(len(at), width, np.uint64)
+    for k in range(width):
+        out = mixed((out ^ hashes[at + k]) * _BASE + np.uint64(1))
+    return out
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
     if len(_POWERS.get("up", ())) < n:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.operators.storage import cut_lineage
+from wattline.llm.tables import Scratch
 
 #: Far above the logarithm of any number of nodes.
 MOST_ROUNDS = 60
@@ -41,16 +41,18 @@ def _oriented(edges: DataFrame) -> DataFrame:
 
 def connected(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``edges (u, v)``; the component is its smallest node."""
-    stars = cut_lineage(_oriented(edges.select("u", "v")))
+    scratch = Scratch(edges.sparkSession, "components")
+    stars = scratch.stored(_oriented(edges.select("u", "v")), "0")
     mark = None
-    for _ in range(MOST_ROUNDS):
+    for k in range(MOST_ROUNDS):
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Large star: larger neighbours move to the smallest neighbour.
         large = _oriented(_moved(both.where("v > u"), _least(both)))
         # Small star: a node and its smaller neighbours move to the smallest.
         least = _least(large)
         own = least.select(F.col("w").alias("u"), F.col("m").alias("v"))
-        stars = cut_lineage(_oriented(_moved(large, least).unionByName(own)))
+        stars = scratch.stored(_oriented(_moved(large, least).unionByName(own)), str(k + 1))
+        scratch.drop(str(k))
         now = stars.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == mark:
             break

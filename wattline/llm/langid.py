@@ -27,10 +27,13 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm.blocks import ascii_lower, blocks, mixed, row_of
+from wattline.llm.sieve import passes, sieve_of
+from wattline.llm.tables import Scratch
 from wattline.operators.storage import cut_lineage
 
 BUCKETS = 1 << 15
@@ -39,6 +42,9 @@ BUCKETS = 1 << 15
 #: A language with no more of them than that is taken whole.
 SAMPLE = 20_000
 
+#: Labels that the model can hold; there are fewer languages with two-letter codes.
+MOST_LABELS = 200
+
 #: Trigrams whose likelihood counts in full.
 EVIDENCE = 60.0
 
@@ -81,54 +87,82 @@ def _cells(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return (mixed(code[at]) >> np.uint64(64 - 15)).astype(np.int64), np.searchsorted(at, offsets)
 
 
-def training_rows(labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """At most about ``sample`` distinct texts of each language of ``labelled (text, lang)``.
+def sampled_rows(labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """At most about ``sample`` distinct texts of each language of ``labelled (text, lang)``, copies included.
 
     Distinct texts are counted per language over the whole table. A language with more
     than ``sample`` of them gives a share chosen by a hash of the text, any other all.
-    Copies of a text take part once, so a large group of copies cannot fill the sample.
     """
     rows = labelled.where("lang is not null and text is not null").select("text", "lang")
-    counts = rows.groupBy("lang").agg(  # a row per language, as the model has
-        F.least(F.count("*"), F.approx_count_distinct("text")).alias("n")
+    counts = (
+        rows.groupBy("lang")
+        .agg(F.least(F.count("*"), F.approx_count_distinct("text")).alias("n"))
+        .limit(MOST_LABELS + 1)
+        .collect()
     )
-    shares = [(r["lang"], sample / r["n"]) for r in counts.collect() if r["n"] > sample]
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} different labels; clean the label column first")
+    shares = [(r["lang"], sample / r["n"]) for r in counts if r["n"] > sample]
     if shares:
         share = F.try_element_at(F.create_map(*[F.lit(x) for pair in shares for x in pair]), F.col("lang"))
         rows = rows.where(
             share.isNull() | (F.abs(F.xxhash64("text") % 1_000_003) < share * 1_000_003)
         )
-    return rows.dropDuplicates()
+    return rows
+
+
+def training_rows(labelled: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The sample with every text once, so that a large group of copies cannot fill it."""
+    return sampled_rows(labelled, sample).dropDuplicates()
 
 
 def train_text(labelled: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
     """Languages and their log-probabilities per cell, from ``labelled (text, lang)``.
 
-    Every label of the table is known that has a text with a trigram, at any size.
+    Every label of the table is known that has a text with a trigram, at any size; more
+    than ``MOST_LABELS`` labels are an error. Copies of a text take part once: only texts
+    whose hash comes up again are shuffled, and compared whole, all others are counted
+    where they are read.
     """
-    picked = training_rows(labelled, sample)
+    scratch = Scratch(labelled.sparkSession, "training")
+    picked = sampled_rows(labelled, sample).withColumn("hash", F.xxhash64("text", "lang"))
+    again = picked.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+    sieve = sieve_of(again, "hash")
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch], sifting: bool = True) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
-        for batch, data, offsets in blocks(batches):
-            cells, first = _cells(data, offsets)
-            for k, lang in enumerate(batch.column("lang").to_pylist()):
-                table = totals.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                np.add.at(table, cells[first[k] : first[k + 1]], 1)
+        for whole in batches:
+            if sifting:
+                copied = pa.array(passes(sieve.value, whole.column("hash").to_numpy()))
+                copies, whole = whole.filter(copied), whole.filter(pc.invert(copied))
+                none = pa.nulls(copies.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [copies.column("lang"), none, none, copies.column("text")], names=["lang", "cell", "n", "text"]
+                )
+            for batch, data, offsets in blocks([whole]):
+                cells, first = _cells(data, offsets)
+                for k, lang in enumerate(batch.column("lang").to_pylist()):
+                    table = totals.setdefault(lang, np.zeros(BUCKETS, np.int64))
+                    np.add.at(table, cells[first[k] : first[k + 1]], 1)
         for lang, table in totals.items():
             used = np.flatnonzero(table)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(used), pa.string()), pa.array(used), pa.array(table[used])],
-                names=["lang", "cell", "n"],
+                [pa.array([lang] * len(used), pa.string()), pa.array(used), pa.array(table[used]), pa.nulls(len(used), pa.string())],
+                names=["lang", "cell", "n", "text"],
             )
 
+    shape = "lang string, cell long, n long, text string"
+    first = scratch.stored(picked.select("text", "lang", "hash").mapInArrow(count, shape), "counted")
+    copies = first.where("text is not null").select("text", "lang").dropDuplicates()
     counted = (
-        picked.select("text", "lang")
-        .mapInArrow(count, "lang string, cell long, n long")
+        first.where("text is null")
+        .unionByName(copies.mapInArrow(lambda batches: count(batches, False), shape))
         .groupBy("lang", "cell")
         .agg(F.sum("n").alias("n"))
-        .toPandas()  # languages times BUCKETS rows at most
+        .toPandas()  # MOST_LABELS times BUCKETS rows at most
     )
+    scratch.drop("counted")
+    sieve.destroy()
     langs = sorted(counted["lang"].unique())
     table = np.ones((len(langs), BUCKETS))
     for k, lang in enumerate(langs):
@@ -218,11 +252,13 @@ def identify(
     langs: Sequence[str],
     model: np.ndarray,
     least_posterior: float = LEAST_POSTERIOR,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """Language of each row of ``rows (doc_id, text, declared, suffix, host)``.
 
-    Returns ``doc_id, language, posterior, text_language, n_grams, kept``. A text of an
-    unknown language has no ``text_language`` and is not kept.
+    Returns ``doc_id, language, posterior, text_language, n_grams, kept`` and the columns
+    ``also`` of its rows. A text of an unknown language has no ``text_language`` and is not
+    kept.
     """
     k = len(langs)
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -230,7 +266,7 @@ def identify(
         return rows.select(
             "doc_id", *[F.lit(None).cast(t).alias(c) for c, t in (
                 ("language", "string"), ("posterior", "double"), ("text_language", "string"), ("n_grams", "bigint"),
-            )], F.lit(False).alias("kept"),
+            )], F.lit(False).alias("kept"), *also,
         )
     best = F.array_position("text_log", F.array_max("text_log")).cast("int") - 1
     within = (F.col("n_grams") > 0) & (F.col("known") >= least_known(F.col("n_grams")))
@@ -286,6 +322,7 @@ def identify(
         F.get(names, "text_best").alias("text_language"),
         "n_grams",
         (informed & ~foreign & (posterior >= least_posterior)).alias("kept"),
+        *also,
     )
 
 
@@ -297,14 +334,25 @@ def keep_identified(
     ``rows`` holds the evidence under the same ``doc_id``; the label in ``lang``
     becomes the language found. Rows with equal ids go or stay together, by the
     most certain of them; rows without an id are judged as one.
+
+    Only what is rejected or gets another label is joined back; where that is little,
+    the texts are not shuffled.
     """
-    verdicts = (
-        identify(rows, langs, model)
-        .groupBy("doc_id")
-        .agg(F.max(F.struct("kept", "posterior", "language")).alias("_v"))
-        .withColumnRenamed("doc_id", "_id")
-        .where("_v.kept")
+    same = (F.col("_v.language") == F.col("_low")) & (F.col("_low") == F.col("_high")) & F.col("_all")
+    changes = (
+        identify(rows, langs, model, also=["declared"])
+        .groupBy(F.col("doc_id").alias("_id"))
+        .agg(
+            F.max(F.struct("kept", "posterior", "language")).alias("_v"),
+            F.min("declared").alias("_low"),
+            F.max("declared").alias("_high"),
+            F.bool_and(F.col("declared").isNotNull()).alias("_all"),
+        )
+        .where(~F.coalesce(F.col("_v.kept") & same, F.lit(False)))
+        .select("_id", F.col("_v.kept").alias("_kept"), F.col("_v.language").alias("_language"))
     )
-    return documents.join(verdicts, documents["doc_id"].eqNullSafe(F.col("_id"))).select(
-        *[F.col("_v.language").alias(c) if c == "lang" else documents[c] for c in documents.columns]
+    changes = Scratch(documents.sparkSession, "languages").stored(changes, "changes")
+    joined = documents.join(changes, documents["doc_id"].eqNullSafe(F.col("_id")), "left")
+    return joined.where(F.col("_kept").isNull() | F.col("_kept")).select(
+        *[F.coalesce("_language", documents[c]).alias(c) if c == "lang" else documents[c] for c in documents.columns]
     )

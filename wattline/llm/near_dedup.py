@@ -19,7 +19,9 @@ with about the probability of their similarity.
    full sets. A block returns a forest over its components, never its pairs.
 
 A pair at the threshold shares no bucket with a probability of 2.5e-7; every
-link that is reported has been confirmed on the full sets of shingles.
+link that is reported has been confirmed on the full sets of shingles. A shingle counts
+as the 64 bits of a hash that is mixed after every eight bytes and every word: two given
+shingles agree by chance with 5e-20, whatever their structure.
 
 Defined cases: a null, empty or blank text has no shingles and is linked with
 nothing; a text of fewer words than a shingle is one shingle; rows with equal ids
@@ -33,12 +35,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.blocks import ascii_lower, blocks, byte_set, mixed, prefixes, row_of, spans, text_bytes, words
+from wattline.llm.blocks import ascii_lower, blocks, byte_set, mixed, row_of, runs_of, text_bytes, word_hashes, words
 from wattline.llm.components import connected
-from wattline.operators.storage import cut_lineage, work_folder
+from wattline.llm.tables import Scratch
 
 #: Words in a shingle, and the least similarity of a link in percent.
 SHINGLE = 5
@@ -68,17 +70,16 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     """Distinct shingle hashes of all rows, sorted within each row, and each row's first one."""
     data = _LOWER[data]
     starts, ends, first = words(data, offsets, BLANKS)
-    hashes = spans(prefixes(data), starts, ends)
-    running, row = prefixes(hashes), row_of(first)
-    count = np.diff(first)
+    hashes, row, count = word_hashes(data, starts, ends), row_of(first), np.diff(first)
     at = np.arange(max(len(hashes) - SHINGLE + 1, 0))
     at = at[row[at] == row[at + SHINGLE - 1]]
-    full = spans(running, at, at + SHINGLE)
-    owner = row[at]
-    short = np.flatnonzero((count > 0) & (count < SHINGLE))
+    full, owner = runs_of(hashes, at, SHINGLE), row[at]
     parts, sizes = [], np.zeros(len(count), np.int64)
     low = np.searchsorted(owner, np.arange(len(count) + 1))
-    alone = dict(zip(short.tolist(), spans(running, first[short], first[short + 1])))
+    alone: dict[int, np.ndarray] = {}
+    for n in range(1, SHINGLE):
+        short = np.flatnonzero(count == n)
+        alone |= zip(short.tolist(), runs_of(hashes, first[short], n))
     for k in range(len(count)):
         own = np.unique(full[low[k] : low[k + 1]]) if k not in alone else alone[k].reshape(1)
         parts.append(own)
@@ -274,29 +275,41 @@ def _forest(ids, component, n, own, found, first, left, right, band):
     return pairs
 
 
-def _across(members: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+def _across(members: DataFrame, sets: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     """Verified links ``u, v`` inside a bucket but across components.
 
-    ``members`` has ``key, band, id, component``. A bucket's members are dealt into
-    blocks by a hash; every two blocks meet in a group of their own.
+    ``members`` has ``key, band, id, component``. Of a bucket that one block cannot hold,
+    the members of its largest component are linked among themselves already, so they
+    only meet the others: both are dealt into blocks by a hash, and every block of others
+    meets every block. A group of near copies with few others costs in proportion.
     """
     kind = sets.schema["id"].dataType.simpleString()
+    parts = members.groupBy("key", "component").agg(F.count("*").alias("size"))
     mixed_up = (
-        members.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low <> high")
-        .select("key")
-    )
-    rows = cut_lineage(
-        members.join(mixed_up, "key", "left_semi").join(sets.select("id", "n", "registers"), "id")
+        parts.groupBy("key")
+        .agg(F.count("*").alias("parts"), F.max_by("component", F.struct("size", "component")).alias("main"))
+        .where("parts > 1")
+        .select("key", "main")
     )
+    rows = scratch.stored(members.join(mixed_up, "key").join(sets.select("id", "n"), "id"), "crossing")
+
+    def fill(among: Column) -> Column:
+        size = F.greatest(F.count_if(among) / BLOCK, F.sum(F.when(among, F.col("n"))) / BLOCK_SHINGLES)
+        return F.ceil(size).cast("int")
+
+    is_main = F.col("component") == F.col("main")
     weight = rows.groupBy("key").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("n_blocks")
+        fill(F.lit(True)).alias("n_all"), fill(~is_main).alias("n_others"), fill(is_main).alias("n_main")
     )
-    block = F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int")
-    met = rows.join(weight, "key").withColumn("block", block).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
+    one_block = F.col("n_all") <= 1
+    others = F.when(one_block, 1).otherwise(F.col("n_others"))
+    held = is_main & ~one_block
+    dealt = F.pmod(F.xxhash64("id"), F.when(held, F.col("n_main")).otherwise(others)).cast("int")
+    last = others - 1 + F.when(held | one_block, 0).otherwise(F.col("n_main"))
+    met = rows.join(weight, "key").withColumn("block", dealt + F.when(held, others).otherwise(0)).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), last))
     )
+    met = met.join(sets.select("id", "registers"), "id")
     met = met.join(texts.select(F.col("doc_id").alias("id"), "text"), "id").select(
         "key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"),
         "block", "band", "id", "component", "n", "registers", "text",
@@ -346,13 +359,14 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def find_groups(documents: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``documents (doc_id, text)``."""
-    spark = documents.sparkSession
-    rows = cut_lineage(sketches(documents))
+    scratch = Scratch(documents.sparkSession, "near-dedup")
+    rows = scratch.stored(sketches(documents), "rows")
     linkable = rows.where("n > 0 and doc_id is not null")
-    sets = cut_lineage(
+    sets = scratch.stored(
         linkable.groupBy("key_a", "key_b", "n")
         .agg(F.min(F.struct("doc_id", "registers")).alias("own"))
-        .select("key_a", "key_b", "n", F.col("own.doc_id").alias("id"), "own.registers")
+        .select("key_a", "key_b", "n", F.col("own.doc_id").alias("id"), "own.registers"),
+        "sets",
     )
     copies = (
         linkable.join(sets.select("key_a", "key_b", "n", "id"), ["key_a", "key_b", "n"])
@@ -362,19 +376,18 @@ def find_groups(documents: DataFrame) -> DataFrame:
 
     bands = _bands(sets)
     buckets = bands.groupBy("key").agg(F.min("id").alias("center"), F.count("*").alias("size"))
-    members = cut_lineage(bands.join(buckets.where("size > 1"), "key").select("key", "band", "id", "center", "size"))
+    members = bands.join(buckets.where("size > 1"), "key").select("key", "band", "id", "center", "size")
+    members = scratch.stored(members, "members")
     stars = members.where("id <> center").select(F.col("center").alias("u"), F.col("id").alias("v")).distinct()
-    candidates = cut_lineage(_estimated(stars, sets))
+    candidates = scratch.stored(_estimated(stars, sets), "candidates")
 
     # The only texts that can be needed from here on, moved once.
     wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    folder = f"{work_folder(spark, 'near-dedup')}/texts"
-    documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi").write.parquet(folder)
-    texts = spark.read.parquet(folder)
+    texts = scratch.stored(documents.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), "texts")
 
     best = candidates.groupBy("v").agg(F.max_by("u", F.struct("similarity", -F.col("u"))).alias("u"))
-    tried = cut_lineage(best.select("u", "v"))
-    links = cut_lineage(_verified(tried, texts))
+    tried = scratch.stored(best.select("u", "v"), "tried")
+    links = scratch.stored(_verified(tried, texts), "links")
     component = connected(links)
 
     def placed(frame: DataFrame, column: str, name: str) -> DataFrame:
@@ -385,15 +398,22 @@ def find_groups(documents: DataFrame) -> DataFrame:
     twos = members.where("size = 2 and id <> center").select(F.col("center").alias("u"), F.col("id").alias("v"))
     apart = placed(placed(candidates, "u", "cu"), "v", "cv").where("cu <> cv").select("u", "v")
     rest = apart.join(twos.distinct(), ["u", "v"], "left_semi").join(tried, ["u", "v"], "left_anti")
-    crossing = _across(placed(members.where("size > 2"), "id", "component"), sets, texts)
-    links = links.unionByName(_verified(rest, texts)).unionByName(crossing)
-
-    final = connected(links.unionByName(copies))
-    out = rows.join(final, rows["doc_id"] == final["node"], "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.coalesce("component", "doc_id").alias("component_id"),
+    rest = scratch.stored(_verified(rest, texts), "rest")
+    scratch.drop("candidates", "tried")
+    several = members.where("size > 2").select("key", "band", "id")
+    crossing = scratch.stored(_across(placed(several, "id", "component"), sets, texts, scratch), "across")
+    scratch.drop("members", "texts", "crossing")
+
+    final = connected(links.unionByName(rest).unionByName(crossing).unionByName(copies))
+    out = scratch.stored(
+        rows.select("doc_id", "n").join(final, F.col("doc_id") == final["node"], "left").select(
+            "doc_id",
+            F.col("n").alias("n_shingles"),
+            F.coalesce("component", "doc_id").alias("component_id"),
+        ),
+        "groups",
     )
+    scratch.drop("rows", "sets", "links", "rest", "across")
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
