@@ -14,6 +14,7 @@ STORED = {n for n in QUERIES if n.startswith("stream_")} | {
     "carbon_revisions",
     "demand_forecast",
     "medallion_counts",
+    "medallion_reruns",
     "medallion_two_runs",
     "merge_null_partition",
     "quality_report",
