@@ -18,7 +18,7 @@ from harness.lenses import AS_OF, FIRST_DAY, WHOLE_SPAN, portable, table
 from harness.oracle import CTES, RAW_PROMISES, TS, checks_sql, sql
 from wattline.functions.measures import at_least_zero
 from wattline.functions.time import newer_than, parse_hour
-from wattline.operators import access, contracts, history, quality, retention, storage
+from wattline.operators import access, asof, contracts, history, quality, retention, storage
 from wattline.operators.contracts import inspect, validate
 from wattline.operators.dedup import latest_per_key
 from wattline.operators.storage import cut_lineage
@@ -26,7 +26,7 @@ from wattline.operators.upsert import merge_table, read_merged, upsert
 from wattline.plans import bronze, expectations, gold, insights, medallion, monitor, silver
 from wattline.session import use_utc
 from wattline.sources import events as event_source
-from wattline.sources import payloads, tables, watermarks
+from wattline.sources import deliveries, payloads, tables, watermarks
 from wattline.streaming import alerts, ingest, rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1434,3 +1434,154 @@ def _(spark, sf):
     medallion.cleanse(spark, paths, same, only_new=True)  # nothing is left to take
     medallion.model(spark, paths, same, FIRST_DAY, gate=False)
     return gold.read_fact(spark, paths.table("gold", "fact_demand")).drop("_loaded_at")
+
+
+@query(
+    "delivered_files",
+    """select cast(c_group as bigint) as delivery, 'valid' as verdict, count(*) as row_count,
+              sum(value) as total, min(period) as first_period, max(period) as last_period
+       from (select floor(o_totalprice) as value,
+                    strftime(o_orderdate, '%Y-%m-%d') || 'T0' || (o_orderkey % 2) as period,
+                    case when o_orderdate < date '1995-01-01' then 0
+                         when o_orderdate < date '1997-01-01' then 1 else 2 end as c_group
+             from orders where o_orderstatus <> 'P' and o_custkey % 97 <> 0)
+       group by all
+       union all
+       select case when o_orderdate < date '1995-01-01' then 0
+                   when o_orderdate < date '1997-01-01' then 1 else 2 end,
+              'value: not a valid double', count(*), null, null, null
+       from orders where o_orderstatus = 'P' and o_custkey % 97 <> 0 group by all""",
+)
+def _(spark, sf):
+    """Files come in three instalments; each run lands its own, and a run without any lands nothing."""
+    work = storage.work_folder(spark, "delivered")
+    period = F.get_json_object("value", "$.response.data[0].period")
+    pages = lenses.demand_payloads(spark, sf).where(period != "no period")
+    year = F.left(period, F.lit(4))
+    for instalment in (year < "1995", (year >= "1995") & (year < "1997"), year >= "1997", None):
+        if instalment is not None:
+            pages.where(instalment).write.mode("append").text(f"{work}/in")
+        bronze.deliver(
+            spark,
+            f"{work}/in",
+            "demand",
+            f"{work}/bronze",
+            f"{work}/ledger",
+            AS_OF,
+            page_per_line=True,
+            rejects_path=f"{work}/rejects",
+        )
+    schema = medallion.BRONZE_SCHEMAS["demand"]
+    good = deliveries.read(spark, f"{work}/bronze", schema).withColumn("verdict", F.lit("valid"))
+    bad = deliveries.read_rejects(spark, f"{work}/rejects", schema)
+    bad = bad.withColumn("verdict", F.col("_reason")).withColumn("period", F.lit(None).cast("string"))
+    columns = ["delivery", "verdict", "value", "period"]
+    return good.select(columns).unionByName(bad.select(columns)).groupBy(
+        F.col("delivery").cast("bigint").alias("delivery"), "verdict"
+    ).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum("value").alias("total"),
+        F.min("period").alias("first_period"),
+        F.max("period").alias("last_period"),
+    )
+
+
+@query("medallion_by_file", ORACLE["medallion_two_runs"])
+def _(spark, sf):
+    """Three runs over a growing folder, each payload file parsed once."""
+    work = storage.work_folder(spark, "medallion_file")
+    paths = medallion.Paths(f"{work}/payloads", f"{work}/lake", page_per_line=True, by_file=True)
+    pages = lenses.demand_payloads(spark, sf, dirty=False)
+    weather = lenses.weather_payloads(lenses.bronze_weather(spark, sf))
+    late = F.get_json_object("value", "$.response.data[0].period") >= "1997-01-01"
+    for name, df in (
+        ("generation", lenses.generation_payloads(spark, sf)),
+        ("carbon", lenses.carbon_payloads(spark, sf)),
+        ("weather_archive", weather),
+        ("weather_forecast", weather),
+        ("demand", pages.where(~late)),
+    ):
+        df.write.text(paths.payload(name))
+    medallion.run(spark, paths, "2024-01-30 00:00:00", FIRST_DAY, gate=False)
+    medallion.run(spark, paths, "2024-01-30 00:00:00", FIRST_DAY, gate=False)
+    pages.where(late).write.mode("append").text(paths.payload("demand"))
+    medallion.run(spark, paths, AS_OF, FIRST_DAY, gate=False)
+    return gold.read_fact(spark, paths.table("gold", "fact_demand")).drop("_loaded_at")
+
+
+# ---- facts against versions of their members ----------------------------------------
+
+
+@query(
+    "orders_member_version",
+    """with versions as (
+           select c_custkey, c_mktsegment as segment, timestamp '1992-01-01' as valid_from,
+                  case when c_acctbal < 0 and c_mktsegment <> 'MACHINERY' then timestamp '1995-03-01' end as valid_to
+           from customer where c_nationkey > 0
+           union all
+           select c_custkey, 'MACHINERY', timestamp '1995-03-01', null
+           from customer where c_nationkey > 0 and c_acctbal < 0 and c_mktsegment <> 'MACHINERY'
+           union all
+           select c_custkey, c_mktsegment, timestamp '1995-03-01', null from customer where c_nationkey = 0)
+       select o_orderkey, o_custkey, segment, valid_from as version_from
+       from orders left join versions
+            on o_custkey = c_custkey and o_orderdate >= valid_from and (valid_to is null or o_orderdate < valid_to)""",
+)
+def _(spark, sf):
+    """Each order with its customer's segment on the day of the order; some customers join late."""
+    members = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment"), "c_nationkey", "c_acctbal"
+    )
+    segment = F.when(F.col("c_acctbal") < 0, "MACHINERY").otherwise(F.col("segment"))
+    later = members.where("c_nationkey > 0").withColumn("segment", segment).unionByName(
+        members.where("c_nationkey = 0")
+    )
+    first = history.open_history(members.where("c_nationkey > 0").select("o_custkey", "segment"), "1992-01-01")
+    versions = history.apply_changes(first, later, ["o_custkey"], ["segment"], "1995-03-01")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    found = asof.as_of_join(orders, versions, ["o_custkey"], "o_orderdate", ["segment"])
+    return found.select("o_orderkey", "o_custkey", "segment", F.col("valid_from").alias("version_from"))
+
+
+@query(
+    "demand_member_version",
+    sql(
+        """select demand_key, respondent, period_utc, demand_mwh,
+                  case when respondent = 'ERCO' and period_utc < timestamp '1994-06-01' then 'south'
+                       when respondent = 'ERCO' and period_utc < timestamp '1996-03-01' then 'gulf'
+                       when respondent = 'ERCO' then 'south'
+                       when respondent = 'MISO' then 'north'
+                       when respondent = 'PJM' and period_utc < timestamp '1996-03-01' then 'east'
+                       when respondent = 'PJM' then 'atlantic'
+                       when respondent = 'XX' and period_utc >= timestamp '1996-03-01' then 'other' end as desk
+           from fact_demand"""
+    ),
+)
+def _(spark, sf):
+    """Four respondents hold all rows; one changes its desk twice, one is known late."""
+    states = (
+        ("1990-01-01", {"ERCO": "south", "MISO": "north", "PJM": "east"}),
+        ("1994-06-01", {"ERCO": "gulf"}),
+        ("1996-03-01", {"ERCO": "south", "PJM": "atlantic", "XX": "other"}),
+    )
+    versions = None
+    for since, members in states:
+        rows = spark.createDataFrame(list(members.items()), "respondent string, desk string")
+        if versions is None:
+            versions = history.open_history(rows, since)
+        else:
+            versions = history.apply_changes(versions, rows, ["respondent"], ["desk"], since)
+    found = asof.as_of_join(_fact_demand(spark, sf), versions, ["respondent"], "period_utc", ["desk"])
+    return found.select("demand_key", "respondent", "period_utc", "demand_mwh", "desk")
+
+
+@query("stored_outliers", ORACLE["demand_outliers"])
+def _(spark, sf):
+    """The base comes from the moments in the rollup store alone, merged twice on the way."""
+    work = storage.work_folder(spark, "stored_outliers")
+    events = _events(spark, sf)
+    late = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for number in range(3):
+        rollup.keep_rollup(events.where(late == number), number, work, compact_every=2)
+    found = rollup.outliers(spark, work, events, AS_OF, base=WHOLE_SPAN, recent=WHOLE_SPAN)
+    return found.withColumn("z_score", F.round("z_score", 6))

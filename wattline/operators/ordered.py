@@ -93,3 +93,35 @@ def with_running_total(
     return joined.select(
         *[local[c] for c in df.columns], (F.col("_here") + F.col("_carried")).alias(name)
     )
+
+
+def with_last_known(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str = "known"
+) -> DataFrame:
+    """Add the newest non-null ``value`` of each series up to and including the row.
+
+    A slice that continues a series takes over what the series' earlier slices knew
+    last; only its first series can, so that is at most one row per slice.
+    """
+    rows = sliced(df, by, order)
+    inside = (
+        Window.partitionBy(SLICE, *by)
+        .orderBy(POSITION)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    local = rows.withColumn("_here", F.last(value, ignorenulls=True).over(inside))
+
+    ends = rows.groupBy(*by, SLICE).agg(
+        F.max_by(value, F.when(F.col(value).isNotNull(), F.col(POSITION))).alias("_last")
+    )
+    before = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(
+        *by, SLICE, F.last("_last", ignorenulls=True).over(before).alias("_carried")
+    ).filter(F.col("_carried").isNotNull())
+    match = local[SLICE] == carried[SLICE]
+    for key in by:
+        match = match & local[key].eqNullSafe(carried[key])
+    joined = local.join(carried, match, "left")
+    return joined.select(
+        *[local[c] for c in df.columns], F.coalesce("_here", "_carried").alias(name)
+    )

@@ -11,7 +11,7 @@ from wattline.functions.time import Moment, as_datetime, parse_hour, parse_minut
 from wattline.operators import contracts
 from wattline.operators.contracts import validate
 from wattline.operators.dedup import prefer_first
-from wattline.sources import payloads, watermarks
+from wattline.sources import deliveries, payloads, watermarks
 from wattline.sources.tables import land_bronze
 from wattline.sources.watermarks import Feed, high_watermark, in_next_range
 
@@ -116,15 +116,22 @@ def carbon(
     return _land(spark, rows, bronze_path, watermark_path, name, mark, as_of)
 
 
-def combine_weather(archive: DataFrame, forecast: DataFrame) -> DataFrame:
-    """Observed hours win over forecast hours; within one, payload values decide."""
-    both = archive.withColumn("_preference", F.lit(0)).unionByName(
+def _ranked_weather(archive: DataFrame, forecast: DataFrame) -> DataFrame:
+    return archive.withColumn("_preference", F.lit(0)).unionByName(
         forecast.withColumn("_preference", F.lit(1))
     )
-    rest = [c for c in archive.columns if c != "time"]
+
+
+def _preferred_weather(both: DataFrame) -> DataFrame:
+    rest = [c for c in both.columns if c not in ("time", "_preference")]
     return prefer_first(both, ["time"], "_preference", rest).drop("_preference")
 
 
+def combine_weather(archive: DataFrame, forecast: DataFrame) -> DataFrame:
+    """Observed hours win over forecast hours; within one, payload values decide."""
+    return _preferred_weather(_ranked_weather(archive, forecast))
+
+
 def weather(
     spark: SparkSession,
     archive_path: str,
@@ -148,3 +155,80 @@ def weather(
     limit = as_datetime(as_of).strftime(feed.pattern)
     mark = high_watermark(_readable("time", parse_minute), limit)
     return _land(spark, rows, bronze_path, watermark_path, feed.name, mark, as_of)
+
+
+# ---- loads by delivered file ---------------------------------------------------
+# The other form of a load: what is new is decided by file and not by time, so every
+# accepted record lands, however old or far ahead, and no page is parsed twice.
+
+
+def _deliver(
+    rows: DataFrame,
+    contract: contracts.Contract,
+    bronze_path: str,
+    ledger: str,
+    as_of: Moment,
+    rejects_path: str | None = None,
+) -> int:
+    landed = []
+
+    def land(batch: DataFrame, number: int) -> None:
+        if "_preference" in batch.columns:
+            batch = _preferred_weather(batch)
+        if rejects_path is None:
+            good = validate(batch, contract)
+        else:
+            batch = batch.persist()
+            good, bad = validate(batch, contract, mode="split")
+            deliveries.land(bad, rejects_path, number, as_of)
+        seen = Observation()
+        deliveries.land(good.observe(seen, F.count(F.lit(1)).alias("rows")), bronze_path, number, as_of)
+        landed.append(seen.get["rows"])
+        batch.unpersist()
+
+    deliveries.take_new(rows, ledger, land)
+    return sum(landed)
+
+
+def deliver(
+    spark: SparkSession,
+    payload_path: str,
+    feed: str,
+    bronze_path: str,
+    ledger: str,
+    as_of: Moment,
+    page_per_line: bool = False,
+    rejects_path: str | None = None,
+) -> int:
+    """Land the files of ``demand``, ``generation`` or ``carbon`` that are new; returns their rows.
+
+    A record against the contract halts the run, and the files stay untaken until it is
+    mended; with ``rejects_path`` such records land there with their reason instead.
+    """
+    pages = deliveries.stream_pages(spark, payload_path, feed, page_per_line)
+    rows = payloads.unwrap_carbon(pages) if feed == "carbon" else payloads.unwrap_eia(pages)
+    contract = contracts.CARBON if feed == "carbon" else _EIA_CONTRACTS[feed]
+    return _deliver(rows, contract, bronze_path, ledger, as_of, rejects_path)
+
+
+def deliver_weather(
+    spark: SparkSession,
+    archive_path: str,
+    forecast_path: str,
+    bronze_path: str,
+    ledger: str,
+    as_of: Moment,
+    zero_fill: bool = True,
+    page_per_line: bool = False,
+    rejects_path: str | None = None,
+) -> int:
+    """Both weather folders under one ledger; within a delivery observed hours win."""
+    both = _ranked_weather(
+        *[
+            payloads.unwrap_weather(
+                deliveries.stream_pages(spark, path, "weather", page_per_line), zero_fill
+            )
+            for path in (archive_path, forecast_path)
+        ]
+    )
+    return _deliver(both, contracts.WEATHER, bronze_path, ledger, as_of, rejects_path)

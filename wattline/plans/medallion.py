@@ -14,6 +14,7 @@ from wattline.functions.time import Moment
 from wattline.operators import storage, versions
 from wattline.operators.quality import require_passing, run_checks
 from wattline.plans import bronze, expectations, gold, silver
+from wattline.sources import deliveries
 from wattline.sources.tables import loads_since, read_table
 
 BRONZE_SCHEMAS = {
@@ -26,11 +27,16 @@ BRONZE_SCHEMAS = {
 
 @dataclass(frozen=True)
 class Paths:
-    """Payload folders live under ``payloads``; everything built under ``lake``."""
+    """Payload folders live under ``payloads``; everything built under ``lake``.
+
+    With ``by_file`` bronze takes each payload file once instead of a range of times; a
+    lake keeps the form it began with.
+    """
 
     payloads: str
     lake: str
     page_per_line: bool = False
+    by_file: bool = False
 
     def payload(self, name: str) -> str:
         return f"{self.payloads}/{name}"
@@ -42,9 +48,40 @@ class Paths:
     def watermarks(self) -> str:
         return f"{self.lake}/state/watermarks"
 
+    def ledger(self, name: str) -> str:
+        return f"{self.lake}/state/ledger/{name}"
+
+
+def _ingest_files(spark: SparkSession, paths: Paths, as_of: Moment) -> dict[str, int]:
+    lines = paths.page_per_line
+    landed = {
+        feed: bronze.deliver(
+            spark,
+            paths.payload(feed),
+            feed,
+            paths.table("bronze", feed),
+            paths.ledger(feed),
+            as_of,
+            page_per_line=lines,
+        )
+        for feed in ("demand", "generation", "carbon")
+    }
+    landed["weather"] = bronze.deliver_weather(
+        spark,
+        paths.payload("weather_archive"),
+        paths.payload("weather_forecast"),
+        paths.table("bronze", "weather"),
+        paths.ledger("weather"),
+        as_of,
+        page_per_line=lines,
+    )
+    return landed
+
 
 def ingest(spark: SparkSession, paths: Paths, as_of: Moment) -> dict[str, int]:
     """Land every feed; returns the rows landed per feed."""
+    if paths.by_file:
+        return _ingest_files(spark, paths, as_of)
     marks, lines = paths.watermarks, paths.page_per_line
     landed = {
         feed: bronze.eia(
@@ -79,6 +116,9 @@ def ingest(spark: SparkSession, paths: Paths, as_of: Moment) -> dict[str, int]:
 
 
 def read_bronze(spark: SparkSession, paths: Paths, name: str) -> DataFrame:
+    if paths.by_file:
+        rows = deliveries.read(spark, paths.table("bronze", name), BRONZE_SCHEMAS[name])
+        return rows.drop(deliveries.DELIVERY)
     return read_table(spark, paths.table("bronze", name), BRONZE_SCHEMAS[name])
 
 
@@ -94,6 +134,18 @@ def read_silver(spark: SparkSession, paths: Paths, name: str, as_of: Moment) ->
     return _empty_silver(spark, name, as_of)
 
 
+def _cleanse_deliveries(spark: SparkSession, paths: Paths, as_of: Moment) -> None:
+    """Upsert the deliveries that silver's last commit had not taken in."""
+    for name in silver.TABLES:
+        bronze_path, path = paths.table("bronze", name), paths.table("silver", name)
+        upto = deliveries.newest(spark, bronze_path)
+        seen = versions.pointer(spark, path).consumed.get(deliveries.DELIVERY, -1)
+        if upto > seen:
+            rows = deliveries.read(spark, bronze_path, BRONZE_SCHEMAS[name], after=seen)
+            rows = rows.drop(deliveries.DELIVERY)
+            silver.merge(spark, name, rows, path, as_of, consumed={deliveries.DELIVERY: upto})
+
+
 def cleanse(
     spark: SparkSession,
     paths: Paths,
@@ -107,6 +159,8 @@ def cleanse(
     silver last took it in. Silver's own commit records how many it has seen, so a run
     that dies, is repeated or goes back to an earlier date leaves nothing out.
     """
+    if paths.by_file and only_new:
+        return _cleanse_deliveries(spark, paths, as_of)
     for name in silver.TABLES:
         bronze_path, path = paths.table("bronze", name), paths.table("silver", name)
         there = storage.files_by_folder(spark, bronze_path, "load_date=*")

@@ -238,6 +238,12 @@ def alert_silence(
 ROLLUP_BIN = "5 minutes"
 
 
+def base_bins(rollup: DataFrame, span: str, as_of: Moment) -> DataFrame:
+    """Synthetic bins that lie in the range whole; a bin that its start cuts is left out."""
+    start = instant(as_of) - width(span)
+    return rollup.filter((F.col("timestamp") >= start) & _synthetic())
+
+
 def _rollup_measures() -> list[Column]:
     return [
         F.avg("demand_mw").alias("avg_demand_mw"),
@@ -308,6 +314,19 @@ def zscore_outliers(
         .groupBy(by)
         .agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_deviation"))
     )
+    return outliers_against(events, stats, as_of, by, value, recent, k)
+
+
+def outliers_against(
+    events: DataFrame,
+    stats: DataFrame,
+    as_of: Moment,
+    by: str = "region",
+    value: str = "demand_mw",
+    recent: str = "1 hour",
+    k: float = 2.0,
+) -> DataFrame:
+    """Recent readings against ``_mean`` and ``_deviation`` of each ``by``."""
     readings = _recent(events, recent, as_of, _synthetic()).select(
         "event_id", "timestamp", by, value
     )

@@ -12,12 +12,16 @@ Two forms:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.functions.time import time_bin
+from wattline.functions.time import Moment, time_bin
 from wattline.operators.dedup import first_per_key
-from wattline.plans.monitor import ROLLUP_BIN, windowed_rollup
+from wattline.operators.moments import mean, merged, sample_deviation, squares
+from wattline.plans.monitor import ROLLUP_BIN, base_bins, outliers_against, windowed_rollup
 from wattline.streaming import batches
 
 # Polled readings carry the start of their half-hour slot as time.
@@ -30,7 +34,7 @@ PARTIAL_SCHEMA = (
     "region string, source string, timestamp timestamp, "
     "demand_sum double, demand_count bigint, demand_max double, "
     "intensity_sum double, intensity_count bigint, intensity_max double, "
-    "event_count bigint"
+    "event_count bigint, demand_squares double"
 )
 
 
@@ -96,19 +100,32 @@ def partial_rollup(events: DataFrame) -> DataFrame:
         F.count(_INTENSITY).alias("intensity_count"),
         F.max(_INTENSITY).alias("intensity_max"),
         F.count(F.lit(1)).alias("event_count"),
+        squares("demand_mw").alias("demand_squares"),
     )
 
 
-def add_up(partials: DataFrame) -> DataFrame:
-    return partials.groupBy(*_KEYS).agg(
-        F.sum("demand_sum").alias("demand_sum"),
-        F.sum("demand_count").alias("demand_count"),
+_MOMENTS = ("demand_count", "demand_sum", "demand_squares")
+
+
+def _others() -> list[Column]:
+    return [
         F.max("demand_max").alias("demand_max"),
         F.sum("intensity_sum").alias("intensity_sum"),
         F.sum("intensity_count").alias("intensity_count"),
         F.max("intensity_max").alias("intensity_max"),
         F.sum("event_count").alias("event_count"),
-    )
+    ]
+
+
+def add_up(partials: DataFrame) -> DataFrame:
+    """What the rollup shows needs no moments, so this is a single aggregate."""
+    sums = [F.sum(c).alias(c) for c in ("demand_sum", "demand_count")]
+    return partials.groupBy(*_KEYS).agg(*sums, *_others())
+
+
+def fold(partials: DataFrame) -> DataFrame:
+    """Added-up partials with their moments merged."""
+    return merged(partials, _KEYS, *_MOMENTS, more=_others())
 
 
 def finish(partials: DataFrame) -> DataFrame:
@@ -132,7 +149,32 @@ def read_rollup(spark: SparkSession, store: str) -> DataFrame:
 
 
 def compact_rollup(spark: SparkSession, store: str) -> None:
-    batches.compact(spark, store, PARTIAL_SCHEMA, fold=add_up)
+    batches.compact(spark, store, PARTIAL_SCHEMA, fold=fold)
+
+
+def outliers(
+    spark: SparkSession,
+    store: str,
+    events: DataFrame,
+    as_of: Moment,
+    base: str = "24 hours",
+    recent: str = "1 hour",
+    k: float = 2.0,
+) -> DataFrame:
+    """``monitor.zscore_outliers`` of demand by region with the base read from the store.
+
+    Only recent events are opened; the base is the moments of the bins that lie whole in
+    its range, a few hundred rows per region and day. A base range that starts within a
+    bin therefore begins with the next one.
+    """
+    bins = base_bins(batches.read_store(spark, store, PARTIAL_SCHEMA), base, as_of)
+    count, total, deviations = _MOMENTS
+    stats = merged(bins, ["region"], *_MOMENTS).select(
+        "region",
+        mean(count, total).alias("_mean"),
+        sample_deviation(count, deviations).alias("_deviation"),
+    )
+    return outliers_against(events, stats, as_of, recent=recent, k=k)
 
 
 #: Batches between two compactions: an hour of five-second ticks.
