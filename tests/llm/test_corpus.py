@@ -166,8 +166,24 @@ def plain_mix(rows, budget):
             whole = sum(aim.values())
             share = {c: s * aim[c[axis]] / whole / have[c[axis]] for c, s in share.items()}
     scale = budget * total
+    taken = {c: min(n, share[c] * scale) for c, n in cells.items()}
+    for _ in range(mixing.BOUNDED_ROUNDS):
+        for axis, margin in enumerate(mixing.MARGINS):
+            sizes = collections.Counter()
+            for c, n in cells.items():
+                sizes[c[axis]] += n
+            aims = {k: n ** mixing.TEMPER[margin] for k, n in sizes.items()}
+            whole = sum(aims.values())
+            for k in sizes:
+                own = [c for c in cells if c[axis] == k]
+                aim, have = scale * aims[k] / whole, sum(taken[c] for c in own)
+                free = [c for c in own if taken[c] < cells[c] * mixing.FULL]
+                left, space = aim - sum(taken[c] for c in own if c not in free), sum(taken[c] for c in free)
+                for c in own if have > aim else free:
+                    taken[c] = taken[c] * aim / have if have > aim else min(cells[c], taken[c] * left / space)
+    share = {c: n / scale for c, n in taken.items()}
     for _ in range(mixing.CALIBRATIONS):
-        full = {c for c in cells if share[c] / cells[c] * scale >= 1}
+        full = {c for c in cells if share[c] / cells[c] * scale >= mixing.FULL}
         left = sum(share[c] for c in cells if c not in full)
         if left:
             scale = max(scale, (budget * total - sum(cells[c] for c in full)) / left)
@@ -206,6 +222,44 @@ def test_mixing_meets_given_targets(spark):
             assert abs(r["s"] - aims[r[margin]]) < 1e-6
 
 
+def test_mixing_meets_targets_after_calibration(spark):
+    """Two cells cannot give what raking asks of them; the others make up for it."""
+    names = [(s, g, t) for s in "xyz" for g in "ab" for t in "pq"]
+    cells = spark.createDataFrame(
+        [(*c, 1000 + 137 * k) for k, c in enumerate(names)], "source string, lang string, topic string, tokens long"
+    )
+    wanted = {"source": {"x": 0.4, "y": 0.4, "z": 0.2}, "lang": {"a": 0.5, "b": 0.5}, "topic": {"p": 0.6, "q": 0.4}}
+    given = {m: spark.createDataFrame(list(w.items()), f"{m} string, target double") for m, w in wanted.items()}
+    aims = mixing._targets(cells, given, {})
+    raked = mixing.rake(cells, aims)
+    loose = mixing.marginals(mixing.calibrate(raked, 0.5), aims).collect()
+    odds = mixing.calibrate(mixing.rake_bounded(raked, aims, 0.5), 0.5)
+    bound = mixing.marginals(odds, aims).collect()
+    assert max(abs(r["target"] - r["expected"]) for r in loose) > 0.01
+    assert max(abs(r["target"] - r["expected"]) for r in bound) < 0.002
+    assert len(bound) == 7 and 0 < odds.agg(F.min("probability")).first()[0]
+    assert odds.agg(F.max("probability")).first()[0] == 1.0
+    used = odds.agg(F.sum(F.col("tokens") * F.col("probability")) / F.sum("tokens")).first()[0]
+    assert abs(used - 0.5) < 1e-6
+
+
+def test_mixing_out_of_reach_keeps_the_budget(spark):
+    cells = spark.createDataFrame(
+        [("x", "a", "p", 10), ("y", "a", "p", 990)], "source string, lang string, topic string, tokens long"
+    )
+    given = {
+        "source": spark.createDataFrame([("x", 0.9), ("y", 0.1)], "source string, target double"),
+        "lang": spark.createDataFrame([("a", 1.0)], "lang string, target double"),
+        "topic": spark.createDataFrame([("p", 1.0)], "topic string, target double"),
+    }
+    aims = mixing._targets(cells, given, {})
+    odds = mixing.calibrate(mixing.rake_bounded(mixing.rake(cells, aims), aims, 0.5), 0.5)
+    got = {r["source"]: r["probability"] for r in odds.collect()}
+    assert abs(got["x"] - 1) < 1e-9 and abs(got["y"] - 490 / 990) < 1e-9
+    rows = {(r["margin"], r["category"]): r["expected"] for r in mixing.marginals(odds, aims).collect()}
+    assert abs(rows["source", "x"] - 0.02) < 1e-9
+
+
 def test_mixing_keeps_clashing_columns(spark):
     docs = spark.createDataFrame([(k, "some text", "en", "s", 9, "t", 1.0) for k in range(50)],
                                  SCHEMA + ", topic string, probability double")

@@ -3,9 +3,11 @@
 Tokens are summed per cell (source, language, topic); every later step works on
 that table of cells, which is checkpointed, never collected and never windowed:
 each marginal is a grouped sum joined back on its key. Fitting scales the cells
-until their sums meet the three target marginals. Sampling probabilities are then
-calibrated, so that the expected tokens meet the budget although no row can be
-taken more than once: full cells are fixed and the rest is scaled up again.
+until their sums meet the three target marginals. As no row can be taken more than once,
+the expected tokens are then fitted again under the cells' own sizes: a full cell
+stays full while its marginals lack tokens, and the open ones are raked to what is
+left. Where the sizes leave a target out of reach, the budget is still met: open
+cells are scaled up together. ``marginals`` reports what came of each target.
 
 A row is kept if a uniform number made from its id lies below its cell's
 probability: the choice does not depend on partitioning or order.
@@ -28,10 +30,14 @@ from wattline.operators.storage import cut_lineage
 
 MARGINS = ("source", "lang", "topic")
 
-#: Rounds over the three marginals, and rounds of calibration.
+#: Rounds over the three marginals without and with the cells' sizes, and rounds of calibration.
 ROUNDS = 6
+BOUNDED_ROUNDS = 6
 CALIBRATIONS = 6
 
+#: A cell is full at this part of its tokens, so that rounding cannot decide it.
+FULL = 1 - 1e-9
+
 #: Share of all tokens that the sample should hold.
 BUDGET = 0.5
 
@@ -91,14 +97,19 @@ def _targets(
     return out
 
 
+def _aimed(cells: DataFrame, targets: Mapping[str, DataFrame]) -> DataFrame:
+    """Cells with the target of each of their categories; one without a target gets nothing."""
+    for margin in MARGINS:
+        aim = targets[margin].select(margin, F.col("target").alias(f"_{margin}_target"))
+        cells = cells.join(aim, margin, "left")
+    return cells.na.fill(0.0, [f"_{m}_target" for m in MARGINS])
+
+
 def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """Cells with ``share``: scaled in turn until source, language and topic sums fit."""
     total = cells.agg(F.sum("tokens")).first()[0] or 1
     fitted = cells.withColumn("share", F.col("tokens") / F.lit(float(total)))
-    for margin in MARGINS:  # a category without a target gets nothing
-        aim = targets[margin].select(margin, F.col("target").alias(f"_{margin}_target"))
-        fitted = fitted.join(aim, margin, "left")
-    fitted = cut_lineage(fitted.na.fill(0.0, [f"_{m}_target" for m in MARGINS]))
+    fitted = cut_lineage(_aimed(fitted, targets))
     columns = fitted.columns
     for _ in range(rounds):
         for margin in MARGINS:
@@ -111,6 +122,65 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
     return fitted.select(*MARGINS, "tokens", "share")
 
 
+def rake_bounded(
+    fitted: DataFrame, targets: Mapping[str, DataFrame], budget: float, rounds: int = BOUNDED_ROUNDS
+) -> DataFrame:
+    """Cells whose ``share`` of the budget asks for no more tokens than the cell has.
+
+    A category with too much is scaled down as a whole; in one with too little the open
+    cells take what the full ones leave, each up to its size. A full cell may so become
+    open again, and no cell falls to nothing because others are full.
+    """
+    wanted = float(budget * (fitted.agg(F.sum("tokens")).first()[0] or 0))
+    size = F.col("tokens").cast("double")
+    cells = _aimed(fitted.withColumn("share", F.least(size, F.col("share") * F.lit(wanted))), targets)
+    cells = cut_lineage(cells.withColumnRenamed("share", "_expected"))
+    columns = cells.columns
+    full = F.col("_expected") >= size * F.lit(FULL)
+    for _ in range(rounds):
+        for margin in MARGINS:
+            aims = cells.groupBy(margin).agg(
+                (F.max(f"_{margin}_target") * F.lit(wanted)).alias("_aim"),
+                F.sum("_expected").alias("_have"),
+                F.coalesce(F.sum(F.when(full, F.col("_expected"))), F.lit(0.0)).alias("_taken"),
+                F.coalesce(F.sum(F.when(~full, F.col("_expected"))), F.lit(0.0)).alias("_open"),
+            )
+            expected = (
+                F.when(F.col("_have") > F.col("_aim"), F.col("_expected") * (F.col("_aim") / F.col("_have")))
+                .when(full | (F.col("_open") <= 0), F.col("_expected"))
+                .otherwise(
+                    F.least(size, F.col("_expected") * ((F.col("_aim") - F.col("_taken")) / F.col("_open")))
+                )
+            )
+            # Each step reads the cells twice, so a longer plan would read them ever more often.
+            cells = cut_lineage(cells.join(aims, margin).withColumn("_expected", expected).select(*columns))
+    share = F.coalesce(F.try_divide("_expected", F.lit(wanted)), F.lit(0.0))
+    return cells.select(*MARGINS, "tokens", share.alias("share"))
+
+
+def marginals(odds: DataFrame, targets: Mapping[str, DataFrame]) -> DataFrame:
+    """Per category ``(margin, category, target, expected)``: shares asked for and expected.
+
+    ``odds`` are cells with ``tokens`` and ``probability``. A target that the cells'
+    sizes leave out of reach shows as a difference.
+    """
+    taken = F.sum(F.col("tokens") * F.col("probability"))
+    whole = odds.agg(taken).first()[0] or 1.0
+    parts = [
+        odds.groupBy(m)
+        .agg((taken / F.lit(float(whole))).alias("expected"))
+        .join(targets[m], m, "full")
+        .select(
+            F.lit(m).alias("margin"),
+            F.col(m).alias("category"),
+            F.coalesce("target", F.lit(0.0)).alias("target"),
+            F.coalesce("expected", F.lit(0.0)).alias("expected"),
+        )
+        for m in MARGINS
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def calibrate(fitted: DataFrame, budget: float, rounds: int = CALIBRATIONS) -> DataFrame:
     """Cells with ``probability``: expected tokens meet ``budget`` times all tokens.
 
@@ -121,7 +191,7 @@ def calibrate(fitted: DataFrame, budget: float, rounds: int = CALIBRATIONS) -> D
     wanted, scale = budget * total, budget * total
     need = F.col("share") / F.col("tokens")
     for _ in range(rounds):
-        full = need * F.lit(scale) >= 1
+        full = need * F.lit(scale) >= FULL
         fixed, open_share = fitted.agg(
             F.coalesce(F.sum(F.when(full, F.col("tokens"))), F.lit(0)),
             F.coalesce(F.sum(F.when(~full, F.col("share"))), F.lit(0.0)),
@@ -160,7 +230,8 @@ def mix(
         .agg(F.sum("mix_tokens").alias("tokens"))
         .where("tokens > 0")
     )
-    fitted = rake(cells, _targets(cells, targets or {}, temper))
+    aims = _targets(cells, targets or {}, temper)
+    fitted = rake_bounded(rake(cells, aims), aims, budget)
     odds = calibrate(fitted, budget).select(
         F.col("source").alias("_source"),
         F.col("lang").alias("_lang"),
@@ -178,7 +249,12 @@ def mix(
     )
 
 
-def oracle_sql(rounds: int = ROUNDS, calibrations: int = CALIBRATIONS, budget: float = BUDGET) -> str:
+def oracle_sql(
+    rounds: int = ROUNDS,
+    bounded: int = BOUNDED_ROUNDS,
+    calibrations: int = CALIBRATIONS,
+    budget: float = BUDGET,
+) -> str:
     """The whole operator as one DuckDB statement, a step per common table expression."""
     steps: list[tuple[str, str]] = [
         (
@@ -219,7 +295,39 @@ def oracle_sql(rounds: int = ROUNDS, calibrations: int = CALIBRATIONS, budget: f
             )
         )
         last = f"fit{k + 1}"
-    steps.append(("scale0", f"select {budget} * sum(tokens) as wanted, {budget} * sum(tokens) as scale from cells"))
+    steps.append(("goal", f"select {budget}::double * sum(tokens)::double as wanted from cells"))
+    steps.append(
+        (
+            "even0",
+            f"""select source, lang, topic, tokens, least(tokens::double, share * wanted) as expected
+                from {last}, goal""",
+        )
+    )
+    for k in range(bounded * len(MARGINS)):
+        margin = MARGINS[k % len(MARGINS)]
+        steps.append(
+            (
+                f"even{k + 1}",
+                f"""select e.source, e.lang, e.topic, e.tokens,
+                      case when have > aim then expected * (aim / have)
+                           when filled or untaken <= 0 then expected
+                           else least(e.tokens::double, expected * ((aim - taken) / untaken)) end as expected
+                    from (select *, expected >= tokens::double * {FULL!r}::double as filled from even{k}) e
+                    join (select {margin}, sum(expected) as have, any_value(target) * any_value(wanted) as aim,
+                            coalesce(sum(expected) filter (expected >= tokens::double * {FULL!r}::double), 0) as taken,
+                            coalesce(sum(expected) filter (expected < tokens::double * {FULL!r}::double), 0) as untaken
+                          from even{k} join target_{margin} using ({margin}), goal group by all) using ({margin})""",
+            )
+        )
+    steps.append(
+        (
+            "fitted",
+            f"""select source, lang, topic, tokens, coalesce(expected / nullif(wanted, 0), 0) as share
+                from even{bounded * len(MARGINS)}, goal""",
+        )
+    )
+    last = "fitted"
+    steps.append(("scale0", "select wanted, wanted as scale from goal"))
     for k in range(calibrations):
         steps.append(
             (
@@ -227,7 +335,7 @@ def oracle_sql(rounds: int = ROUNDS, calibrations: int = CALIBRATIONS, budget: f
                 f"""select any_value(wanted) as wanted, case when coalesce(sum(share) filter (not filled), 0) = 0
                       then any_value(scale) else greatest(any_value(scale),
                       (any_value(wanted) - coalesce(sum(tokens) filter (filled), 0)) / sum(share) filter (not filled)) end as scale
-                    from (select *, share / tokens * scale >= 1 as filled from {last}, scale{k})""",
+                    from (select *, share / tokens * scale >= {FULL!r}::double as filled from {last}, scale{k})""",
             )
         )
     steps.append(
