@@ -30,13 +30,18 @@ from wattline.llm.blocks import (
     spans,
     words,
 )
+from wattline.llm.sieve import passes, sieve_of
+from wattline.llm.tables import Scratch
 
 #: Words in a window.
 WINDOW = 10
 
-#: Largest n-gram set, in bytes of its text, that is broadcast.
+#: Largest n-gram set, in bytes of its words and item ids, that is broadcast.
 BROADCAST_BYTES = 64 << 20
 
+#: Counted for each pair of window and item besides their text.
+_ROW_BYTES = 24
+
 #: Everything in ASCII but digits and lower-case letters separates words.
 SEPARATORS = byte_set((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 
@@ -64,7 +69,8 @@ def _gram(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: int, n: in
 
 
 def ngrams(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Distinct windows ``(n, hash, gram, items)`` of ``benchmark (item_id, text)``."""
+    """Distinct ``(n, hash, gram, item)`` of ``benchmark (item_id, text)``: a row for each
+    window and each item that holds it."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in blocks(batches):
@@ -87,11 +93,7 @@ def ngrams(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
             )
 
     texts = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
-    return (
-        texts.mapInArrow(cut, "n int, hash long, gram string, item string")
-        .groupBy("n", "hash", "gram")
-        .agg(F.collect_set("item").alias("items"))
-    )
+    return texts.mapInArrow(cut, "n int, hash long, gram string, item string").distinct()
 
 
 class _Set:
@@ -170,12 +172,16 @@ def _scanned(
 ) -> DataFrame:
     """All columns of ``documents`` and what the scan adds, row by row."""
     spark = documents.sparkSession
-    grams = ngrams(benchmark, window).persist()
-    size = grams.agg(F.sum(F.octet_length("gram") + 24)).first()[0] or 0
+    stored = Scratch(spark, "decontamination")
+    grams = stored.stored(ngrams(benchmark, window), "grams")
+    ids = F.coalesce(F.octet_length("item"), F.lit(0))
+    size = grams.agg(F.sum(F.octet_length("gram") + ids + _ROW_BYTES)).first()[0] or 0
     if size > broadcast_bytes:
         return _joined(documents, grams)
-    known = spark.sparkContext.broadcast(_Set(grams.collect()))
-    grams.unpersist()
+    # Within the bound, so one window's items are as well.
+    listed = grams.groupBy("n", "hash", "gram").agg(F.collect_set("item").alias("items"))
+    known = spark.sparkContext.broadcast(_Set(listed.collect()))
+    stored.drop("grams")
     names = documents.columns
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,8 +211,11 @@ def _scanned(
 def _joined(documents: DataFrame, grams: DataFrame) -> DataFrame:
     """The same result for a set too large to broadcast: windows join n-grams by hash.
 
-    Equal texts have equal hits, so texts are what is joined.
+    Equal texts have equal hits, so texts are what is joined. Windows that a bitmap of
+    the benchmark's hashes rules out are not shuffled. Items are looked up for the
+    windows that were hit, once for each text, so a window of many items is never one row.
     """
+    known = sieve_of(grams, "hash")
     lengths = [r["n"] for r in grams.select("n").distinct().collect()]  # at most the window
     names = documents.columns
     keyed = documents.withColumn("_text_key", F.sha2("text", 256))
@@ -217,6 +226,7 @@ def _joined(documents: DataFrame, grams: DataFrame) -> DataFrame:
             for n in lengths:
                 found, whole = _windows(hashes, row, n)
                 at = np.flatnonzero(whole)
+                at = at[passes(known.value, found[at])]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("_text_key").take(pa.array(row[at])),
@@ -230,14 +240,18 @@ def _joined(documents: DataFrame, grams: DataFrame) -> DataFrame:
 
     texts = keyed.where("text is not null").select("_text_key", "text").dropDuplicates(["_text_key"])
     windows = texts.mapInArrow(cut, "_text_key string, at long, n int, hash long, gram string")
-    per_text = (
-        windows.join(grams, ["n", "hash", "gram"])
+    gram = ["n", "hash", "gram"]
+    hits = windows.join(grams.select(*gram).distinct(), gram)
+    hits = Scratch(documents.sparkSession, "decontamination").stored(hits, "hits")
+    places = hits.groupBy("_text_key").agg(F.collect_set(F.struct("at", "n")).alias("_places"))
+    items = (
+        hits.select("_text_key", *gram)
+        .distinct()
+        .join(grams, gram)
         .groupBy("_text_key")
-        .agg(
-            F.array_distinct(F.flatten(F.collect_set("items"))).alias("_found"),
-            F.collect_set(F.struct("at", "n")).alias("_places"),
-        )
+        .agg(F.collect_set("item").alias("_found"))
     )
+    per_text = places.join(items, "_text_key")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in blocks(batches):
