@@ -27,7 +27,7 @@ from wattline.plans import bronze, expectations, gold, insights, medallion, moni
 from wattline.session import use_utc
 from wattline.sources import events as event_source
 from wattline.sources import deliveries, payloads, tables, watermarks
-from wattline.streaming import alerts, ingest, rollup
+from wattline.streaming import alerts, ingest, keyed, overlay, rollup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1191,6 +1191,89 @@ for _shared in ("fact_demand", "fact_weather", "trend", "warmth"):
     )
 
 
+# The regression of the next two queries, by the same elimination over rows gathered afresh for each model.
+REGRESSORS = ("x0", "x1", "x2", "x3")
+
+
+def _regression_sql(answer: str, training: str) -> str:
+    """``answer`` over ``f`` (hours with their regressors and stretch) and ``model``; ``training`` joins them."""
+    size = len(REGRESSORS) + 1
+    names = [*REGRESSORS, "y"]
+    cells = [(i, j) for i in range(size - 1) for j in range(size)]
+    keep = "respondent, stretch, n, " + ", ".join(f"m{i}" for i in range(size))
+    lags = [24, 48, 168]
+    text = "f as materialized (select a.respondent, a.period_utc, a.demand_mwh as y, "
+    text += ", ".join(f"l{h}.demand_mwh as x{k}" for k, h in enumerate(lags))
+    text += f""", w.temperature_c as x3,
+                 greatest(ceil(epoch(a.period_utc - timestamp '{CUT}') / 3600 / 672), 0)::bigint as stretch,
+                 (epoch(a.period_utc - timestamp '{CUT}') / 3600)::bigint as since
+          from fact_demand a """
+    for h in lags:
+        text += f"""left join fact_demand l{h} on l{h}.respondent = a.respondent
+                    and l{h}.period_utc = a.period_utc - interval {h} hour """
+    text += "left join fact_weather w on w.period_utc = a.period_utc),\n"
+    text += "whole as materialized (select * from f where x0 + x1 + x2 + x3 + y is not null),\n"
+    text += "t0 as materialized (select respondent, q.stretch, count(y) as n, "
+    text += ", ".join(f"avg({v}) as m{i}" for i, v in enumerate(names))
+    text += "".join(f", covar_pop({names[i]}, {names[j]}) as a{i}_{j}" for i, j in cells)
+    text += "".join(f", covar_pop({names[i]}, {names[i]}) as w{i}" for i in range(size - 1))
+    text += f" from (select distinct respondent, stretch from f) q left join whole b using (respondent) where {training} group by 1, 2),\n"
+    for k in range(size - 1):
+        usable = f"a{k}_{k} > 1e-9 * w{k} and w{k} > 1e-24 * m{k} * m{k}"
+        row = [f"case when {usable} then a{k}_{j} / a{k}_{k} end as p{j}" for j in range(k + 1, size)]
+        text += f"s{k} as (select *, {', '.join(row)} from t{k}),\n"
+        next_cells = [
+            f"coalesce({f'p{j}' if i == k else f'a{i}_{j} - a{i}_{k} * p{j}'}, a{i}_{j}) as a{i}_{j}"
+            if j > k else f"a{i}_{j}"
+            for i, j in cells
+        ]
+        used = ", ".join([f"u{i}" for i in range(k)] + [f"{usable} as u{k}"])
+        spreads = ", ".join(f"w{i}" for i in range(size - 1))
+        text += f"t{k + 1} as materialized (select {keep}, {spreads}, {', '.join(next_cells)}, {used} from s{k}),\n"
+    slopes = ", ".join(
+        f"case when n >= 30 then case when u{i} then a{i}_{size - 1} else 0 end end as b{i}" for i in range(size - 1)
+    )
+    text += f"model as materialized (select {keep}, {slopes} from t{size - 1}),\n"
+    effects = " + ".join(f"b{i} * (x{i} - m{i})" for i in range(size - 1))
+    text += f"""guess as (select f.*, b0 is not null as modelled, coalesce(m4 + {effects}, m4) as forecast
+                from f left join model using (respondent, stretch))\n"""
+    out = sql(text + answer).replace(f"\n{text}", f",\n{text}", 1)
+    for shared in ("fact_demand", "fact_weather"):
+        out = out.replace(f"{shared} as (", f"{shared} as materialized (", 1)
+    return out
+
+
+@query(
+    "demand_regression",
+    _regression_sql(
+        f"""select respondent, period_utc, y as demand_mwh, round(forecast, 3) as forecast_mwh
+            from guess where period_utc > timestamp '{CUT}'""",
+        "b.stretch = 0",
+    ),
+)
+def _(spark, sf):
+    """All lags and the temperature in one regression per respondent."""
+    return insights.regress_demand(cut_lineage(_fact_demand(spark, sf)), CUT, _fact_weather(spark, sf))
+
+
+@query(
+    "demand_backtest",
+    _regression_sql(
+        """select respondent, (since - (stretch - 1) * 672)::integer as hours_ahead, count(forecast) as hours,
+                  count(*) filter (modelled) as modelled, round(avg(forecast - y), 3) as bias,
+                  round(avg(abs(forecast - y)), 3) as mean_abs_error,
+                  round(sqrt(avg((forecast - y) ** 2)), 3) as rms_error,
+                  round(avg(abs(x0 - y)), 3) as naive_abs_error
+           from guess where stretch > 0 and since - (stretch - 1) * 672 <= 24 group by 1, 2""",
+        "b.stretch < q.stretch",
+    ),
+)
+def _(spark, sf):
+    """An origin every four weeks."""
+    demand, weather = cut_lineage(_fact_demand(spark, sf)), _fact_weather(spark, sf)
+    return insights.backtest_demand(demand, CUT, weather, step_hours=672)
+
+
 # ---- streams ----------------------------------------------------------------------
 
 
@@ -1269,6 +1352,73 @@ def _(spark, sf):
     return alerts.read_alerts(spark, f"{work}/alerts")
 
 
+@query(
+    "stream_overlay",
+    sql("""select bin as "timestamp", avg_ci, avg_demand
+           from (select time_bucket(interval 30 minute, "timestamp") as bin,
+                        avg(carbon_intensity_gco2_kwh) filter (source <> 'synthetic') as avg_ci,
+                        avg(demand_mw) filter (source = 'synthetic') as avg_demand
+                 from (select * from grid_events where source <> 'synthetic' or region = 'ERCOT'),
+                      (select max("timestamp") - interval 1 hour as first_mark from grid_events
+                       where day("timestamp") <= 20 and cast(event_id as bigint) % 10 <> 0)
+                 where day("timestamp") > 20 or cast(event_id as bigint) % 10 <> 0
+                    or time_bucket(interval 30 minute, "timestamp") + interval 30 minute > first_mark
+                 group by 1),
+                (select max("timestamp") - interval 1 hour as mark from grid_events)
+           where avg_ci is not null and bin + interval 30 minute <= mark"""),
+)
+def _(spark, sf):
+    """Both sides by watermark; a tenth of the first days comes late and the last bins are still open."""
+    work = storage.work_folder(spark, "stream_overlay")
+    day, held = F.dayofmonth("timestamp"), F.col("event_id").cast("bigint") % 10 == 0
+    for instalment in ((day <= 20) & ~held, (day <= 20) & held, day > 20):
+        event_source.write_events_json(_events(spark, sf).filter(instalment), f"{work}/in")
+        events = event_source.read_events_stream(spark, f"{work}/in")
+        _drain(overlay.start_overlay(events, f"{work}/store", f"{work}/ck", lateness="1 hour", availableNow=True))
+    return overlay.read_overlay(spark, f"{work}/store")
+
+
+QUIET = "1 hour"
+
+
+@query(
+    "stream_keyed_alerts",
+    sql(
+        f"""select {ALERT_COLUMNS} from alerts where previous <= threshold
+            union all
+            select 'Producer Silence', event_id, region, source, "timestamp" + interval 1 hour, null,
+                   'ALERT: no events from ' || region || ' (' || source || ') for 3600 s'
+            from (select *, lead("timestamp") over (partition by region, source order by "timestamp", event_id) as next
+                  from grid_events where (region = 'ERCOT' and source = 'synthetic') or source <> 'synthetic')
+            where next is null or next > "timestamp" + interval 1 hour""",
+        spike=35_000,
+        high=250,
+    ),
+)
+def _(spark, sf):
+    """Events come up to two days late, in shuffled order; a last one of another series moves the clock."""
+    work = storage.work_folder(spark, "stream_keyed")
+    arrival = F.dayofmonth("timestamp") + F.pmod(F.xxhash64("event_id"), F.lit(3))
+    clock = "clock"
+    marker = spark.range(1).select(
+        F.lit(clock).alias("event_id"), F.lit(clock).alias("region"),
+        F.lit("2024-03-01 00:00:00").cast("timestamp_ntz").alias("timestamp"),
+        F.lit(0.0).alias("demand_mw"), F.lit(0.0).alias("generation_mw"),
+        F.lit(0.0).alias("carbon_intensity_gco2_kwh"), F.lit(clock).alias("source"),
+    )
+    grid = _events(spark, sf)
+    parts = [grid.filter(c) for c in (arrival <= 10, (arrival > 10) & (arrival <= 20), arrival > 20)]
+    for part in (*parts, marker):
+        event_source.write_events_json(part, f"{work}/in")
+        events = event_source.read_events_stream(spark, f"{work}/in")
+        _drain(
+            keyed.start_keyed_alerts(
+                events, f"{work}/store", f"{work}/ck", LOW_RULES, QUIET, "3 days", availableNow=True
+            )
+        )
+    return keyed.read_keyed_alerts(spark, f"{work}/store")
+
+
 @query(
     "stream_fan_out",
     sql(

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattline.functions.time import Moment, instant
+from wattline.functions.time import Moment, instant, seconds_between
 from wattline.operators.ordered import with_previous, with_running_total
+from wattline.operators.regression import before, moments, predicted, solve
 
 # The categories of the fuel dimension.
 FUEL_CATEGORIES = ("Low-Carbon", "Other", "Renewable", "Thermal", "Unknown")
@@ -238,3 +239,71 @@ def forecast_demand(
     return levelled.where(~past).select(
         "respondent", "period_utc", "demand_mwh", F.round(forecast, 3).alias("forecast_mwh")
     )
+
+
+# ---- several regressors, and how well they would have done ---------------------
+
+
+def _regressors(weather: DataFrame | None, lags: tuple[int, ...]) -> list[str]:
+    return [f"lag_{h}h" for h in lags] + (["temperature_c"] if weather is not None else [])
+
+
+def regress_demand(
+    demand: DataFrame,
+    train_until: Moment,
+    weather: DataFrame | None = None,
+    lags: tuple[int, ...] = LAG_HOURS,
+) -> DataFrame:
+    """Forecast of every respondent-hour after ``train_until`` from all lags and the temperature at once.
+
+    A respondent's mean stands in where a regressor is missing or its history has too few
+    complete hours; a respondent without one has no forecast.
+    """
+    names = _regressors(weather, lags)
+    rows = forecast_features(demand, weather, lags)
+    past = F.col("period_utc") <= instant(train_until)
+    size = len(names) + 1
+    models = solve(moments(rows.where(past), ["respondent"], [*names, "demand_mwh"]), ["respondent"], size)
+    return rows.where(~past).join(models, "respondent", "left").select(
+        "respondent", "period_utc", "demand_mwh", F.round(predicted(names), 3).alias("forecast_mwh")
+    )
+
+
+def backtest_demand(
+    demand: DataFrame,
+    first_origin: Moment,
+    weather: DataFrame | None = None,
+    lags: tuple[int, ...] = LAG_HOURS,
+    step_hours: int = 168,
+) -> DataFrame:
+    """Errors of the forecast by respondent and hours ahead, over rolling origins.
+
+    Every ``step_hours`` from ``first_origin`` on a model is trained on all hours up to that origin
+    and judged on the hours up to the next, as far ahead as the shortest lag reaches, because
+    nothing later than the origin is known. Stretches between origins are summed once and merged, so
+    the number of origins does not multiply the work. ``naive_abs_error`` is that of repeating the
+    shortest lag.
+    """
+    names, size = _regressors(weather, lags), len(lags) + (weather is not None) + 1
+    since = seconds_between(F.col("period_utc"), instant(first_origin)) / 3600
+    stretch = F.greatest(F.ceil(since / step_hours), F.lit(0)).alias("_stretch")
+    rows = forecast_features(demand, weather, lags).select("*", since.alias("_since"), stretch)
+    groups = moments(rows, ["respondent", "_stretch"], [*names, "demand_mwh"])
+    models = solve(before(groups, ["respondent"], "_stretch", size), ["respondent", "_stretch"], size)
+    ahead = F.col("_since") - (F.col("_stretch") - 1) * step_hours
+    judged = (
+        rows.where("_stretch > 0")
+        .withColumn("hours_ahead", F.ceil(ahead).cast("int"))
+        .where(F.col("hours_ahead") <= min(lags))
+        .join(models, ["respondent", "_stretch"])
+    )
+    error = predicted(names) - F.col("demand_mwh")
+    naive = F.col(f"lag_{min(lags)}h") - F.col("demand_mwh")
+    return judged.groupBy("respondent", "hours_ahead").agg(
+        F.count(error).alias("hours"),
+        F.count("_base").alias("modelled"),
+        F.round(F.avg(error), 3).alias("bias"),
+        F.round(F.avg(F.abs(error)), 3).alias("mean_abs_error"),
+        F.round(F.sqrt(F.avg(error * error)), 3).alias("rms_error"),
+        F.round(F.avg(F.abs(naive)), 3).alias("naive_abs_error"),
+    )
