@@ -2,10 +2,12 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from tests.llm import brute
 from wattline.llm import suffix_dedup
+from wattline.llm.blocks import prefixes, spans
 
 
 def check(df, docs):
@@ -42,6 +44,28 @@ def test_overlaps_edges_and_low_entropy(documents, seed):
     check(suffix_dedup.remove_repeats(documents(texts)), list(enumerate(texts)))
 
 
+def test_colliding_names_take_no_clean_byte(documents):
+    rng = random.Random(9)
+    noise = lambda n: "".join(rng.choices("abcdefghij", k=n))
+    shared = noise(260)
+    texts = [noise(rng.randrange(150, 600)) for _ in range(60)]
+    texts += [noise(80) + shared[:240] + noise(90), noise(10) + shared + noise(20), noise(120) + shared[20:] + noise(40)]
+    docs = list(enumerate(texts))
+    # Of 16 bits: thousands of strings, so hundreds of names are shared by different strings.
+    check(suffix_dedup.remove_repeats(documents(texts), name_bits=16), docs)
+    check(suffix_dedup.remove_repeats(documents(texts), name_bits=4), docs)
+
+
+def test_words_of_alternating_structure_are_told_apart():
+    word = [0]
+    while len(word) < 2048:
+        word += [1 - x for x in word]
+    data = np.array([[97 + x for x in word], [98 - x for x in word]], np.uint8)
+    marks = [suffix_dedup._mark(suffix_dedup._grams(d), np.array([0]), np.array([len(d)]))[0] for d in data]
+    sums = [spans(prefixes(d), np.array([0]), np.array([len(d)]))[0] for d in data]
+    assert sums[0] == sums[1] and marks[0] != marks[1]
+
+
 def test_repeated_rows_missing_ids_and_left_text(documents):
     a, b = "".join(map(chr, range(33, 120))) * 3, "0123456789" * 10
     rows = documents([(1, a), (1, a), (None, a + b), (2, b), (3, None)])

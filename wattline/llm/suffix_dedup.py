@@ -22,8 +22,9 @@ array:
    strings, and strings that meet an equal one are the repeats.
 5. The bytes covered by repeated strings are removed from each row.
 
-Only equality of prefixes matters for the result, so "sorting" is grouping by a
-64-bit name; each later name is compared within an earlier one only. Groups of
+Only equality of prefixes matters for the result, so "sorting" is grouping by
+names; each later name is compared within an earlier one only. What is taken as
+equal agrees in a 64-bit name and in 32 bits of a hash of another kind. Groups of
 any size are counted with partial sums and joined back, never gathered.
 
 Defined cases: a null text is empty; texts shorter than ``LENGTH`` lose nothing;
@@ -116,6 +117,24 @@ def _names(running, at, low, high) -> tuple[np.ndarray, np.ndarray]:
     return first, mixed(mixed(left + shape) * np.uint64(0x9E3779B97F4A7C15) + right)
 
 
+def _grams(data: np.ndarray) -> np.ndarray:
+    """Running sums over mixed grams of eight bytes, for ``_mark``.
+
+    Mixing the grams first leaves no structure that the sums over bytes share.
+    """
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    return prefixes(mixed(np.ndarray((len(data),), "<u8", padded, strides=(1,))))
+
+
+def _mark(grams: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """32 bits of each span ``[start, end)`` of eight bytes or more."""
+    return (spans(grams, starts, ends - 7) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def _shortened(names: np.ndarray, bits: int) -> np.ndarray:
+    return names & np.uint64((1 << bits) - 1)
+
+
 def _keyed(documents: DataFrame) -> DataFrame:
     """Rows ``id, text_key, text, row_key``; equal rows have equal keys."""
     return documents.select(
@@ -136,13 +155,13 @@ def _searched(batches: Iterator[pa.RecordBatch], firsts) -> Iterator[pa.RecordBa
         yield batch.filter(pa.array(passes(firsts.value, keys)))
 
 
-def _first_names(rows: DataFrame, firsts) -> DataFrame:
+def _first_names(rows: DataFrame, firsts, bits: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, data, offsets in blocks(_searched(batches, firsts), limit=BLOCK_BYTES):
             _, at, low, high, running = sampled(data, offsets)
             names, _ = _names(running, at, low, high)
             # Counted within the block already, so a frequent passage sends little.
-            own, n = np.unique(names, return_counts=True)
+            own, n = np.unique(_shortened(names, bits), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], names=["name", "n"])
 
     return rows.select("text", "row_key").mapInArrow(cut, "name long, n long")
@@ -156,14 +175,14 @@ def _schema(id_type, longs: list[str], integers: list[str]) -> T.StructType:
     )
 
 
-def _suffixes(rows: DataFrame, firsts, sieve) -> DataFrame:
-    """``id, text_key, name, second, low, high`` of sampled suffixes that may repeat."""
-    schema = _schema(rows.schema["id"].dataType, ["text_key", "name", "second"], ["low", "high"])
+def _suffixes(rows: DataFrame, firsts, sieve, bits: int) -> DataFrame:
+    """``id, text_key, name, second, mark, low, high`` of sampled suffixes that may repeat."""
+    schema = _schema(rows.schema["id"].dataType, ["text_key", "name", "second"], ["mark", "low", "high"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in blocks(_searched(batches, firsts), limit=BLOCK_BYTES):
             row, at, low, high, running = sampled(data, offsets)
-            first, second = _names(running, at, low, high)
+            first, second = (_shortened(names, bits) for names in _names(running, at, low, high))
             kept = passes(sieve.value, first)
             row, low, high = row[kept], low[kept], high[kept]
             owner = pa.array(row)
@@ -173,6 +192,7 @@ def _suffixes(rows: DataFrame, firsts, sieve) -> DataFrame:
                     batch.column("text_key").take(owner),
                     pa.array(first[kept].view(np.int64)),
                     pa.array(second[kept].view(np.int64)),
+                    pa.array(_mark(_grams(data), low, high + LENGTH)),
                     pa.array(low - offsets[row], pa.int32()),
                     pa.array(high - offsets[row], pa.int32()),
                 ],
@@ -182,8 +202,8 @@ def _suffixes(rows: DataFrame, firsts, sieve) -> DataFrame:
     return rows.select("id", "text_key", "text", "row_key").mapInArrow(cut, schema)
 
 
-def _strings_of(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
-    """Row, start and hash of every string of the listed suffixes."""
+def _strings_of(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, bits: int):
+    """Row, start, name and mark of every string of the listed suffixes."""
     wanted = batch.column("wanted")
     sizes = np.diff(np.asarray(wanted.offsets))
     each = wanted.flatten()
@@ -192,25 +212,34 @@ def _strings_of(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
     begin = np.concatenate(([0], np.cumsum(high - low + 1)))
     start = np.arange(begin[-1]) - np.repeat(begin[:-1] - low, high - low + 1)
     at = offsets[row] + start
-    return row, start, spans(prefixes(data), at, at + LENGTH)
+    names = _shortened(spans(prefixes(data), at, at + LENGTH), bits)
+    return row, start, names, _mark(_grams(data), at, at + LENGTH)
 
 
-def _string_counts(texts: DataFrame) -> DataFrame:
+def _string_counts(texts: DataFrame, bits: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in blocks(batches, limit=BLOCK_BYTES):
-            own, n = np.unique(_strings_of(batch, data, offsets)[2], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], names=["string", "n"])
+            _, _, own, mark = _strings_of(batch, data, offsets, bits)
+            order = np.argsort(own)
+            own, mark = own[order], mark[order]
+            fresh = np.ones(len(own), bool)
+            fresh[1:] = (own[1:] != own[:-1]) | (mark[1:] != mark[:-1])
+            at = np.flatnonzero(fresh)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own[at].view(np.int64)), pa.array(mark[at]), pa.array(np.diff(at, append=len(own)))],
+                names=["string", "mark", "n"],
+            )
 
-    return texts.mapInArrow(cut, "string long, n long")
+    return texts.mapInArrow(cut, "string long, mark int, n long")
 
 
-def _strings(texts: DataFrame, sieve) -> DataFrame:
-    """``id, text_key, string, start`` of the strings that may repeat."""
-    schema = _schema(texts.schema["id"].dataType, ["text_key", "string"], ["start"])
+def _strings(texts: DataFrame, sieve, bits: int) -> DataFrame:
+    """``id, text_key, string, mark, start`` of the strings that may repeat."""
+    schema = _schema(texts.schema["id"].dataType, ["text_key", "string"], ["mark", "start"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in blocks(batches, limit=BLOCK_BYTES):
-            row, start, string = _strings_of(batch, data, offsets)
+            row, start, string, mark = _strings_of(batch, data, offsets, bits)
             kept = passes(sieve.value, string)
             owner = pa.array(row[kept])
             yield pa.RecordBatch.from_arrays(
@@ -218,6 +247,7 @@ def _strings(texts: DataFrame, sieve) -> DataFrame:
                     batch.column("id").take(owner),
                     batch.column("text_key").take(owner),
                     pa.array(string[kept].view(np.int64)),
+                    pa.array(mark[kept]),
                     pa.array(start[kept], pa.int32()),
                 ],
                 names=schema.names,
@@ -248,39 +278,39 @@ def _hashed(keys: DataFrame) -> DataFrame:
     return keys.hint("shuffle_hash")
 
 
-def _repeated_ranges(rows: DataFrame, firsts, scratch: Scratch) -> DataFrame:
+def _repeated_ranges(rows: DataFrame, firsts, scratch: Scratch, bits: int) -> DataFrame:
     """``_id, _key, ranges`` of the rows with repeated strings: their starts, as ranges."""
-    counted = _first_names(rows, firsts).groupBy("name").agg(F.sum("n").alias("n"))
+    counted = _first_names(rows, firsts, bits).groupBy("name").agg(F.sum("n").alias("n"))
     twice = scratch.stored(counted.where("n > 1").select("name"), "names")
     suffixes = scratch.stored(
-        _suffixes(rows, firsts, sieve_of(twice, "name")).join(_hashed(twice), "name", "left_semi"),
+        _suffixes(rows, firsts, sieve_of(twice, "name"), bits).join(_hashed(twice), "name", "left_semi"),
         "suffixes",
     )
     # Nulls count for first(), so the four values come from one suffix, whichever.
     classes = scratch.stored(
-        suffixes.groupBy("name", "second").agg(
+        suffixes.groupBy("name", "second", "mark").agg(
             F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("id", "text_key", "low", "high")]
         ),
         "classes",
     )
-    again = classes.where("n > 1").select("name", "second")
+    again = classes.where("n > 1").select("name", "second", "mark")
     inside = (
         sifted(suffixes, "second", sieve_of(again, "second"))
-        .join(_hashed(again), ["name", "second"], "left_semi")
+        .join(_hashed(again), ["name", "second", "mark"], "left_semi")
         .select("id", "text_key", "low", "high")
     )
 
     kinds = classes.groupBy("name").agg(F.count("*").alias("kinds"))
     edges = scratch.stored(kinds.where("kinds > 1").select("name"), "edges")
-    open_ = sifted(classes.drop("second", "n"), "name", sieve_of(edges, "name"))
+    open_ = sifted(classes.drop("second", "mark", "n"), "name", sieve_of(edges, "name"))
     open_ = open_.join(_hashed(edges), "name", "left_semi").drop("name")
     wanted = scratch.stored(_per_row(open_, "wanted", "low", "high"), "wanted")
     texts = scratch.stored(_holding(rows, wanted), "texts")
-    repeated = _string_counts(texts).groupBy("string").agg(F.sum("n").alias("n"))
-    repeated = scratch.stored(repeated.where("n > 1").select("string"), "strings")
+    repeated = _string_counts(texts, bits).groupBy("string", "mark").agg(F.sum("n").alias("n"))
+    repeated = scratch.stored(repeated.where("n > 1").select("string", "mark"), "strings")
     edge = (
-        _strings(texts, sieve_of(repeated, "string"))
-        .join(_hashed(repeated), "string", "left_semi")
+        _strings(texts, sieve_of(repeated, "string"), bits)
+        .join(_hashed(repeated), ["string", "mark"], "left_semi")
         .select("id", "text_key", F.col("start").alias("low"), F.col("start").alias("high"))
     )
     return _per_row(inside.unionByName(edge), "ranges", "low", "high")
@@ -332,10 +362,11 @@ def _cut(texts: DataFrame, with_text: bool) -> DataFrame:
 _RESULT = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-def remove_repeats(documents: DataFrame, with_text: bool = False) -> DataFrame:
+def remove_repeats(documents: DataFrame, with_text: bool = False, name_bits: int = 64) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row of ``documents (doc_id, text)``.
 
-    With ``with_text``, ``kept`` holds the bytes that are left.
+    With ``with_text``, ``kept`` holds the bytes that are left. Names of fewer than 64 bits
+    collide more often, which costs time; the mark beside them still tells strings apart.
     """
     scratch = Scratch(documents.sparkSession, "suffix-dedup")
     rows = _keyed(documents)
@@ -361,7 +392,7 @@ def remove_repeats(documents: DataFrame, with_text: bool = False) -> DataFrame:
     )
     single = whole.join(copied, texts, "left_anti")
 
-    ranges = _repeated_ranges(rows, sieve_of(firsts, "row_key"), scratch)
+    ranges = _repeated_ranges(rows, sieve_of(firsts, "row_key"), scratch, name_bits)
     of_single = single.select(F.col("id").alias("_i"), F.col("text_key").alias("_k"))
     lists = scratch.stored(
         ranges.join(
