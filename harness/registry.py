@@ -1651,10 +1651,10 @@ def _(spark, sf):
         ("weather_forecast", weather),
         ("demand", pages.where(~late)),
     ):
-        df.write.text(paths.payload(name))
+        payloads.write_pages(df, paths.payload(name))
     medallion.run(spark, paths, "2024-01-30 00:00:00", FIRST_DAY, gate=False)
     medallion.run(spark, paths, "2024-01-30 00:00:00", FIRST_DAY, gate=False)
-    pages.where(late).write.mode("append").text(paths.payload("demand"))
+    payloads.write_pages(pages.where(late), paths.payload("demand"), mode="append")
     medallion.run(spark, paths, AS_OF, FIRST_DAY, gate=False)
     return gold.read_fact(spark, paths.table("gold", "fact_demand")).drop("_loaded_at")
 

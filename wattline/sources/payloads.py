@@ -33,6 +33,20 @@ def _read_json(
     return reader.json(path)
 
 
+#: Lines of one stored file. A compressed file is read by one task, whatever its size.
+PAGES_PER_FILE = 50_000
+
+
+def write_pages(pages: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Page texts, one per line, as compressed files; the readers tell by the file's name.
+
+    Field names make up most of a page, so plain text would be the bulk of what a load
+    writes. Files are kept short because they are not split: many go to one task, and
+    how many is bounded by Spark's cost of opening a file rather than by their few bytes.
+    """
+    pages.write.mode(mode).options(compression="gzip", maxRecordsPerFile=PAGES_PER_FILE).text(path)
+
+
 def page_schema(feed: str) -> T.StructType:
     if feed in _EIA_ROWS:
         return schemas.eia_page(_EIA_ROWS[feed])
