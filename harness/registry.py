@@ -1559,11 +1559,11 @@ def _(spark, sf):
         ("weather_archive", weather),
         ("weather_forecast", weather),
     ):
-        df.write.text(paths.payload(name))
+        payloads.write_pages(df, paths.payload(name))
     watermarks.write_watermark(spark, paths.watermarks, "eia_demand", "1980-01-01T00", "1990-01-01 00:00:00")
-    pages.where(~late).write.text(paths.payload("demand"))
+    payloads.write_pages(pages.where(~late), paths.payload("demand"))
     medallion.run(spark, paths, "2024-01-30 00:00:00", FIRST_DAY, gate=False)
-    pages.where(late).write.mode("append").text(paths.payload("demand"))
+    payloads.write_pages(pages.where(late), paths.payload("demand"), mode="append")
     medallion.run(spark, paths, AS_OF, FIRST_DAY, gate=False)
     return gold.read_fact(spark, paths.table("gold", "fact_demand")).drop("_loaded_at")
 
