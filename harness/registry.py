@@ -658,7 +658,7 @@ def _(spark, sf):
     """A load with unreadable periods lands every record the contract accepts."""
     work = storage.work_folder(spark, "unreadable")
     rows = lenses.demand_payloads(spark, sf)
-    rows.where(~F.contains("value", F.lit("n/a"))).write.text(f"{work}/in")
+    payloads.write_pages(rows.where(~F.contains("value", F.lit("n/a"))), f"{work}/in")
     watermarks.write_watermark(spark, f"{work}/marks", "eia_demand", "1980-01-01T00", "1995-01-01 00:00:00")
     bronze.eia(spark, f"{work}/in", "demand", f"{work}/bronze", f"{work}/marks", AS_OF, page_per_line=True)
     landed = tables.read_table(spark, f"{work}/bronze", medallion.BRONZE_SCHEMAS["demand"])
@@ -1514,7 +1514,7 @@ def _(spark, sf):
         "weather_forecast": lenses.weather_payloads(weather.filter(~archived)),
     }
     for name, df in pages.items():
-        df.write.text(paths.payload(name))
+        payloads.write_pages(df, paths.payload(name))
     begin = {
         "eia_demand": "1995-01-01T00",
         "eia_generation": "1995-01-01T00",
@@ -1610,7 +1610,7 @@ def _(spark, sf):
     year = F.left(period, F.lit(4))
     for instalment in (year < "1995", (year >= "1995") & (year < "1997"), year >= "1997", None):
         if instalment is not None:
-            pages.where(instalment).write.mode("append").text(f"{work}/in")
+            payloads.write_pages(pages.where(instalment), f"{work}/in", mode="append")
         bronze.deliver(
             spark,
             f"{work}/in",

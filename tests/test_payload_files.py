@@ -56,7 +56,7 @@ def test_written_pages_are_small_short_and_whole(spark, folder, monkeypatch, row
     assert sum(taken) == 1000
 
 
-@pytest.mark.parametrize("name", ["medallion_by_file", "medallion_two_runs"])
+@pytest.mark.parametrize("name", ["medallion_by_file", "medallion_two_runs", "medallion_counts"])
 def test_a_query_stores_no_plain_pages(spark, tables, monkeypatch, name):
     class Begun(Exception):
         pass
