@@ -1,22 +1,28 @@
 """Rises and silences by keyed state and event-time timers.
 
-Every series of a region and source keeps its last settled reading and the
-readings that wait for the watermark. Readings settle in order of time and id
-once nothing earlier can arrive, so the alerts are those of the batch form in
-whatever order events came within ``lateness``; later ones are dropped. A timer
-settles what is due without a new event of the series: a series that has been
-quiet for ``quiet`` raises one silence alert, and another only after it has
-spoken again. Other series must move the watermark; if every one stops, a
-scheduled check on the stored events remains the way to notice.
-
-State is one reading for each series and what waits, which ``lateness`` bounds.
-One series settles in one task; ``alerts.start_edge_alerts`` has no such limit
-but takes readings in the order of their micro-batches.
+Readings settle in order of time and id once nothing earlier can arrive, so the
+alerts are those of the batch form in whatever order events came within
+``lateness``; later ones are dropped. A timer settles what is due without a new
+event of the series: a series that has been quiet for ``quiet`` raises one
+silence alert, and another only after it has spoken again. Other series must move
+the watermark; if every one stops, a scheduled check on the stored events remains
+the way to notice.
+
+The work is keyed twice. First by series and hour: readings wait for the watermark
+there and settle against each other, so the hours of one series spread over the
+tasks. What settles at a time is a piece; its first and last reading go on to the
+series, which judges the steps from piece to piece and keeps its last reading. The
+alerts found within a piece pass beside that, each hour under a key of its own.
+
+State is one reading for each series and what waits, which ``lateness`` bounds; the
+task of a series sees two readings of each piece. ``alerts.start_edge_alerts`` takes
+readings in the order of their micro-batches instead. Checkpoints from before series
+were spread over hours hold another state and cannot be taken up.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 from operator import or_
 
@@ -40,24 +46,46 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+#: Microseconds of a series that settle in one task.
+STRETCH = 3_600_000_000
+
+# The lane of the series itself; others are numbers of hours. Ends of pieces have a rule
+# of their own, in the order of their places.
+_LANE, _JOINTS, _FIRST, _LAST = "lane", -(2**63), -3, -2
+_FOUND = ["rule", "event_id", "region", "source", "at", "value"]
+
+
 def settle(
-    last: pd.DataFrame, ready: pd.DataFrame, told: bool, limits: Sequence[float], quiet: int, mark: int
+    last: pd.DataFrame,
+    ready: pd.DataFrame,
+    told: bool,
+    limits: Sequence[float],
+    quiet: int,
+    mark: int,
+    pieces: bool = False,
 ) -> tuple[pd.DataFrame, pd.DataFrame, bool]:
     """Alerts of the ready readings, the new last reading, and whether its silence has been told.
 
     Frames have ``at`` in microseconds, ``event_id`` and a value ``v0, v1 ...`` for each rule;
     ``last`` has one row or none. Alerts have ``rule`` (-1: silence), ``at, event_id, value``.
+    With ``pieces`` the ready readings are first and last ones of pieces in turn, and only
+    the steps from piece to piece are judged.
     """
     ready = ready.sort_values(["at", "event_id"])
     values = {f"v{k}": float for k in range(len(limits))}
     line = pd.concat([f.astype(values) for f in (last, ready) if len(f)] or [ready], ignore_index=True)
+    # The step after a piece's first reading has been judged where the piece settled.
+    judged = pd.Series(True, index=line.index)
+    if pieces:
+        judged.iloc[len(last) :: 2] = False
+    reached = judged.shift(1, fill_value=True)
     found = []
     for k, limit in enumerate(limits):
         value = line[f"v{k}"].astype(float)
-        risen = line[(value > limit) & (value.shift(1) <= limit)]
+        risen = line[(value > limit) & (value.shift(1) <= limit) & reached]
         found.append(pd.DataFrame({"rule": k, "at": risen["at"], "event_id": risen["event_id"], "value": risen[f"v{k}"]}))
     until = line["at"].shift(-1, fill_value=mark + 1)
-    silent = until - line["at"] > quiet
+    silent = (until - line["at"] > quiet) & judged
     if len(last) and told:
         silent.iloc[0] = False
     ends = line[silent]
@@ -67,62 +95,113 @@ def settle(
     return pd.concat(found, ignore_index=True), newest, told
 
 
-class SeriesWatch(StatefulProcessor):
+class _Watch(StatefulProcessor):
     def __init__(self, limits: Sequence[float], quiet: int) -> None:
         self._limits, self._quiet = list(limits), quiet
-        self._columns = ["at", "event_id", *[f"v{k}" for k in range(len(self._limits))]]
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        values = ", ".join(f"v{k} double" for k in range(len(self._limits)))
-        self._handle = handle
-        self._last = handle.getValueState("last", f"at long, event_id string, {values}, told boolean")
-        self._waiting = handle.getListState("waiting", f"at long, event_id string, {values}")
+        self._values = [f"v{k}" for k in range(len(self._limits))]
+        self._columns = ["at", "event_id", *self._values]
+        self._kept = ", ".join(["at long, event_id string", *[f"{v} double" for v in self._values]])
 
     def _frame(self, rows: list[tuple]) -> pd.DataFrame:
         return pd.DataFrame(rows, columns=self._columns)
 
-    @staticmethod
-    def _plain(frame: pd.DataFrame) -> list[tuple]:
+    def _plain(self, frame: pd.DataFrame) -> list[tuple]:
         """State keeps an absent value as null, not as NaN."""
-        return [
-            (int(at), event_id, *[None if pd.isna(v) else float(v) for v in values])
-            for at, event_id, *values in frame.itertuples(index=False, name=None)
-        ]
+        values = [[None if v != v else v for v in frame[c].tolist()] for c in self._values]
+        return list(zip(frame["at"].astype("int64").tolist(), frame["event_id"].tolist(), *values))
+
+    def close(self) -> None:
+        pass
 
-    def _settled(self, key: tuple, fresh: list[pd.DataFrame], watermark_ms: int) -> Iterator[pd.DataFrame]:
-        mark = watermark_ms * 1000
+
+class StretchWatch(_Watch):
+    """One hour of a series: what waits there, and the steps within what settles at a time."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._waiting = handle.getListState("waiting", self._kept)
+
+    def _wake(self, waiting: pd.DataFrame) -> None:
+        # A timer that is no longer needed finds nothing due.
+        self._handle.registerTimer(-(-int(waiting["at"].min()) // 1000))
+
+    def _settled(self, key: tuple, fresh: list[pd.DataFrame], mark: int) -> Iterator[pd.DataFrame]:
         held = [tuple(r) for r in self._waiting.get()] if self._waiting.exists() else []
-        waiting = pd.concat([self._frame(held), *[f[self._columns] for f in fresh]], ignore_index=True)
+        frames = [f for f in (self._frame(held), *fresh) if len(f)]
+        if not frames:
+            return
+        waiting = pd.concat(frames, ignore_index=True)
         due = waiting["at"].astype("int64") <= mark
-        kept = self._last.get() if self._last.exists() else None
-        last = self._frame([tuple(kept)[:-1]] if kept else [])
-        found, last, told = settle(last, waiting[due], bool(kept and kept[-1]), self._limits, self._quiet, mark)
-
         rest = waiting[~due]
         if len(rest):
             self._waiting.put(self._plain(rest))
+            self._wake(rest)
         else:
             self._waiting.clear()
-        wake = [int(rest["at"].min())] if len(rest) else []
+        if due.any():
+            yield self._piece(key, waiting[due].sort_values(["at", "event_id"]))
+
+    def _piece(self, key: tuple, ready: pd.DataFrame) -> pd.DataFrame:
+        # Whether silence follows the piece is not known here.
+        known = int(ready["at"].iloc[-1]) - 1
+        found, _, _ = settle(self._frame([]), ready, False, self._limits, self._quiet, known)
+        parts = [
+            ready.head(1).assign(**{_LANE: _JOINTS, "rule": _FIRST}),
+            ready.tail(1).assign(**{_LANE: _JOINTS, "rule": _LAST}),
+            *([found.assign(**{_LANE: key[2]})] if len(found) else []),
+        ]
+        piece = pd.concat([p.reindex(columns=[_LANE, "rule", "value", *self._columns]) for p in parts], ignore_index=True)
+        piece[["value", *self._values]] = piece[["value", *self._values]].astype(float)
+        settled = pd.to_datetime(piece["at"].astype("int64"), unit="us", utc=True)
+        return piece.assign(region=key[0], source=key[1], settled=settled)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        fresh = [f[self._columns] for f in rows if len(f)]
+        if fresh and min(int(f["at"].min()) for f in fresh) > mark:
+            # Readings that wait already have their timer.
+            whole = pd.concat(fresh, ignore_index=True)
+            self._waiting.appendList(self._plain(whole))
+            self._wake(whole)
+        else:
+            yield from self._settled(key, fresh, mark)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._settled(key, [], timerValues.getCurrentWatermarkInMs() * 1000)
+
+
+class SeriesWatch(_Watch):
+    """A series: its last settled reading, and the steps from piece to piece."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._last = handle.getValueState("last", f"{self._kept}, told boolean")
+
+    def _settled(self, key: tuple, ends: Iterable[pd.DataFrame], mark: int) -> Iterator[pd.DataFrame]:
+        kept = self._last.get() if self._last.exists() else None
+        last = self._frame([tuple(kept)[:-1]] if kept else [])
+        ends = [f for f in ends if len(f)]
+        ready = self._frame([])
+        if ends:
+            ready = pd.concat(ends, ignore_index=True).sort_values(["at", "event_id", "rule"])[self._columns]
+        found, last, told = settle(last, ready, bool(kept and kept[-1]), self._limits, self._quiet, mark, pieces=True)
         if len(last):
             row = self._plain(last)[0]
             self._last.update((*row, told))
             if not told:
-                wake.append(row[0] + self._quiet)
-        if wake:
-            # A timer that is no longer needed finds nothing due.
-            self._handle.registerTimer(-(-min(wake) // 1000))
+                self._handle.registerTimer(-(-(row[0] + self._quiet) // 1000))
         if len(found):
-            yield found.assign(region=key[0], source=key[1])[["rule", "event_id", "region", "source", "at", "value"]]
+            yield found.assign(region=key[0], source=key[1])[_FOUND]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        yield from self._settled(key, list(rows), timerValues.getCurrentWatermarkInMs())
+        if key[2] == _JOINTS:
+            yield from self._settled(key, rows, timerValues.getCurrentWatermarkInMs() * 1000)
+        else:
+            for found in rows:
+                yield found[_FOUND]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._settled(key, [], timerValues.getCurrentWatermarkInMs())
-
-    def close(self) -> None:
-        pass
+        yield from self._settled(key, [], timerValues.getCurrentWatermarkInMs() * 1000)
 
 
 def _watched(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -152,15 +231,20 @@ def keyed_alerts(
         .withWatermark("timestamp", lateness)
         .filter(behind_watermark("timestamp", reduce(or_, [r.applies() for r in rules])))
         .select(*SERIES, "timestamp", "event_id", F.unix_micros("timestamp").alias("at"), *values)
+        .withColumn(_LANE, F.expr(f"at div {STRETCH}"))
     )
-    found = (
-        readings.groupBy(*SERIES)
-        .transformWithStateInPandas(
-            SeriesWatch([r.threshold for r in rules], seconds * 1_000_000),
-            "rule int, event_id string, region string, source string, at long, value double",
-            "append",
-            "eventTime",
-        )
+    watch = ([r.threshold for r in rules], seconds * 1_000_000)
+    schema = "rule int, event_id string, region string, source string, at long, value double"
+    kept = "".join(f", v{k} double" for k in range(len(rules)))
+    pieces = readings.groupBy(*SERIES, _LANE).transformWithStateInPandas(
+        StretchWatch(*watch),
+        f"{schema}, {_LANE} long, settled timestamp{kept}",
+        "append",
+        "eventTime",
+        eventTimeColumnName="settled",
+    )
+    found = pieces.groupBy(*SERIES, _LANE).transformWithStateInPandas(
+        SeriesWatch(*watch), schema, "append", "eventTime"
     )
     rule, subject = F.when(F.col("rule") < 0, SILENCE), F.when(F.col("rule") < 0, _silence_text(F.lit(seconds)))
     for k, r in enumerate(rules):
